@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodestone.llm import encode, ledger, mixing, sampling
+from lodestone.llm import defects, encode, ledger, mixing, sampling, truncation
 
 
 def _t(spark: SparkSession, d: str, name: str) -> DataFrame:
@@ -22,6 +22,14 @@ def p1_collapsed(spark, d):
     return ledger.collapsed(_t(spark, d, "raw_instructions"))
 
 
+def p2_found(spark, d):
+    return truncation.truncated(_t(spark, d, "raw_instructions"), _t(spark, d, "predict_log"))
+
+
+def p2_shares(spark, d):
+    return truncation.share_by_origin(_t(spark, d, "raw_instructions"), _t(spark, d, "predict_log"))
+
+
 def p4_found(spark, d):
     return sampling.sample(_t(spark, d, "raw_instructions"), _t(spark, d, "sample_targets"))[1].where("unmet").select("category")
 
@@ -34,6 +42,10 @@ def p4_sample(spark, d):
     return sampling.sample(_t(spark, d, "raw_instructions"), _t(spark, d, "sample_targets"))[0]
 
 
+def p5_found(spark, d):
+    return defects.defects(_t(spark, d, "raw_instructions"), _t(spark, d, "predict_log"))
+
+
 def p7_ids(spark, d):
     return encode.token_ids(_t(spark, d, "documents"))
 
