@@ -68,10 +68,10 @@ for _k, _ws in enumerate(_FUNCTION_WORDS.values()):
         _v[_k] = 1.0
         _HINTS[_w] = tuple(_v)
 # A word that several languages use says less about each.
-_HINTS = {w: tuple(x / sum(v) for x in v) for w, v in _HINTS.items()}
+_HINTS = {w: v if sum(v) == 1 else tuple(x * 0.25 for x in v) for w, v in _HINTS.items()}
 
 
-def language(words: list[str]) -> str | None:
+def language(words: list[str], least: float = 1.0) -> str | None:
     """The language whose function words the text has most of, or null where that is not clear."""
     score = [0.0] * len(_LANGS)
     for w in words:
@@ -80,7 +80,8 @@ def language(words: list[str]) -> str | None:
                 score[k] += x
     best = max(range(len(score)), key=score.__getitem__)
     rest = max(x for k, x in enumerate(score) if k != best)
-    return _LANGS[best] if score[best] >= 1.5 and score[best] >= 1.8 * rest and score[best] >= 0.1 * len(words) else None
+    return _LANGS[best] if score[best] >= max(least, 1.5 * rest, 0.05 * len(words)) else None
+
 
 
 def _words(text: str) -> list[str]:
@@ -109,6 +110,8 @@ class Pair:
         own = None if _ASKS_LANGUAGE.search((instruction or "").lower()) else language(asked)
         clauses = [c for c in _CLAUSE.split(response) if c and _WORD.search(c)]
         self.features, self.sizes = [], []
+        # Code and data have words of their own.
+        spoken = language(_words(response), 2.0) if own and not (response.lstrip()[:1] == "{" or "```" in response or truncation._CODE.search(response)) else None
         given: set = set()
         for k, c in enumerate(clauses):
             low = c.lower()
@@ -116,7 +119,7 @@ class Pair:
             b = _bigrams(w)
             given.update(b)
             echo = sum(x in pairs for x in b) / len(b) if pairs else 0.0
-            lang = language(w) if own else None
+            lang = (language(w, 2.0) or spoken) if spoken else None
             last = k == len(clauses) - 1
             self.features.append((1, _CANNOT.search(low) is not None, _STORY.search(low) is not None, _REFERRAL.search(low) is not None, echo >= 0.7 and len(w) > 2, 0.3 <= echo < 0.7, lang is not None and lang != own, lang is not None and lang == own, cut and last, k == 0, last, len(w) < 4, c[0] in "\"“«„'", echo >= 0.7))
             self.sizes.append(len(c))
