@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodestone.llm import defects, encode, ledger, mixing, sampling, truncation
+from lodestone.llm import defects, encode, ledger, mixing, relations, sampling, truncation
 
 
 def _t(spark: SparkSession, d: str, name: str) -> DataFrame:
@@ -30,6 +30,18 @@ def p2_shares(spark, d):
     return truncation.share_by_origin(_t(spark, d, "raw_instructions"), _t(spark, d, "predict_log"))
 
 
+def p3_found(spark, d):
+    return relations.related(_t(spark, d, "raw_instructions"))
+
+
+def p3_splits(spark, d):
+    return relations.splits(_t(spark, d, "raw_instructions"), _t(spark, d, "split_targets"))
+
+
+def p3_shares(spark, d):
+    return relations.split_shares(_t(spark, d, "raw_instructions"), _t(spark, d, "split_targets"))
+
+
 def p4_found(spark, d):
     return sampling.sample(_t(spark, d, "raw_instructions"), _t(spark, d, "sample_targets"))[1].where("unmet").select("category")
 
