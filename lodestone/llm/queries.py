@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodestone.llm import defects, encode, ledger, mixing, relations, sampling, truncation
+from lodestone.llm import defects, encode, ledger, mixing, overlap, relations, sampling, truncation
 
 
 def _t(spark: SparkSession, d: str, name: str) -> DataFrame:
@@ -58,6 +58,18 @@ def p5_found(spark, d):
     return defects.defects(_t(spark, d, "raw_instructions"), _t(spark, d, "predict_log"))
 
 
+def _splits(spark, d):
+    return [_t(spark, d, n) for n in ("train", "validation", "test")]
+
+
+def p6_found(spark, d):
+    return overlap.pairs(*_splits(spark, d)).select("lo_idx", "hi_idx")
+
+
+def p6_report(spark, d):
+    return overlap.report(*_splits(spark, d))
+
+
 def p7_ids(spark, d):
     return encode.token_ids(_t(spark, d, "documents"))
 
