@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -56,6 +57,6 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
 def forget(df: DataFrame) -> None:
     """Delete the files of a materialized table that nothing reads any more."""
     jvm, conf = df.sparkSession._jvm, df.sparkSession._jsc.hadoopConfiguration()
-    for f in {x.rsplit("/", 1)[0] for x in df.inputFiles()}:
+    for f in {unquote(x.rsplit("/", 1)[0]) for x in df.inputFiles()}:
         p = jvm.org.apache.hadoop.fs.Path(f)
         p.getFileSystem(conf).delete(p, True)
