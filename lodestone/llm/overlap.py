@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lodestone.llm.ledger import keyed
-from lodestone.session import materialize
+from lodestone.session import forget, materialize
 
 COSINE = 0.4
 # The smaller of two matching vectors has at least this share of the larger one's words.
@@ -133,10 +133,13 @@ def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keep = []
         cols = [c.to_pylist() for c in b.columns[2:]]
         for ai, ac, ar, bi, bc, br in zip(*cols):
+            # The definition first: most pairs fall at their first field.
+            if not same_record((ai, ac, ar), (bi, bc, br)):
+                keep.append(False)
+                continue
             u, v = terms(ai, ar, memo), terms(bi, br, memo)
             dot = sum(m for t, m in u.items() if t in v)
-            norm = (sum(u.values()) * sum(v.values())) ** 0.5
-            keep.append((norm == 0 or dot >= COSINE * norm) and same_record((ai, ac, ar), (bi, bc, br)))
+            keep.append(dot >= COSINE * (sum(u.values()) * sum(v.values())) ** 0.5)
         yield pa.RecordBatch.from_arrays(b.columns[:2], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
 
@@ -172,9 +175,10 @@ def class_pairs(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     heads = members.where("gold_idx = cls").select("cls", "train", "other").distinct()
     texts = materialize(rows.join(heads, rows["gold_idx"] == heads["cls"]).select("cls", "train", "other", *FIELDS).dropDuplicates(["cls"]), "p6-texts")
     vectors = materialize(texts.select("cls", "train", "other", "instruction", "response").mapInArrow(_vectors, "cls bigint, train boolean, other boolean, total int, term bigint, mass int"), "p6-vectors")
-    met = candidates(vectors)
-    left = texts.select(F.col("cls").alias("a"), *[F.col(f).alias(f"a_{f}") for f in FIELDS])
-    right = texts.select(F.col("cls").alias("b"), *[F.col(f).alias(f"b_{f}") for f in FIELDS])
+    met = materialize(candidates(vectors), "p6-met")
+    forget(vectors)
+    left = texts.where("train").select(F.col("cls").alias("a"), *[F.col(f).alias(f"a_{f}") for f in FIELDS])
+    right = texts.where("other").select(F.col("cls").alias("b"), *[F.col(f).alias(f"b_{f}") for f in FIELDS])
     held = met.join(right, "b").join(left, "a").select("a", "b", *[f"a_{f}" for f in FIELDS], *[f"b_{f}" for f in FIELDS])
     near = materialize(held.mapInArrow(_verify, "a bigint, b bigint"), "p6-near")
     same = members.where("train and other").select(F.col("cls").alias("a"), F.col("cls").alias("b")).distinct()
