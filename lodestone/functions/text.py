@@ -7,6 +7,7 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 WS = r"[\t-\r \x1c-\x1f\x85\xa0\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
 WORD = r"[\p{L}\p{N}_]"
@@ -78,6 +79,10 @@ def flat_path(c: Column) -> Column:
     return F.replace(F.regexp_replace(c, r"^/+|/+\z", ""), F.lit("/"), F.lit("-"))
 
 
+# A type object, as workers import this module without a session that could parse a string.
+_MATCHES = T.StructType([T.StructField("common", T.IntegerType()), T.StructField("lcs", T.IntegerType())])
+
+
 def lcs_length(a: list, b: list) -> int:
     """Longest common subsequence, bit-parallel: one big-integer step for each token of ``b``."""
     at: dict = {}
@@ -104,7 +109,7 @@ def overlap(a: list, b: list) -> int:
     return n
 
 
-@F.pandas_udf("common int, lcs int")
+@F.pandas_udf(_MATCHES)
 def token_matches(pairs: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
     """Multiset overlap and longest common subsequence of two token arrays, linear where expressions are quadratic."""
     for p, r in pairs:
