@@ -32,8 +32,9 @@ from lodestone.llm.ledger import keyed
 from lodestone.session import forget, materialize
 
 COSINE = 0.4
-# The smaller of two matching vectors has at least this share of the larger one's words.
-LENGTH_RATIO = 0.7
+# The smaller of two matching vectors has at least this share of the larger one's words: the definition lets an eighth
+# of the words differ, or two, which is more than that in very short records.
+LENGTH_RATIO, SHORT, SHORT_RATIO = 0.8, 12, 0.6
 MIN_RUN, MAX_RUN = 3, 8
 FIELDS = ("instruction", "context", "response")
 
@@ -149,12 +150,13 @@ def candidates(vectors: DataFrame) -> DataFrame:
     shared = vectors.join(both, "term")
     # Weight of this and all more frequent shared terms: what is still to come if the earlier ones do not match.
     rest = F.sum("mass").over(Window.partitionBy("cls").orderBy(F.col("df").desc(), "term").rowsBetween(Window.unboundedPreceding, 0))
-    least = COSINE * LENGTH_RATIO**0.5 * F.col("total")
+    ratio = lambda n: F.when(n >= SHORT, LENGTH_RATIO).otherwise(SHORT_RATIO)
+    least = COSINE * F.sqrt(ratio(F.col("total"))) * F.col("total")
     shared = shared.withColumn("rest", rest).withColumn("left_out", F.coalesce(F.sum(F.when(F.col("rest") < least, F.col("mass"))).over(Window.partitionBy("cls")), F.lit(0)))
     listed = materialize(shared.where(F.col("rest") >= least).select("cls", "train", "other", "total", "left_out", "term", "mass"), "p6-lists")
     x = listed.where("train").select("term", "mass", F.col("cls").alias("a"), F.col("total").alias("na"), F.col("left_out").alias("la"))
     y = listed.where("other").select("term", F.col("cls").alias("b"), F.col("total").alias("nb"), F.col("left_out").alias("lb"))
-    met = x.join(y, "term").where((F.col("a") != F.col("b")) & (F.least("na", "nb") >= LENGTH_RATIO * F.greatest("na", "nb")))
+    met = x.join(y, "term").where((F.col("a") != F.col("b")) & (F.least("na", "nb") >= ratio(F.greatest("na", "nb")) * F.greatest("na", "nb")))
     # The product cannot exceed what matched in the lists plus what either side left out of them.
     bound = F.struct(F.least("la", "lb").alias("more"), (COSINE * F.sqrt(F.col("na").cast("double") * F.col("nb"))).alias("need"))
     sums = met.groupBy("a", "b").agg(F.sum("mass").alias("dot"), F.first(bound).alias("k"))
