@@ -25,7 +25,7 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lodestone.llm.ledger import keyed
@@ -81,26 +81,47 @@ def terms(instruction: str | None, response: str | None, memo: dict[str, bool])
     return out
 
 
+def counts(fields: tuple[str | None, ...], memo: dict[str, int]) -> list[int]:
+    """How many words of each field fall into each of eight hash buckets; words that count as equal share a bucket."""
+    out = [0] * (8 * len(fields))
+    for k, text in enumerate(fields):
+        for w in words(text):
+            if (b := memo.get(w)) is None:
+                b = memo[w] = xxhash.xxh3_64_intdigest(_bag_key(w)) & 7
+            out[8 * k + b] += 1
+    if len(memo) > 200_000:
+        memo.clear()
+    return out
+
+
 def _vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    memo: dict[str, bool] = {}
-    names = ["cls", "train", "other", "total", "term", "mass"]
+    """One row per term; a class's first row also carries its word counts."""
+    ends: dict[str, bool] = {}
+    memo: dict[str, int] = {}
+    names = ["cls", "train", "other", "total", "term", "mass", "counts"]
     for b in batches:
-        cls, tr, ot, total, term, mass = [], [], [], [], [], []
-        for c, t, o, ask, answer in zip(*(x.to_pylist() for x in b.columns)):
-            v = terms(ask, answer, memo)
+        cls, tr, ot, total, term, mass, sig = [], [], [], [], [], [], []
+        for c, t, o, ask, given, answer in zip(*(x.to_pylist() for x in b.columns)):
+            v = terms(ask, answer, ends)
             n = len(v)
-            cls += [c] * n
-            tr += [t] * n
-            ot += [o] * n
-            total += [sum(v.values())] * n
-            term += v.keys()
-            mass += v.values()
-        kinds = (pa.int64(), pa.bool_(), pa.bool_(), pa.int32(), pa.int64(), pa.int32())
-        yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip((cls, tr, ot, total, term, mass), kinds)], names=names)
+            if n:
+                cls += [c] * n
+                tr += [t] * n
+                ot += [o] * n
+                total += [sum(v.values())] * n
+                term += v.keys()
+                mass += v.values()
+                sig += [counts((ask, given, answer), memo)] + [None] * (n - 1)
+        kinds = (pa.int64(), pa.bool_(), pa.bool_(), pa.int32(), pa.int64(), pa.int32(), pa.list_(pa.int32()))
+        yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip((cls, tr, ot, total, term, mass, sig), kinds)], names=names)
+
+
+def _bag_key(w: str) -> str:
+    return w if len(w) < 4 or w.isdigit() else w[0] + "".join(sorted(w[1:]))
 
 
 def _bag(ws: list[str]) -> Counter:
-    return Counter(w if len(w) < 4 or w.isdigit() else w[0] + "".join(sorted(w[1:])) for w in ws)
+    return Counter(map(_bag_key, ws))
 
 
 def same_field(a: list[str], b: list[str]) -> tuple[bool, int]:
@@ -144,6 +165,19 @@ def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays(b.columns[:2], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
 
+def _may_agree(x: Column, y: Column) -> Column:
+    """What :func:`same_field` needs at least: bucket counts may differ by no more words than a field may."""
+    ok = F.lit(True)
+    for k in range(len(FIELDS)):
+        p, q = F.slice(x, 8 * k + 1, 8), F.slice(y, 8 * k + 1, 8)
+        total = lambda a: F.aggregate(a, F.lit(0), lambda s, v: s + v)
+        more = lambda a, b: total(F.zip_with(a, b, lambda u, v: F.greatest(u - v, F.lit(0))))
+        n = F.greatest(total(p), total(q))
+        allowed = F.when(n < 4, 0).when(n < 8, 1).otherwise(F.greatest(F.lit(2), F.floor(0.15 * n).cast("int")))
+        ok = ok & (F.greatest(more(p, q), more(q, p)) <= allowed)
+    return ok
+
+
 def candidates(vectors: DataFrame) -> DataFrame:
     """``a, b``: classes with training rows and classes with evaluation rows that meet in the inverted lists."""
     both = vectors.groupBy("term").agg(F.count_if("train").alias("nt"), F.count_if("other").alias("no")).where("nt > 0 and no > 0").select("term", (F.col("nt") + F.col("no")).alias("df"))
@@ -160,7 +194,12 @@ def candidates(vectors: DataFrame) -> DataFrame:
     # The product cannot exceed what matched in the lists plus what either side left out of them.
     bound = F.struct(F.least("la", "lb").alias("more"), (COSINE * F.sqrt(F.col("na").cast("double") * F.col("nb"))).alias("need"))
     sums = met.groupBy("a", "b").agg(F.sum("mass").alias("dot"), F.first(bound).alias("k"))
-    return sums.where(F.col("dot") + F.col("k.more") >= F.col("k.need") - 1e-9).select("a", "b")
+    sums = sums.where(F.col("dot") + F.col("k.more") >= F.col("k.need") - 1e-9).select("a", "b")
+    # Texts are only fetched for pairs whose word counts allow all three fields to agree.
+    sizes = vectors.where("counts is not null")
+    sums = sums.join(sizes.where("other").select(F.col("cls").alias("b"), F.col("counts").alias("cb")), "b")
+    sums = sums.join(sizes.where("train").select(F.col("cls").alias("a"), F.col("counts").alias("ca")), "a")
+    return sums.where(_may_agree(F.col("ca"), F.col("cb"))).select("a", "b")
 
 
 def records(train: DataFrame, validation: DataFrame, test: DataFrame) -> DataFrame:
@@ -176,7 +215,7 @@ def class_pairs(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     members = materialize(keys.join(classes, "key").select(F.col("idx").alias("gold_idx"), "split", "source_name", "cls", "train", "other"), "p6-members")
     heads = members.where("gold_idx = cls").select("cls", "train", "other").distinct()
     texts = materialize(rows.join(heads, rows["gold_idx"] == heads["cls"]).select("cls", "train", "other", *FIELDS).dropDuplicates(["cls"]), "p6-texts")
-    vectors = materialize(texts.select("cls", "train", "other", "instruction", "response").mapInArrow(_vectors, "cls bigint, train boolean, other boolean, total int, term bigint, mass int"), "p6-vectors")
+    vectors = materialize(texts.select("cls", "train", "other", *FIELDS).mapInArrow(_vectors, "cls bigint, train boolean, other boolean, total int, term bigint, mass int, counts array<int>"), "p6-vectors")
     met = materialize(candidates(vectors), "p6-met")
     forget(vectors)
     left = texts.where("train").select(F.col("cls").alias("a"), *[F.col(f).alias(f"a_{f}") for f in FIELDS])
