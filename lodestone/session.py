@@ -60,3 +60,19 @@ def forget(df: DataFrame) -> None:
     for f in {unquote(x.rsplit("/", 1)[0]) for x in df.inputFiles()}:
         p = jvm.org.apache.hadoop.fs.Path(f)
         p.getFileSystem(conf).delete(p, True)
+
+
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Give the executors' Python workers this package, once per application."""
+    import shutil
+    from pathlib import Path
+
+    app = spark.sparkContext.applicationId
+    if app not in _shipped:
+        _shipped.add(app)
+        here = Path(__file__).resolve().parent
+        folder = tempfile.mkdtemp(prefix="lodestone-ship-")
+        spark.sparkContext.addPyFile(shutil.make_archive(f"{folder}/{here.name}", "zip", here.parent, here.name))

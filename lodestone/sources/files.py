@@ -64,7 +64,7 @@ def read_jsonl_strict(spark: SparkSession, path: str) -> DataFrame:
     bad = lines.mapInArrow(_not_json, "value string")
     if not bad.isEmpty():
         # Numbered only on this path; one file is read in order by one task.
-        text = spark.read.option("wholetext", "true").text(path).first()[0]
+        text = spark.read.text(path, wholetext=True).first()[0]
         for n, line in enumerate(text.split("\n"), 1):
             if line.strip():
                 try:
