@@ -27,6 +27,7 @@ from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -150,23 +151,32 @@ def inspect(text: str | None) -> tuple[str, str | None, list[str]]:
 
 
 def inspected(values: DataFrame) -> DataFrame:
-    """``values`` (field_name, row_key, origin, text) with ``verdict, tail``; rows of a null row_key carry shown ends."""
+    """``values`` (field_name, row_key, origin, text) with ``verdict, tail, norm``; rows with ``seen`` carry shown ends.
+
+    ``norm`` is the value's letters and digits for values of few words, and their digest where the tail ends in dots.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["field_name", "row_key", "origin", "verdict", "tail", "seen"]
+        names = ["field_name", "row_key", "origin", "verdict", "tail", "norm", "seen"]
         for b in batches:
-            verdicts, tails, shown = [], [], Counter()
+            verdicts, tails, norms, shown = [], [], [], Counter()
             for t in b.column(3).to_pylist():
                 v, tail, ends = inspect(t)
                 verdicts.append(v)
                 tails.append(tail)
                 shown.update(ends)
+                if v != MISSING and (tail is not None and tail[:2] == "E|" or len(t) <= 200 and len(t.split(None, SHORT_WORDS)) <= SHORT_WORDS):
+                    norm = "".join(c for c in t.upper() if c.isalnum())
+                    norms.append(xxhash.xxh3_128_hexdigest(norm) if tail and tail[:2] == "E|" else norm)
+                else:
+                    norms.append(None)
             n, k = b.num_rows, len(shown)
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), b.column(2), pa.array(verdicts, pa.string()), pa.array(tails, pa.string()), pa.nulls(n, pa.int64())], names=names)
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), b.column(2), *(pa.array(x, pa.string()) for x in (verdicts, tails, norms)), pa.nulls(n, pa.int64())], names=names)
             if k:
-                yield pa.RecordBatch.from_arrays([pa.nulls(k, pa.string()), pa.nulls(k, pa.int64()), pa.nulls(k, pa.string()), pa.nulls(k, pa.string()), pa.array(list(shown), pa.string()), pa.array(list(shown.values()), pa.int64())], names=names)
+                none = pa.nulls(k, pa.string())
+                yield pa.RecordBatch.from_arrays([none, pa.nulls(k, pa.int64()), none, none, pa.array(list(shown), pa.string()), none, pa.array(list(shown.values()), pa.int64())], names=names)
 
-    return values.select("field_name", "row_key", "origin", "text").mapInArrow(run, "field_name string, row_key bigint, origin string, verdict string, tail string, seen bigint")
+    return values.select("field_name", "row_key", "origin", "text").mapInArrow(run, "field_name string, row_key bigint, origin string, verdict string, tail string, norm string, seen bigint")
 
 
 def strict_prefixes(texts: DataFrame) -> DataFrame:
@@ -174,7 +184,9 @@ def strict_prefixes(texts: DataFrame) -> DataFrame:
 
     One range-partitioned sort; the neighbours across partition borders are compared in a frame of one row a partition.
     """
-    ordered = texts.where("norm <> ''").select("norm").distinct().repartitionByRange("norm").sortWithinPartitions("norm")
+    # Written once: finding the range borders reads the values a first time, the sort a second.
+    values = materialize(texts.where("norm <> ''").select("norm").distinct(), "p2-values")
+    ordered = values.repartitionByRange("norm").sortWithinPartitions("norm")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
@@ -204,23 +216,22 @@ def judged(values: DataFrame) -> DataFrame:
     seen = materialize(inspected(values), "p2-ends")
     natural = seen.where("seen is not null").groupBy("tail").agg(F.sum("seen").alias("times")).where(F.col("times") >= MIN_SEEN).select(F.col("tail").alias("known"))
     rows = seen.where("seen is null and verdict <> 'missing'")
-    dotted = rows.where("verdict = 'open' and tail like 'E|%'").select("field_name", "row_key", "origin", "verdict", "tail")
+    dotted = rows.where("verdict = 'open' and tail like 'E|%'").select("field_name", "row_key", "origin", "verdict", "tail", "norm")
     ask = rows.where("verdict = 'open' and tail not like 'E|%'")
     asked = ask.join(natural, F.col("tail") == F.col("known"), "left")
     # An end known from the corpus is whole; a short phrase has no end to look up and is left to the prefixes.
     settled = asked.withColumn("verdict", F.when(F.col("tail") == "", OPEN).when(F.col("known").isNotNull(), WHOLE).otherwise(CUT)).drop("known")
     open_ = settled.where(F.col("verdict") == OPEN)
-    norm = values.where(F.col("text").isNotNull()).select("field_name", "row_key", letters(F.col("text")).alias("norm"))
     # Set phrases before dots: in several different values, of three words or more, and no way to begin a sentence.
-    said = dotted.join(norm, ["field_name", "row_key"]).groupBy("tail").agg(F.count_distinct(F.xxhash64("norm")).alias("values")).where((F.col("values") >= DISTINCT_DOTTED) & F.col("tail").rlike(r"^E\|\S+ \S+ \S+"))
+    said = dotted.groupBy("tail").agg(F.count_distinct("norm").alias("values")).where((F.col("values") >= DISTINCT_DOTTED) & F.col("tail").rlike(r"^E\|\S+ \S+ \S+"))
     begins = F.concat(F.lit("B|"), F.substring_index(F.regexp_replace(F.substring("tail", 3, 1 << 30), r"(?<!\S)\d+(?!\S)", "0"), " ", 3))
     phrases = said.withColumn("known", begins).join(natural, "known", "left_anti").select("tail", F.lit(True).alias("phrase"))
     dotted = dotted.join(phrases, "tail", "left").select("field_name", "row_key", "origin", F.when(F.col("phrase"), WHOLE).otherwise(CUT).alias("verdict"), "tail")
-    prefixes = strict_prefixes(norm.select("norm"))
-    short = open_.join(norm, ["field_name", "row_key"]).where("length(norm) >= 6")
-    counts = norm.join(short.select("norm").distinct(), "norm").groupBy("norm").count()
-    cut_short = short.join(prefixes, "norm").join(counts.where("count < 2"), "norm").select("field_name", "row_key", F.lit(True).alias("stub")).distinct()
-    all_rows = rows.where("verdict <> 'open'").drop("seen").unionByName(settled.drop("seen")).unionByName(dotted)
+    prefixes = strict_prefixes(values.where(F.col("text").isNotNull()).select(letters(F.col("text")).alias("norm")))
+    short = open_.where("length(norm) >= 6").select("field_name", "row_key", "norm")
+    counts = rows.where("norm is not null and tail is null or tail not like 'E|%'").groupBy("norm").count().where("count < 2").select("norm")
+    cut_short = short.join(prefixes, "norm").join(counts, "norm").select("field_name", "row_key", F.lit(True).alias("stub")).distinct()
+    all_rows = rows.where("verdict <> 'open'").drop("seen", "norm").unionByName(settled.drop("seen", "norm")).unionByName(dotted)
     return all_rows.join(cut_short, ["field_name", "row_key"], "left").select(
         "field_name", "row_key", "origin", ((F.col("verdict") == CUT) | F.coalesce("stub", F.lit(False))).alias("truncated")
     )
