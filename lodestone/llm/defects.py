@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import functools
 import json
+import pkgutil
 import re
 from collections.abc import Iterator
 from pathlib import Path
@@ -150,7 +151,7 @@ def weak_labels(pair: Pair) -> list[int]:
 
 @functools.lru_cache(maxsize=1)
 def weights() -> tuple[np.ndarray, np.ndarray]:
-    w = json.loads(WEIGHTS.read_text())
+    w = json.loads(pkgutil.get_data(__package__, WEIGHTS.name))
     return np.array(w["emit"]), np.array(w["move"])
 
 

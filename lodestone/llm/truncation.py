@@ -139,8 +139,8 @@ def inspect(text: str | None) -> tuple[str, str | None, list[str]]:
         return CUT, None, shown
     words = _WORD.findall(rest)
     if sentences:
-        last_line = rest.rsplit("\n", 1)[-1]
-        if _SIGNED.match(s[len(s) - len(last_line) :]) and "\n" in rest:
+        last_line = s.rsplit("\n", 1)[-1]
+        if "\n" in s and _SIGNED.match(last_line) and len(last_line) <= len(rest) + 1:
             return WHOLE, None, shown
         return (CUT if len(sentences) > 1 or len(words) > 1 or s[-1].isalpha() else OPEN), f"S|{_tail(words)}", shown
     if len(words) <= SHORT_WORDS:
