@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from lodestone.config import SelectionConfig
 from lodestone.functions import numeric as N
 from lodestone.functions import text as T
-from lodestone.operators import prompts, quality, records, runs, selection, stats
+from lodestone.operators import evaluation, prompts, quality, records, runs, selection, stats
 from lodestone.plans import sql as S
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -398,6 +398,37 @@ def parameter_totals(spark, d):
     return c.groupBy("method").agg(F.count(F.lit(1)).alias("tensors"), F.sum(F.when(F.col("method") == "qlora", 2).otherwise(1) * F.col("model_size_mb")).alias("parameters"))
 
 
+_REPORT = f"""lat AS (SELECT model, round(avg(latency_ms), 6) AS mean_ms, round({S.pick("latency_ms", 0.95, "round")}, 6) AS p95_ms, round(0.6::double / (3600.0::double / (avg(latency_ms) / 1000.0::double)) * 1000.0::double, 9) AS cost_per_1k_usd FROM predict_log WHERE latency_ms IS NOT NULL GROUP BY model),
+ q AS (SELECT model, round(avg(coalesce((finish_reason = 'stop')::int, 0)), 6) AS stopped FROM predict_log GROUP BY model), rep AS (SELECT * FROM q LEFT JOIN lat USING (model))"""
+
+
+def _report(spark, d) -> DataFrame:
+    log = _t(spark, d, "predict_log")
+    q = log.groupBy("model").agg(F.round(F.avg(F.coalesce((F.col("finish_reason") == "stop").cast("int"), F.lit(0))), 6).alias("stopped"))
+    lat = evaluation.latency_and_cost(log, "model", "latency_ms", "completion_tokens")
+    return evaluation.report("model", q, lat.select("model", F.round("mean_ms", 6).alias("mean_ms"), F.round("p95_ms", 6).alias("p95_ms"), F.round("cost_per_1k_usd", 9).alias("cost_per_1k_usd")))
+
+
+@_query(S.with_(_REPORT) + "SELECT * FROM rep")
+def evaluation_report(spark, d):
+    return _report(spark, d)
+
+
+@_query(S.with_(_REPORT) + "SELECT model, key, value FROM (UNPIVOT rep ON stopped, mean_ms, p95_ms, cost_per_1k_usd INTO NAME key VALUE value)")
+def report_metrics(spark, d):
+    return evaluation.as_metrics(_report(spark, d), "model")
+
+
+@_query(S.with_(_REPORT) + "SELECT model AS run_id, stopped AS quality, p95_ms AS latency_ms, 0.0::double AS memory_mb, 0.0::double AS model_size_mb, cost_per_1k_usd FROM rep")
+def candidates_from_report(spark, d):
+    return evaluation.candidates_from_report(_report(spark, d), "model", "stopped")
+
+
+@_query("SELECT log_id, request_id, prompt FROM predict_log WHERE log_id < 200")
+def evaluation_head(spark, d):
+    return records.head(_t(spark, d, "predict_log"), 200, "log_id").select("log_id", "request_id", "prompt")
+
+
 # Run store
 
 _KEYS = ("quality", "latency_ms", "memory_mb", "model_size_mb", "cost_per_1k_usd")

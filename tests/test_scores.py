@@ -115,3 +115,25 @@ def test_small_text_functions(spark):
     df = spark.createDataFrame([("eval_loss", "/a/b/", "c.s.m", "x" * 491)], "k string, p string, n string, v string")
     r = df.select(T.metric_key(F.col("k")).alias("k"), T.flat_path(F.col("p")).alias("p"), T.is_three_level(F.col("n")).alias("n"), T.truncated_param(F.col("v")).alias("v"), T.short_name(F.lit("o/m")).alias("s")).first()
     assert (r.k, r.p, r.n, len(r.v), r.v[-3:], r.s) == ("eval/loss", "a-b", True, 490, "...", "m")
+
+
+def test_predictions_by_a_hook(spark):
+    from lodestone.operators import evaluation
+
+    def load():
+        return lambda prompts: [f" {p.upper()} " for p in prompts]
+
+    got = evaluation.predict(spark.createDataFrame([(1, "a"), (2, None)], "i int, prompt string"), load).orderBy("i").collect()
+    assert [r.prediction for r in got] == ["A", ""]
+    with pytest.raises(RuntimeError):
+        evaluation.train(print)
+
+
+def test_report_parts_that_were_not_measured(spark):
+    from lodestone.operators import evaluation
+
+    q = spark.createDataFrame([("a", 0.5), ("b", 0.4)], "run string, rouge_l double")
+    lat = spark.createDataFrame([("a", 10.0)], "run string, p95_ms double")
+    r = evaluation.report("run", q, lat)
+    assert evaluation.as_metrics(r, "run").count() == 3
+    assert {x.run_id: x.latency_ms for x in evaluation.candidates_from_report(r, "run").collect()} == {"a": 10.0, "b": 0.0}
