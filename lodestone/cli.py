@@ -26,7 +26,7 @@ def prepare(spark, config: Config, out: str) -> dict:
     for name in ("train", "validation", "test"):
         split.where(split["split"] == name).drop("bucket", "split").write.mode("overwrite").parquet(f"{out}/{name}")
     summary = R.validation_summary(judged).first().asDict() | {"drops": {r["reason"]: r["n"] for r in R.drop_counts(judged).collect()}}
-    summary |= {"splits": {r["split"]: r["n"] for r in R.split_sizes(split).collect()}, "content_hash": R.multiset_hash(split)}
+    summary |= {"splits": {r["split"]: r["n"] for r in R.split_sizes(split).collect()}, "content_hash": R.multiset_hash(split)[0]}
     files.write_json_report(summary, f"{out.removeprefix('file://')}/summary.json")
     return summary
 

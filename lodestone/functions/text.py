@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 WS = r"[\t-\r \x1c-\x1f\x85\xa0\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
+# The same characters for trimming, which looks at the ends of a text only.
+WS_CHARS = "".join(map(chr, (*range(0x09, 0x0E), 0x20, *range(0x1C, 0x20), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)))
 WORD = r"[\p{L}\p{N}_]"
 # The 32 ASCII punctuation characters.
 PUNCTUATION = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
@@ -21,19 +23,24 @@ def text(c: Column) -> Column:
 
 
 def strip(c: Column) -> Column:
-    return F.regexp_replace(c, rf"^{WS}+|{WS}+\z", "")
+    return F.btrim(c, F.lit(WS_CHARS))
+
+
+def one_blank(c: Column) -> Column:
+    """Runs of blanks and tabs to one blank; single blanks, the common case, are not matched."""
+    return F.regexp_replace(c, r"[ \t]{2,}|\t", " ")
 
 
 def clean_text(c: Column) -> Column:
     """Line ends to LF, runs of blanks to one, three or more line ends to two, stripped; null becomes ''."""
     x = F.regexp_replace(text(c), r"\r\n?", "\n")
-    x = F.regexp_replace(x, r"[ \t]+", " ")
+    x = one_blank(x)
     return strip(F.regexp_replace(x, r"\n{3,}", "\n\n"))
 
 
 def canonical_text(c: Column) -> Column:
     """The form that is hashed: stripped, lower case, blanks collapsed; line ends stay."""
-    return F.regexp_replace(F.lower(strip(c)), r"[ \t]+", " ")
+    return one_blank(F.lower(strip(c)))
 
 
 def content_hash(instruction: Column, context: Column, response: Column) -> Column:
@@ -44,7 +51,7 @@ def normalize_answer(c: Column) -> Column:
     """Lower case, ASCII punctuation deleted, articles to blanks, white space collapsed, stripped."""
     x = F.translate(F.lower(text(c)), PUNCTUATION, "")
     x = F.regexp_replace(x, rf"(?<!{WORD})(?:a|an|the)(?!{WORD})", " ")
-    return strip(F.regexp_replace(x, rf"{WS}+", " "))
+    return strip(F.regexp_replace(x, rf"{WS}{{2,}}|(?! ){WS}", " "))
 
 
 def answer_tokens(c: Column) -> Column:

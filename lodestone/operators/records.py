@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from lodestone.config import DataConfig
 from lodestone.functions.text import canonical_text, clean_text, content_hash, strip, text
+from lodestone.session import forget, materialize
 
 # Column names under which common data sets keep each canonical field, best first (fixed values).
 INSTRUCTION_NAMES = ("instruction", "prompt", "question", "input_text", "query")
@@ -83,7 +84,8 @@ def judged(records: DataFrame, c: DataConfig = DataConfig()) -> DataFrame:
     r = with_hash(records.withColumn("failed", failed_rule(c)))
     if not c.dedupe:
         return r.withColumnRenamed("failed", "reason")
-    firsts = r.where("failed is null").groupBy("content_hash").agg(F.min("_idx").alias("first_idx"))
+    # Conditional aggregation: a filter on ``failed`` would be pushed below the cleaning and repeat it for every rule.
+    firsts = r.groupBy("content_hash").agg(F.min(F.when(F.col("failed").isNull(), F.col("_idx"))).alias("first_idx"))
     return r.join(firsts, "content_hash", "left").select(
         *[x for x in r.columns if x != "failed"], F.coalesce("failed", F.when(F.col("_idx") != F.col("first_idx"), F.lit("duplicate"))).alias("reason")
     )
@@ -161,31 +163,31 @@ def _blobs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(["".join(b.column(0).to_pylist())])], names=["digits"])
 
 
-def multiset_hash(hashes: DataFrame) -> str:
-    """SHA-256 over the sorted digests of column ``content_hash``: the same whatever the order of the rows.
+def multiset_hash(hashes: DataFrame) -> tuple[str, int]:
+    """SHA-256 over the sorted digests of column ``content_hash``, the same whatever the order of the rows; their number.
 
     The digest is sequential by definition. The sort is distributed, and the driver consumes it one partition at a
-    time, so its memory does not grow with the data.
+    time, so its memory does not grow with the data. The digests are written once, as finding the range borders and
+    sorting read them twice.
     """
-    ordered = hashes.select("content_hash").repartitionByRange("content_hash").sortWithinPartitions("content_hash")
-    total = hashlib.sha256()
+    written = materialize(hashes.select("content_hash"), "digests")
+    ordered = written.repartitionByRange("content_hash").sortWithinPartitions("content_hash")
+    total, n = hashlib.sha256(), 0
     for row in ordered.mapInArrow(_blobs, "digits string").toLocalIterator():
         total.update(row[0].encode("ascii"))
-    return total.hexdigest()
+        n += len(row[0]) // 64
+    forget(written)
+    return total.hexdigest(), n
 
 
 def fingerprint(records: DataFrame) -> DataFrame:
     """One row: ``content_hash`` of all records and their number."""
-    spark = records.sparkSession
-    h = records.select("content_hash") if "content_hash" in records.columns else with_hash(records).select("content_hash")
-    return spark.createDataFrame([(multiset_hash(h), h.count())], "content_hash string, num_examples bigint")
+    h = records if "content_hash" in records.columns else with_hash(records)
+    return records.sparkSession.createDataFrame([multiset_hash(h)], "content_hash string, num_examples bigint")
 
 
 def split_fingerprints(split: DataFrame) -> DataFrame:
-    rows = []
-    for name in ("train", "validation", "test"):
-        part = split.where(F.col("split") == name)
-        rows.append((name, multiset_hash(part), part.count()))
+    rows = [(name, *multiset_hash(split.where(F.col("split") == name))) for name in ("train", "validation", "test")]
     return split.sparkSession.createDataFrame(rows, "split string, content_hash string, num_examples bigint")
 
 
@@ -216,8 +218,6 @@ def sampled(df: DataFrame, n: int, seed: int, key: str) -> DataFrame:
 def positions(df: DataFrame, order: list[str], idx: str = "_idx") -> DataFrame:
     """Consecutive ordinals in the given order without a single-task sort: offsets of range partitions are added up."""
     part = df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_part", F.spark_partition_id())
-    from lodestone.session import materialize
-
     part = materialize(part, "positions")
     sizes = part.groupBy("_part").count().withColumn("_before", F.sum("count").over(Window.orderBy("_part")) - F.col("count"))
     within = F.row_number().over(Window.partitionBy("_part").orderBy(*order)) - 1
