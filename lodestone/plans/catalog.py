@@ -12,6 +12,7 @@ from lodestone.functions import numeric as N
 from lodestone.functions import text as T
 from lodestone.operators import evaluation, prompts, quality, records, runs, selection, stats
 from lodestone.plans import sql as S
+from lodestone.streaming import requests
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 _SQL: dict[str, str] = {}
@@ -316,12 +317,12 @@ def best_worst_samples(spark, d):
 
 
 @_query(
-    f"""SELECT model, count(*) AS n, round(avg(latency_ms), 6) AS mean_ms, round(quantile_cont(latency_ms, 0.5), 6) AS median_ms, round({S.pick("latency_ms", 0.95, "round")}, 6) AS p95_ms, round({S.pick("latency_ms", 0.99, "round")}, 6) AS p99_ms,
+    f"""SELECT model, count(*) AS n, round(avg(latency_ms), 9) AS mean_ms, round(quantile_cont(latency_ms, 0.5), 6) AS median_ms, round({S.pick("latency_ms", 0.95, "round")}, 6) AS p95_ms, round({S.pick("latency_ms", 0.99, "round")}, 6) AS p99_ms,
  min(latency_ms) AS min_ms, max(latency_ms) AS max_ms, round(coalesce(stddev_samp(latency_ms), 0), 4) AS std_ms, round(avg(completion_tokens) / (avg(latency_ms) / 1000), 4) AS tokens_per_second FROM predict_log WHERE latency_ms IS NOT NULL GROUP BY model"""
 )
 def latency_summary(spark, d):
     s = stats.latency_summary(_t(spark, d, "predict_log"), ["model"], "latency_ms", "completion_tokens")
-    r6 = [F.round(c, 6).alias(c) for c in ("mean_ms", "median_ms", "p95_ms", "p99_ms")]
+    r6 = [F.round(c, 9 if c == "mean_ms" else 6).alias(c) for c in ("mean_ms", "median_ms", "p95_ms", "p99_ms")]
     return s.select("model", "n", *r6, "min_ms", "max_ms", F.round("std_ms", 4).alias("std_ms"), F.round("tokens_per_second", 4).alias("tokens_per_second"))
 
 
@@ -398,7 +399,7 @@ def parameter_totals(spark, d):
     return c.groupBy("method").agg(F.count(F.lit(1)).alias("tensors"), F.sum(F.when(F.col("method") == "qlora", 2).otherwise(1) * F.col("model_size_mb")).alias("parameters"))
 
 
-_REPORT = f"""lat AS (SELECT model, round(avg(latency_ms), 6) AS mean_ms, round({S.pick("latency_ms", 0.95, "round")}, 6) AS p95_ms, round(0.6::double / (3600.0::double / (avg(latency_ms) / 1000.0::double)) * 1000.0::double, 9) AS cost_per_1k_usd FROM predict_log WHERE latency_ms IS NOT NULL GROUP BY model),
+_REPORT = f"""lat AS (SELECT model, round(avg(latency_ms), 9) AS mean_ms, round({S.pick("latency_ms", 0.95, "round")}, 6) AS p95_ms, round(0.6::double / (3600.0::double / (avg(latency_ms) / 1000.0::double)) * 1000.0::double, 9) AS cost_per_1k_usd FROM predict_log WHERE latency_ms IS NOT NULL GROUP BY model),
  q AS (SELECT model, round(avg(coalesce((finish_reason = 'stop')::int, 0)), 6) AS stopped FROM predict_log GROUP BY model), rep AS (SELECT * FROM q LEFT JOIN lat USING (model))"""
 
 
@@ -406,7 +407,7 @@ def _report(spark, d) -> DataFrame:
     log = _t(spark, d, "predict_log")
     q = log.groupBy("model").agg(F.round(F.avg(F.coalesce((F.col("finish_reason") == "stop").cast("int"), F.lit(0))), 6).alias("stopped"))
     lat = evaluation.latency_and_cost(log, "model", "latency_ms", "completion_tokens")
-    return evaluation.report("model", q, lat.select("model", F.round("mean_ms", 6).alias("mean_ms"), F.round("p95_ms", 6).alias("p95_ms"), F.round("cost_per_1k_usd", 9).alias("cost_per_1k_usd")))
+    return evaluation.report("model", q, lat.select("model", F.round("mean_ms", 9).alias("mean_ms"), F.round("p95_ms", 6).alias("p95_ms"), F.round("cost_per_1k_usd", 9).alias("cost_per_1k_usd")))
 
 
 @_query(S.with_(_REPORT) + "SELECT * FROM rep")
@@ -459,13 +460,37 @@ def alias_resolution(spark, d):
 @_query(
     f"""WITH c AS (SELECT client, count(*) AS requests, count(*) FILTER (WHERE coalesce(finish_reason = 'error', false)) AS errors, coalesce(sum(completion_tokens), 0)::bigint AS tokens FROM predict_log GROUP BY client),
  l AS (SELECT client, latency_ms, row_number() OVER (PARTITION BY client ORDER BY ts DESC, log_id DESC) AS k FROM predict_log WHERE latency_ms IS NOT NULL),
- s AS (SELECT client, round(avg(latency_ms), 6) AS mean_ms, {S.pick("latency_ms", 0.95, "round")} AS p95_ms FROM l WHERE k <= 1000 GROUP BY client) SELECT client, requests, errors, tokens, mean_ms, p95_ms FROM c LEFT JOIN s USING (client)"""
+ s AS (SELECT client, round(avg(latency_ms), 9) AS mean_ms, {S.pick("latency_ms", 0.95, "round")} AS p95_ms FROM l WHERE k <= 1000 GROUP BY client) SELECT client, requests, errors, tokens, mean_ms, p95_ms FROM c LEFT JOIN s USING (client)"""
 )
 def request_metrics_last1000(spark, d):
     log = _t(spark, d, "predict_log").select("log_id", "client", "ts", "latency_ms", "finish_reason", "completion_tokens")
     failed = F.coalesce(F.col("finish_reason") == "error", F.lit(False))
     m = stats.request_metrics(log, ["client"], "latency_ms", failed, [F.desc("ts"), F.desc("log_id")], "completion_tokens")
-    return m.select("client", "requests", "errors", "tokens", F.round("mean_ms", 6).alias("mean_ms"), "p95_ms")
+    return m.select("client", "requests", "errors", "tokens", F.round("mean_ms", 9).alias("mean_ms"), "p95_ms")
+
+
+# Streams
+
+
+def _stream(spark, d, name) -> DataFrame:
+    return spark.readStream.schema(_t(spark, d, name).schema).parquet(f"{d}/{name}.parquet*")
+
+
+@_query(
+    f"""WITH c AS (SELECT model AS name, count(*) AS requests, count(*) FILTER (WHERE coalesce(finish_reason = 'error', false)) AS errors FROM predict_log GROUP BY model),
+ l AS (SELECT model AS name, latency_ms, row_number() OVER (PARTITION BY model ORDER BY ts DESC, log_id DESC) AS k FROM predict_log WHERE latency_ms IS NOT NULL),
+ s AS (SELECT name, round(avg(latency_ms), 9) AS mean_ms, {S.pick("latency_ms", 0.95, "round")} AS p95_ms, count(*)::int AS held FROM l WHERE k <= 1000 GROUP BY name) SELECT * FROM c JOIN s USING (name)"""
+)
+def stream_request_metrics(spark, d):
+    log = _stream(spark, d, "predict_log").select(F.col("model").alias("name"), F.col("ts").alias("at"), F.col("log_id").alias("seq"), F.col("latency_ms").alias("ms"), F.coalesce(F.col("finish_reason") == "error", F.lit(False)).alias("failed"))
+    out = requests.run_to_table(requests.request_metrics(log), "update")
+    last = out.groupBy("name").agg(F.max_by(F.struct("requests", "errors", "mean_ms", "p95_ms", "held"), "requests").alias("s"))
+    return last.select("name", "s.requests", "s.errors", F.round("s.mean_ms", 9).alias("mean_ms"), "s.p95_ms", "s.held")
+
+
+@_query(S.with_(S.REC, S.RULED) + "SELECT coalesce(failed, 'kept') AS reason, count(*) AS n FROM ruled GROUP BY 1")
+def stream_drop_counts(spark, d):
+    return requests.run_to_table(requests.drop_counts(records.normalize(_stream(spark, d, "raw_instructions"), "raw_instructions")), "complete")
 
 
 # Names

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import heapq
+import sys
 from collections.abc import Iterator
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
@@ -12,6 +15,7 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from lodestone.config import DataConfig
 from lodestone.operators.records import failed_rule
 from lodestone.operators.runs import finite_metrics
+from lodestone.session import shared_dir
 
 WINDOW = 1000
 OUTPUT = "name string, requests bigint, errors bigint, mean_ms double, p95_ms double, held int"
@@ -24,31 +28,37 @@ def percentile_rounded(values: list[float], q: float) -> float:
 
 
 class LastRequests(StatefulProcessor):
-    """Per name: counters over all requests, and the latest latencies, never more than the window."""
+    """Per name: counters over all requests, and the latencies of the latest ones, never more than the window.
+
+    The latest are those of the highest (at, seq), so late rows and the order within a batch do not matter.
+    """
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.counts = handle.getValueState("counts", "requests bigint, errors bigint")
-        self.recent = handle.getListState("recent", "ms double")
+        self.recent = handle.getListState("recent", "at timestamp, seq bigint, ms double")
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timers) -> Iterator[pd.DataFrame]:
         requests, errors = self.counts.get() if self.counts.exists() else (0, 0)
-        held = [r[0] for r in self.recent.get()]
+        held = [tuple(r) for r in self.recent.get()]
         for pdf in rows:
-            pdf = pdf.sort_values("at")
             requests += len(pdf)
             errors += int(pdf["failed"].sum())
-            held = (held + [float(x) for x in pdf["ms"].dropna()])[-WINDOW:]
+            new = pdf.dropna(subset=["ms", "at"])
+            held += zip(new["at"].dt.to_pydatetime(), new["seq"].tolist(), new["ms"].tolist())
+            held = heapq.nlargest(WINDOW, held)
         self.counts.update((requests, errors))
-        self.recent.put([(x,) for x in held])
-        mean = sum(held) / len(held) if held else 0.0
-        yield pd.DataFrame({"name": [key[0]], "requests": [requests], "errors": [errors], "mean_ms": [mean], "p95_ms": [percentile_rounded(held, 0.95)], "held": [len(held)]})
+        self.recent.put(held)
+        ms = [x for _, _, x in held]
+        yield pd.DataFrame({"name": [key[0]], "requests": [requests], "errors": [errors], "mean_ms": [sum(ms) / len(ms) if ms else 0.0], "p95_ms": [percentile_rounded(ms, 0.95)], "held": [len(ms)]})
 
     def close(self) -> None:
         pass
 
 
 def request_metrics(stream: DataFrame) -> DataFrame:
-    """Stream (name, at, ms, failed) to running metrics per name. Needs the RocksDB state store."""
+    """Stream (name, at, seq, ms, failed) to running metrics per name. Needs the RocksDB state store."""
+    # The runner that sets the processor up on the driver does not see files shipped to executors: send the code itself.
+    cloudpickle.register_pickle_by_value(sys.modules[__name__])
     return stream.groupBy("name").transformWithStateInPandas(statefulProcessor=LastRequests(), outputStructType=OUTPUT, outputMode="Update", timeMode="None")
 
 
@@ -63,3 +73,14 @@ def forward_metrics(stream: DataFrame, path: str, checkpoint: str):
 def drop_counts(stream: DataFrame, config: DataConfig = DataConfig()) -> DataFrame:
     """Running counts of records per broken rule, and of those kept, over a stream of canonical records."""
     return stream.withColumn("reason", F.coalesce(failed_rule(config), F.lit("kept"))).groupBy("reason").agg(F.count(F.lit(1)).alias("n"))
+
+
+def run_to_table(stream: DataFrame, mode: str) -> DataFrame:
+    """Everything the stream has now, run to its end, as the rows of a memory table of the run's own name."""
+    import uuid
+
+    spark, name = stream.sparkSession, f"run_{uuid.uuid4().hex}"
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    checkpoint = f"{shared_dir(spark)}/{spark.sparkContext.applicationId}/{name}"
+    stream.writeStream.format("memory").queryName(name).outputMode(mode).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
+    return spark.table(name)
