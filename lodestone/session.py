@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import uuid
+from pathlib import Path
 from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
@@ -37,7 +40,9 @@ def shared_dir(spark: SparkSession) -> str:
     if not path:
         if not spark.sparkContext.master.startswith("local["):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        path = "file://" + tempfile.mkdtemp(prefix="lodestone-")
+        folder = tempfile.mkdtemp(prefix="lodestone-")
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
+        path = "file://" + folder
         spark.sparkContext.setCheckpointDir(path)
     return path
 
@@ -67,12 +72,10 @@ _shipped: set[str] = set()
 
 def ship_package(spark: SparkSession) -> None:
     """Give the executors' Python workers this package, once per application."""
-    import shutil
-    from pathlib import Path
-
     app = spark.sparkContext.applicationId
     if app not in _shipped:
         _shipped.add(app)
         here = Path(__file__).resolve().parent
-        folder = tempfile.mkdtemp(prefix="lodestone-ship-")
+        folder = tempfile.mkdtemp(prefix="lodestone-ship-")  # read by the driver's own file server only
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
         spark.sparkContext.addPyFile(shutil.make_archive(f"{folder}/{here.name}", "zip", here.parent, here.name))
