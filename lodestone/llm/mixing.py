@@ -57,7 +57,10 @@ def flight(tokens: list[int], probs: list[float], rng: random.Random) -> list[fl
 
 
 def landing(tokens: list[int], probs: list[float]) -> list[float]:
-    """Decide the at most two documents left so that the token total, then the document total, is met best."""
+    """Decide the at most two documents left so that the token total, then the document total, is met best.
+
+    Where a long document was left, up to four others then change sides if that brings the token total closer.
+    """
     p = list(probs)
     left = [k for k, x in enumerate(p) if 0.0 < x < 1.0]
     goal, count = sum(tokens[k] * p[k] for k in left), sum(p[k] for k in left)
@@ -65,6 +68,14 @@ def landing(tokens: list[int], probs: list[float]) -> list[float]:
     best = min(options, key=lambda o: (abs(sum(tokens[k] * x for k, x in zip(left, o)) - goal), abs(sum(o) - count), o))
     for k, x in zip(left, best):
         p[k] = x
+    gap = goal - sum(tokens[k] * p[k] for k in left)
+    for _ in range(4):
+        k = min(range(len(p)), key=lambda i: abs(gap - (tokens[i] if p[i] == 0 else -tokens[i])), default=None)
+        change = 0 if k is None else tokens[k] if p[k] == 0 else -tokens[k]
+        if abs(gap - change) >= abs(gap):
+            break
+        p[k] = 1.0 - p[k]
+        gap -= change
     return p
 
 
