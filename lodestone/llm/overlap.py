@@ -1,19 +1,20 @@
 """Records of the evaluation splits that also stand in the training split, exactly or almost (problem 6).
 
-Method: a weighted cosine join over inverted lists. Records whose three fields agree apart from formatting form a class
-(keys of the ledger operator). A class is a vector of terms: its instruction and response cut into runs of about four
-words at content-defined places, so that a changed word changes only the run it is in; a term's squared weight is its
-number of words. Only terms on both sides of the split can contribute; per vector the most frequent of them are left
-out of the lists as long as their summed weight stays below what the threshold needs (maximum-weight bound; the
-residual norm gives the second bound, the smaller one is used), so the long lists are never joined and no true pair is
-lost. For the pairs met in the lists exact dot products are computed from the texts, and pairs at 0.4 or more are held
-against the definition field by field: the context too must agree, and in each field only a few words may differ.
-
-The context stays out of the vectors as a passage may belong to any share of the records.
+Method: a join over inverted lists with prefix bounds taken from the definition, so that no pair it accepts is lost.
+Records whose three fields agree apart from formatting form a class (keys of the ledger operator). The definition lets at
+most :func:`allowed` words of a field of n words differ, so in any common order of all words the first ``allowed + 1``
+words of a field hold at least one that the matching record has among its own first ones, whatever the words' places in
+the text. Rare words come first; how often words occur is counted on a sample of the records, which only decides how
+long the lists get. A class is listed under every pair of an instruction's and a response's first words (and whether
+there is a context); where these would be too many, under the first words of all three fields taken together. Between
+the two limits it is listed both ways, as two matching records are not always of one size.
+
+Pairs met in the lists are held against the parity bits of their words (which differ in no more places than words do)
+and their word counts, and what is left is compared by the definition on the texts, field by field.
 
 Defined cases: null equals empty; three empty fields make a class like any other; equal rows all pair up; the same
-record several times on either side gives one row per pair of rows; a transposed pair of letters is no change; a record whose
-instruction and response have no words pairs up only by its key; empty
+record several times on either side gives one row per pair of rows; a transposed pair of letters is no change; the classes whose
+instruction and response have no words share the lists of empty fields; empty
 tables give no pairs; other columns are ignored.
 """
 
@@ -23,6 +24,7 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, Window
@@ -31,11 +33,11 @@ from pyspark.sql import functions as F
 from lodestone.llm.ledger import keyed
 from lodestone.session import forget, materialize
 
-COSINE = 0.4
-# The smaller of two matching vectors has at least this share of the larger one's words: the definition lets an eighth
-# of the words differ, or two, which is more than that in very short records.
-LENGTH_RATIO, SHORT, SHORT_RATIO = 0.8, 12, 0.6
-MIN_RUN, MAX_RUN = 3, 8
+# Records of up to NARROW pairs of first words are listed under these only, of more than WIDE under single words only.
+# A field's number of first words is at most twice that of a matching field, so matching records share one of the ways.
+NARROW, WIDE = 64, 256
+# Hash buckets in which words are counted, and one of how many classes is counted; neither changes what is found.
+BUCKETS, SAMPLED = 1 << 16, 8
 FIELDS = ("instruction", "context", "response")
 
 _W = re.compile(r"[^\W_]+")
@@ -57,30 +59,6 @@ def words(text: str | None) -> list[str]:
     return _W.findall(low)
 
 
-def _ends_run(word: str) -> bool:
-    return xxhash.xxh3_64_intdigest(word) & 1 == 0
-
-
-def terms(instruction: str | None, response: str | None, memo: dict[str, bool]) -> dict[int, int]:
-    """Term hash -> number of words, over the runs of both fields."""
-    out: dict[int, int] = {}
-    for tag, text in (("i", instruction), ("r", response)):
-        run: list[str] = []
-        for w in words(text):
-            run.append(w)
-            if len(run) >= MIN_RUN:
-                if (end := memo.get(w)) is None:
-                    end = memo[w] = _ends_run(w)
-                if end or len(run) == MAX_RUN:
-                    out[xxhash.xxh3_64_intdigest(tag + " ".join(run)) - (1 << 63)] = len(run)
-                    run = []
-        if run:
-            out[xxhash.xxh3_64_intdigest(tag + " ".join(run)) - (1 << 63)] = len(run)
-        if len(memo) > 200_000:
-            memo.clear()
-    return out
-
-
 def counts(fields: tuple[str | None, ...], memo: dict[str, int]) -> list[int]:
     """How many words of each field fall into each of eight hash buckets; words that count as equal share a bucket."""
     out = [0] * (8 * len(fields))
@@ -94,26 +72,92 @@ def counts(fields: tuple[str | None, ...], memo: dict[str, int]) -> list[int]:
     return out
 
 
-def _vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """One row per term; a class's first row also carries its word counts."""
-    ends: dict[str, bool] = {}
+_M = (1 << 64) - 1
+
+
+def tokens(text: str | None, tag: int, memo: dict[str, int]) -> list[int]:
+    """A hash for every word of the field; words that count as equal share it, and the second of them has its own."""
+    out, n = [], Counter()
+    for w in words(text):
+        if (h := memo.get(w)) is None:
+            h = memo[w] = xxhash.xxh3_64_intdigest(_bag_key(w))
+        out.append((h + tag * 0xD6E8FEB86659FD93 + n[h] * 0x9E3779B97F4A7C15) & _M)
+        n[h] += 1
+    if len(memo) > 200_000:
+        memo.clear()
+    return out
+
+
+def _bucket(token: int) -> int:
+    return (token * 0xFF51AFD7ED558CCD & _M) >> 48
+
+
+def _mix(*parts: int) -> int:
+    h = 0
+    for p in parts:
+        h = ((h ^ p) * 0xC4CEB9FE1A85EC53 + 1) & _M
+        h ^= h >> 29
+    return h - (1 << 63)
+
+
+def terms(fields: list[list[int]], often: list[float]) -> list[int]:
+    """The lists that a record with these words (:func:`tokens` of the three fields) stands in."""
+    order = lambda t: (often[_bucket(t)], t)
+    ask, _, answer = first = [sorted(f, key=order)[: allowed(len(f)) + 1] or [0] for f in fields]
+    ways = len(ask) * len(answer)
+    has = bool(fields[1])
+    out = {_mix(p, q, has) for p in ask for q in answer} if ways <= WIDE else set()
+    if ways > NARROW:
+        out.update(_mix(t) for t in sorted((t for f in fields for t in f), key=order)[: sum(allowed(len(f)) for f in fields) + 1])
+    return list(out)
+
+
+def _frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     memo: dict[str, int] = {}
-    names = ["cls", "train", "other", "total", "term", "mass", "counts"]
+    sides = np.zeros((2, BUCKETS), dtype="int64")
     for b in batches:
-        cls, tr, ot, total, term, mass, sig = [], [], [], [], [], [], []
-        for c, t, o, ask, given, answer in zip(*(x.to_pylist() for x in b.columns)):
-            v = terms(ask, answer, ends)
-            n = len(v)
-            if n:
-                cls += [c] * n
-                tr += [t] * n
-                ot += [o] * n
-                total += [sum(v.values())] * n
-                term += v.keys()
-                mass += v.values()
-                sig += [counts((ask, given, answer), memo)] + [None] * (n - 1)
-        kinds = (pa.int64(), pa.bool_(), pa.bool_(), pa.int32(), pa.int64(), pa.int32(), pa.list_(pa.int32()))
-        yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip((cls, tr, ot, total, term, mass, sig), kinds)], names=names)
+        for t, o, *texts in zip(*(x.to_pylist() for x in b.columns)):
+            at = [_bucket(x) for k, text in enumerate(texts) for x in tokens(text, k, memo)]
+            for side in (s for s, there in enumerate((t, o)) if there):
+                np.add.at(sides[side], at, 1)
+    used = np.flatnonzero(sides.any(0))
+    yield pa.RecordBatch.from_arrays([pa.array(used, pa.int32()), *(pa.array(s[used]) for s in sides)], names=["bucket", "nt", "no"])
+
+
+def frequencies(texts: DataFrame) -> list[float]:
+    """How many pairs a list of each bucket's words would give; a table of fixed size."""
+    part = texts.where(F.pmod(F.xxhash64("cls"), F.lit(SAMPLED)) == 0).select("train", "other", *FIELDS)
+    rows = part.mapInArrow(_frequencies, "bucket int, nt bigint, no bigint").groupBy("bucket").agg(F.sum("nt").alias("nt"), F.sum("no").alias("no")).toPandas()
+    often = np.zeros(BUCKETS)
+    often[rows["bucket"]] = rows["nt"] * rows["no"].astype(float)
+    return often.tolist()
+
+
+def _vectors(often: list[float]):
+    """One row per class and list, with the parity bits of its words and how many may differ; a class's first row also carries its word counts."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        memo: dict[str, int] = {}
+        buckets: dict[str, int] = {}
+        names = ["cls", "train", "other", "term", "low", "high", "size", "may", "counts"]
+        kinds = (pa.int64(), pa.bool_(), pa.bool_(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.list_(pa.int32()))
+        for b in batches:
+            cols: tuple[list, ...] = tuple([] for _ in names)
+            for c, t, o, *texts in zip(*(x.to_pylist() for x in b.columns)):
+                fields = [tokens(text, k, memo) for k, text in enumerate(texts)]
+                bits = 0
+                for f in fields:
+                    for x in f:
+                        bits ^= 1 << (x >> 57)
+                listed = terms(fields, often)
+                n = len(listed)
+                same = (c, t, o, None, (bits & _M) - (1 << 63), (bits >> 64) - (1 << 63), sum(map(len, fields)), sum(allowed(len(f)) for f in fields))
+                for k, v in enumerate(same):
+                    cols[k].extend(listed if k == 3 else [v] * n)
+                cols[8].extend([counts(tuple(texts), buckets)] + [None] * (n - 1))
+            yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(cols, kinds)], names=names)
+
+    return run
 
 
 def _bag_key(w: str) -> str:
@@ -124,13 +168,17 @@ def _bag(ws: list[str]) -> Counter:
     return Counter(map(_bag_key, ws))
 
 
+def allowed(n: int) -> int:
+    """How many words may differ in a field of ``n`` words (the longer one's)."""
+    return 0 if n < 4 else 1 if n < 8 else max(2, int(0.15 * n))
+
+
 def same_field(a: list[str], b: list[str]) -> tuple[bool, int]:
     """Whether two fields agree but for a few words, and how many differ."""
     x, y = _bag(a), _bag(b)
     n = max(len(a), len(b))
     changed = max((x - y).total(), (y - x).total())
-    allowed = 0 if n < 4 else 1 if n < 8 else max(2, int(0.15 * n))
-    return changed <= allowed, changed
+    return changed <= allowed(n), changed
 
 
 def same_record(a: tuple[str | None, ...], b: tuple[str | None, ...]) -> bool:
@@ -150,18 +198,9 @@ def same_record(a: tuple[str | None, ...], b: tuple[str | None, ...]) -> bool:
 
 
 def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    memo: dict[str, bool] = {}
     for b in batches:
-        keep = []
         cols = [c.to_pylist() for c in b.columns[2:]]
-        for ai, ac, ar, bi, bc, br in zip(*cols):
-            # The definition first: most pairs fall at their first field.
-            if not same_record((ai, ac, ar), (bi, bc, br)):
-                keep.append(False)
-                continue
-            u, v = terms(ai, ar, memo), terms(bi, br, memo)
-            dot = sum(m for t, m in u.items() if t in v)
-            keep.append(dot >= COSINE * (sum(u.values()) * sum(v.values())) ** 0.5)
+        keep = [same_record((ai, ac, ar), (bi, bc, br)) for ai, ac, ar, bi, bc, br in zip(*cols)]
         yield pa.RecordBatch.from_arrays(b.columns[:2], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
 
@@ -180,21 +219,12 @@ def _may_agree(x: Column, y: Column) -> Column:
 
 def candidates(vectors: DataFrame) -> DataFrame:
     """``a, b``: classes with training rows and classes with evaluation rows that meet in the inverted lists."""
-    both = vectors.groupBy("term").agg(F.count_if("train").alias("nt"), F.count_if("other").alias("no")).where("nt > 0 and no > 0").select("term", (F.col("nt") + F.col("no")).alias("df"))
-    shared = vectors.join(both, "term")
-    # Weight of this and all more frequent shared terms: what is still to come if the earlier ones do not match.
-    rest = F.sum("mass").over(Window.partitionBy("cls").orderBy(F.col("df").desc(), "term").rowsBetween(Window.unboundedPreceding, 0))
-    ratio = lambda n: F.when(n >= SHORT, LENGTH_RATIO).otherwise(SHORT_RATIO)
-    least = COSINE * F.sqrt(ratio(F.col("total"))) * F.col("total")
-    shared = shared.withColumn("rest", rest).withColumn("left_out", F.coalesce(F.sum(F.when(F.col("rest") < least, F.col("mass"))).over(Window.partitionBy("cls")), F.lit(0)))
-    listed = materialize(shared.where(F.col("rest") >= least).select("cls", "train", "other", "total", "left_out", "term", "mass"), "p6-lists")
-    x = listed.where("train").select("term", "mass", F.col("cls").alias("a"), F.col("total").alias("na"), F.col("left_out").alias("la"))
-    y = listed.where("other").select("term", F.col("cls").alias("b"), F.col("total").alias("nb"), F.col("left_out").alias("lb"))
-    met = x.join(y, "term").where((F.col("a") != F.col("b")) & (F.least("na", "nb") >= ratio(F.greatest("na", "nb")) * F.greatest("na", "nb")))
-    # The product cannot exceed what matched in the lists plus what either side left out of them.
-    bound = F.struct(F.least("la", "lb").alias("more"), (COSINE * F.sqrt(F.col("na").cast("double") * F.col("nb"))).alias("need"))
-    sums = met.groupBy("a", "b").agg(F.sum("mass").alias("dot"), F.first(bound).alias("k"))
-    sums = sums.where(F.col("dot") + F.col("k.more") >= F.col("k.need") - 1e-9).select("a", "b")
+    side = lambda flag, k: vectors.where(flag).select("term", *[F.col(c).alias(f"{c}_{k}") for c in ("cls", "low", "high", "size", "may")])
+    # Every word that differs flips one bit, and each side has no more of them than its fields may have.
+    flipped = F.bit_count(F.col("low_a").bitwiseXOR(F.col("low_b"))) + F.bit_count(F.col("high_a").bitwiseXOR(F.col("high_b")))
+    close = (flipped <= F.col("may_a") + F.col("may_b")) & (F.abs(F.col("size_a") - F.col("size_b")) <= F.greatest("may_a", "may_b"))
+    met = side("train", "a").join(side("other", "b"), "term").where((F.col("cls_a") != F.col("cls_b")) & close)
+    sums = met.select(F.col("cls_a").alias("a"), F.col("cls_b").alias("b")).distinct()
     # Texts are only fetched for pairs whose word counts allow all three fields to agree.
     sizes = vectors.where("counts is not null")
     sums = sums.join(sizes.where("other").select(F.col("cls").alias("b"), F.col("counts").alias("cb")), "b")
@@ -215,7 +245,7 @@ def class_pairs(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     members = materialize(keys.join(classes, "key").select(F.col("idx").alias("gold_idx"), "split", "source_name", "cls", "train", "other"), "p6-members")
     heads = members.where("gold_idx = cls").select("cls", "train", "other").distinct()
     texts = materialize(rows.join(heads, rows["gold_idx"] == heads["cls"]).select("cls", "train", "other", *FIELDS).dropDuplicates(["cls"]), "p6-texts")
-    vectors = materialize(texts.select("cls", "train", "other", *FIELDS).mapInArrow(_vectors, "cls bigint, train boolean, other boolean, total int, term bigint, mass int, counts array<int>"), "p6-vectors")
+    vectors = materialize(texts.select("cls", "train", "other", *FIELDS).mapInArrow(_vectors(frequencies(texts)), "cls bigint, train boolean, other boolean, term bigint, low bigint, high bigint, size int, may int, counts array<int>"), "p6-vectors")
     met = materialize(candidates(vectors), "p6-met")
     forget(vectors)
     left = texts.where("train").select(F.col("cls").alias("a"), *[F.col(f).alias(f"a_{f}") for f in FIELDS])

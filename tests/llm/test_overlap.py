@@ -58,3 +58,24 @@ def test_report(spark):
     make = lambda rows: spark.createDataFrame(rows, SCHEMA)
     r = O.report(make([(0, I, "", R, "a")]), make([(1, I, "", R, "b"), (2, I, "", R, None)]), make([(3, I, "", R, "b")])).collect()
     assert sorted((x.split, x.source_name or "", x.pairs) for x in r) == [("test", "b", 1), ("validation", "", 1), ("validation", "b", 1)]
+
+
+def test_every_accepted_edit_is_found(spark):
+    """Changes in several runs of words, moved words included; the context may change too."""
+    rng = random.Random(5)
+    name = lambda: "".join(rng.choice("abdegiklmnoprstuvz") for _ in range(6))
+    train, test, want = [], [], []
+    for i in range(120):
+        rec = [[name() for _ in range(n)] for n in rng.choice([(8, 14, 12), (9, 40, 15), (14, 0, 14), (8, 0, 90), (150, 20, 150), (3, 25, 8), (20, 8, 0)])]
+        other = [list(f) for f in rec]
+        for f, n in zip(other, rng.choice([(2, 0, 2), (2, 2, 2), (1, 2, 1), (0, 2, 2)])):
+            for k in rng.sample(range(len(f)), min(n, len(f))):
+                f[k] = name()
+        if i % 3 == 0:
+            rng.shuffle(other[2])
+        a, b = ((" ".join(f) for f in r) for r in (rec, other))
+        train.append((i, *a))
+        test.append((1000 + i, *b))
+        if O.same_record(train[-1][1:], test[-1][1:]):
+            want.append((i, 1000 + i, "test"))
+    assert len(want) > 50 and run(spark, train, [], test) == want
