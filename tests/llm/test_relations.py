@@ -91,3 +91,22 @@ def test_splits_keep_groups(spark, small):
     assert all(place[r.group_idx] == place[r.rec_idx] for r in R.related(df).collect())
     for r in R.split_shares(df, targets).collect():
         assert abs(r.share - r.target_share) < 0.05
+
+
+def test_passages_behind_an_unrelated_first_holder(spark):
+    """All pairs, where one shared sentence holds most of every passage's shingles and its first holder is unrelated."""
+    rng = random.Random(3)
+    name = lambda: "".join(rng.choice("abdegiklmnoprstuvz") for _ in range(6))
+    shared = [name() for _ in range(30)]
+    texts = [[*shared, *(name() for _ in range(14))]]
+    for _ in range(20):
+        body = [*shared, *(name() for _ in range(20))]
+        other = list(body)
+        for k in range(32, len(body), 5):
+            other[k] = name()
+        texts += [body, other]
+    words = [(i, " ".join(t)) for i, t in enumerate(texts)]
+    grams = [R.Counter(zip(t, t[1:])) for t in texts]
+    want = {(i, j) for i in range(len(texts)) for j in range(i) if 2 * (grams[i] & grams[j]).total() >= R.SIMILAR * (grams[i].total() + grams[j].total())}
+    got = {(r.a, r.b) for r in R.similar_passages(spark.createDataFrame(words, "pid bigint, body string")).collect()}
+    assert len(want) >= 20 and got == want
