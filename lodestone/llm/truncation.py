@@ -211,6 +211,21 @@ def strict_prefixes(texts: DataFrame) -> DataFrame:
     return found.where("part is null").select("norm").unionByName(over).distinct()
 
 
+def inside_a_word(values: DataFrame, stubs: DataFrame) -> DataFrame:
+    """``norm``: the stubs that stop inside a word of longer values which are delivered at least as often."""
+    start = stubs.select(F.substring("norm", 1, 6).alias("start")).distinct()
+    form = F.trim(F.regexp_replace(F.upper("text"), r"[^\p{L}\p{N}]+", " "))
+    pool = values.where(F.col("text").isNotNull()).select(form.alias("form"), F.concat_ws(":", "field_name", "delivery").alias("delivery"))
+    pool = pool.withColumn("letters", F.replace("form", F.lit(" "), F.lit(""))).withColumn("start", F.substring("letters", 1, 6))
+    pool = materialize(pool.join(start, "start", "left_semi").select("start", "letters", "form", "delivery").distinct(), "p2-pool")
+    held = pool.join(stubs, F.col("letters") == F.col("norm"))
+    own = held.groupBy("norm").agg(F.count_distinct("delivery").alias("times"))
+    forms = held.select("start", "norm", F.col("form").alias("stub_form")).distinct()
+    goes_on = F.col("form").startswith(F.col("stub_form")) & (F.length("form") > F.length("stub_form")) & (F.expr("substring(form, length(stub_form) + 1, 1)") != " ")
+    longer = forms.join(pool, "start").where(goes_on).groupBy("norm").agg(F.count_distinct("delivery").alias("longer"))
+    return own.join(longer, "norm").where("times <= longer").select("norm")
+
+
 def judged(values: DataFrame) -> DataFrame:
     """``field_name, row_key, origin, truncated`` for every value that is not missing."""
     seen = materialize(inspected(values), "p2-ends")
@@ -229,8 +244,8 @@ def judged(values: DataFrame) -> DataFrame:
     dotted = dotted.join(phrases, "tail", "left").select("field_name", "row_key", "origin", F.when(F.col("phrase"), WHOLE).otherwise(CUT).alias("verdict"), "tail")
     prefixes = strict_prefixes(values.where(F.col("text").isNotNull()).select(letters(F.col("text")).alias("norm")))
     short = open_.where("length(norm) >= 6").select("field_name", "row_key", "norm")
-    counts = rows.where("norm is not null and tail is null or tail not like 'E|%'").groupBy("norm").count().where("count < 2").select("norm")
-    cut_short = short.join(prefixes, "norm").join(counts, "norm").select("field_name", "row_key", F.lit(True).alias("stub")).distinct()
+    stubs = materialize(short.join(prefixes, "norm").select("norm").distinct(), "p2-stubs")
+    cut_short = short.join(inside_a_word(values, stubs), "norm").select("field_name", "row_key", F.lit(True).alias("stub")).distinct()
     all_rows = rows.where("verdict <> 'open'").drop("seen", "norm").unionByName(settled.drop("seen", "norm")).unionByName(dotted)
     return all_rows.join(cut_short, ["field_name", "row_key"], "left").select(
         "field_name", "row_key", "origin", ((F.col("verdict") == CUT) | F.coalesce("stub", F.lit(False))).alias("truncated")
@@ -238,8 +253,9 @@ def judged(values: DataFrame) -> DataFrame:
 
 
 def value_table(raw: DataFrame, log: DataFrame) -> DataFrame:
-    a = raw.select(F.lit("response").alias("field_name"), F.col("_idx").cast("bigint").alias("row_key"), F.col("source_name").alias("origin"), F.col("response").alias("text"))
-    b = log.select(F.lit("prediction").alias("field_name"), F.col("log_id").cast("bigint").alias("row_key"), F.col("model").alias("origin"), F.col("prediction").alias("text"))
+    request = F.col("request_id") if "request_id" in log.columns else F.lit(None).cast("string")
+    a = raw.select(F.lit("response").alias("field_name"), F.col("_idx").cast("bigint").alias("row_key"), F.col("source_name").alias("origin"), F.col("response").alias("text"), F.coalesce(F.col("id"), F.col("_idx").cast("string")).alias("delivery"))
+    b = log.select(F.lit("prediction").alias("field_name"), F.col("log_id").cast("bigint").alias("row_key"), F.col("model").alias("origin"), F.col("prediction").alias("text"), F.coalesce(request, F.col("log_id").cast("string")).alias("delivery"))
     return a.unionByName(b)
 
 

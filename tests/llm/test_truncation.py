@@ -64,3 +64,11 @@ def test_strict_prefixes_against_brute_force(spark, parts):
 def test_any_text_has_a_verdict(text):
     verdict, tail, shown = T.inspect(text)
     assert verdict in (T.CUT, T.WHOLE, T.OPEN, T.MISSING) and (verdict != T.OPEN or tail is not None)
+
+
+def test_stubs_delivered_again(raw, log):
+    df = raw(
+        *[{"response": "complaint"}] * 3, *[{"response": "compla"}] * 2, {"response": "The kiln"}, *[{"id": "r1", "response": "The kil"}] * 2,
+        *[{"response": "pregunta"}] * 3, {"response": "preguntas"}, {"response": "refund"}, {"response": "refund request"},
+    )
+    assert sorted(r.row_key for r in T.truncated(df, log()).collect()) == [3, 4, 6, 7]
