@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 
 from lodestone.llm.categories import base_key
 from lodestone.llm.ledger import letters
+from lodestone.session import materialize
 
 MAX_TARGETS = 10_000
 BINS = 1 << 16
@@ -111,7 +112,8 @@ def sample(df: DataFrame, targets: DataFrame) -> tuple[DataFrame, DataFrame]:
     below = marked.where("bin < edge").select("idx", "category")
     place = F.row_number().over(Window.partitionBy("key").orderBy("expo", "idx"))
     at_edge = marked.where("bin = edge").withColumn("place", place).where("place <= rest").select("idx", "category")
-    drawn = below.unionByName(at_edge)
+    # Written, so that the report is one of rows really drawn whichever of its columns are asked for.
+    drawn = materialize(below.unionByName(at_edge), "p4-drawn")
     got = drawn.groupBy("category").agg(F.count(F.lit(1)).alias("drawn"))
     facts = spark.createDataFrame(t[["category", "share", "min_rows", "rows", "wanted", "sample_size"]], "category string, target_share double, min_rows bigint, rows bigint, wanted double, sample_size double")
     r = facts.join(got, "category", "left").na.fill(0, ["drawn"])

@@ -36,3 +36,16 @@ def test_defined_cases(spark, raw):
     same = raw(*[{"_idx": 1, "category": "a"}] * 10, *[{"_idx": 2, "category": "B"}] * 3)
     assert {r.category: r.drawn for r in sampling.sample(same, t)[1].collect()} == {"a": 6, "b": 1}
     assert sampling.sample(same, t.limit(0))[0].count() == 0
+
+
+def test_the_unmet_targets_come_with_a_draw(spark, raw):
+    from glob import glob
+
+    from lodestone.session import shared_dir
+
+    written = lambda: set(glob(f"{shared_dir(spark).removeprefix('file://').removeprefix('file:')}/*/p4-drawn-*/*.parquet"))
+    before = written()
+    t = spark.createDataFrame([("a", 0.5, 1, 1.0), ("b", 0.5, 1, 1.0)], TARGETS)
+    report = sampling.sample(raw(*[{"category": "a"}] * 8, {"category": "b"}), t)[1]
+    assert [r.category for r in report.where("unmet").select("category").collect()] == ["b"]
+    assert written() - before
