@@ -47,6 +47,22 @@ def shared_dir(spark: SparkSession) -> str:
     return path
 
 
+def new_path(spark: SparkSession, name: str) -> str:
+    """A path in the shared folder. The application's own folder there is deleted when the driver ends."""
+    app = f"{shared_dir(spark)}/{spark.sparkContext.applicationId}"
+    if app not in _folders:
+        _folders.add(app)
+        p = spark._jvm.org.apache.hadoop.fs.Path(app)
+        fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
+        # The file system's own hook runs when the driver's process ends, however many tables are left by then.
+        fs.mkdirs(p)
+        fs.deleteOnExit(p)
+    return f"{app}/{name}-{uuid.uuid4().hex}"
+
+
+_folders: set[str] = set()
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
@@ -54,11 +70,18 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     not live on executors.
     """
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
+    path = new_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def written_lines(lines: DataFrame) -> str:
+    """The path of ``lines`` (one string column) written as text files; their names keep the order of the partitions."""
+    path = new_path(lines.sparkSession, "lines")
+    lines.write.text(path)
+    return path
+
+
 def forget(df: DataFrame) -> None:
     """Delete the files of a materialized table that nothing reads any more."""
     jvm, conf = df.sparkSession._jvm, df.sparkSession._jsc.hadoopConfiguration()

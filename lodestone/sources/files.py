@@ -6,15 +6,21 @@ import json
 from collections.abc import Iterable
 from pathlib import Path
 from typing import Any
+from urllib.parse import unquote
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from lodestone.config import SOURCE_TYPES
 from lodestone.operators.records import head, normalize, positions
+from lodestone.session import materialize, written_lines
 
 RECORD = "id string, instruction string, context string, response string, category string, meta string"
 SUFFIXES = (".jsonl", ".json", ".parquet")
+# A scan is narrowed to named files up to this many; beyond, all are scanned. The rows are the same.
+MAX_NAMED = 1000
 
 
 def _fs(spark: SparkSession, path: str):
@@ -27,50 +33,60 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(p)
 
 
-def _starts_with_bracket(spark: SparkSession, path: str) -> bool:
+def _is_array(spark: SparkSession, path: str) -> bool:
     first = spark.read.text(path).where(F.trim("value") != "").limit(1).collect()
     return bool(first) and first[0][0].lstrip().startswith("[")
 
 
+def read_json_array(spark: SparkSession, path: str) -> DataFrame:
+    """The objects of a JSON array, in order; items of other kinds are left out. A file that does not parse raises."""
+    whole = spark.read.text(path, wholetext=True).select(F.parse_json("value").alias("items"))
+    items = whole.lateralJoin(spark.tvf.variant_explode(F.col("items").outer())).where(F.schema_of_variant("value").startswith("OBJECT"))
+    # Written as lines, so that the columns are found by the reader of lines and later stages read in parallel.
+    return spark.read.json(written_lines(items.select(F.to_json("value").alias("value"))))
+
+
+def read_json_file(spark: SparkSession, path: str) -> DataFrame:
+    """An array if the file begins with a bracket, else lines, whatever the suffix says."""
+    return read_json_array(spark, path) if _is_array(spark, path) else read_jsonl_strict(spark, path)
+
+
 def read_data_file(spark: SparkSession, path: str) -> DataFrame:
-    """Parquet by suffix; JSON as an array if it begins with a bracket, else as lines, whatever the suffix says."""
     if not exists(spark, path):
         raise FileNotFoundError(path)
     if path.endswith(".parquet"):
         return spark.read.parquet(path)
-    if _starts_with_bracket(spark, path):
-        rows = spark.read.option("multiLine", "true").option("columnNameOfCorruptRecord", "_bad").json(path)
-        return rows.drop("_bad")
-    return spark.read.json(path)
+    return read_jsonl_strict(spark, path) if path.endswith(".jsonl") else read_json_file(spark, path)
 
 
-def _not_json(batches: Iterable[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
-    """Lines that are no JSON; the engine's own parser accepts some cut-off objects."""
+def _no_object(batches: Iterable[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
+    """The files of lines that are no JSON object; the engine's own parser accepts some cut-off objects."""
     for b in batches:
-        bad = []
-        for line in b.column(0).to_pylist():
-            try:
-                json.loads(line)
-            except ValueError:
-                bad.append(line)
-        yield pa.RecordBatch.from_arrays([pa.array(bad, pa.string())], names=["value"])
+        bad = set()
+        for line, file in zip(*(c.to_pylist() for c in b.columns)):
+            if not _is_object(line):
+                bad.add(file)
+        yield pa.RecordBatch.from_arrays([pa.array(sorted(bad), pa.string())], names=["file"])
+
+
+def _is_object(line: str) -> bool:
+    try:
+        return isinstance(json.loads(line), dict)
+    except ValueError:
+        return False
 
 
 def read_jsonl_strict(spark: SparkSession, path: str) -> DataFrame:
-    """JSON lines; blank lines are skipped, a bad line raises with its number."""
+    """JSON lines; blank lines are skipped, a bad line raises with its file and number (the first of the first such file)."""
     if not exists(spark, path):
         raise FileNotFoundError(path)
-    lines = spark.read.text(path).where(F.trim("value") != "")
-    bad = lines.mapInArrow(_not_json, "value string")
-    if not bad.isEmpty():
-        # Numbered only on this path; one file is read in order by one task.
-        text = spark.read.text(path, wholetext=True).first()[0]
-        for n, line in enumerate(text.split("\n"), 1):
-            if line.strip():
-                try:
-                    json.loads(line)
-                except ValueError:
-                    raise ValueError(f"{path}:{n} is not valid JSON") from None
+    lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file")).where(F.trim("value") != "")
+    bad = lines.mapInArrow(_no_object, "file string").agg(F.min("file")).first()[0]
+    if bad is not None:
+        numbered = in_source_order(spark.read.text(bad), "_line").where(F.trim("value") != "").orderBy("_line")
+        for value, n in numbered.toLocalIterator():
+            if not _is_object(value):
+                raise ValueError(f"{unquote(bad)}:{n + 1} is not valid JSON")
     return spark.read.json(path)
 
 
@@ -80,33 +96,79 @@ def read_records_jsonl(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_hub_files(spark: SparkSession, folder: str, split: str) -> DataFrame:
-    """Data files of a downloaded repository; those whose stem names the split, if any do."""
+    """Data files of a downloaded repository, in order of their names; those whose stem names the split, if any do."""
     files = sorted(str(p) for p in Path(folder).rglob("*") if p.suffix in SUFFIXES)
     if not files:
         raise FileNotFoundError(f"no data files in {folder}")
-    named = [f for f in files if split in Path(f).stem]
-    out = None
-    for f in named or files:
-        part = read_data_file(spark, f)
-        out = part if out is None else out.unionByName(part, allowMissingColumns=True)
+    chosen = [f for f in files if split in Path(f).stem.lower()] or files
+    parts = [in_source_order(read_data_file(spark, f), "_row").withColumn("_file", F.lit(k)) for k, f in enumerate(chosen)]
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part, allowMissingColumns=True)
     return out
 
 
-def load_records(spark: SparkSession, source: str, kind: str, max_examples: int | None = None, idx: str | None = None) -> DataFrame:
-    """Dispatch on the kind of source, limit before cleaning, normalise with the row's ordinal."""
+def _split_place(raw: DataFrame) -> list[Column] | None:
+    """What names the split of the source that a row comes from, if the rows come from files."""
+    place = [F.col("_metadata.file_path"), F.col("_metadata.file_block_start")]
+    try:
+        raw.select(*place)
+    except AnalysisException:
+        return None
+    return place
+
+
+def in_source_order(raw: DataFrame, idx: str = "_idx", head: int | None = None) -> DataFrame:
+    """The rows with their ordinal in source order: by file name, place in the file, row. Of these the first ``head``.
+
+    No row is sorted. A task reads the rows of a split in order, so a number that grows within the task tells their
+    places; only the table of splits, one row each, is ordered, and its running count gives every split its offset.
+    With ``head``, files behind the last one needed are not read for their rows. Rows that come from no file keep the
+    order of their partitions.
+    """
+    place = _split_place(raw)
+    if head is not None and place:
+        sizes = raw.select(place[0].alias("file")).groupBy("file").agg(F.count(F.lit(1)).alias("n"))
+        before = sizes.withColumn("before", F.sum("n").over(Window.orderBy("file")) - F.col("n")).where(F.col("before") < head)
+        needed = [r.file for r in before.select("file").limit(MAX_NAMED + 1).collect()]
+        if len(needed) <= MAX_NAMED:
+            raw = raw.where(place[0].isin(needed))
+    file, start = place or (F.lit(""), F.spark_partition_id())
+    rows = materialize(raw.select("*", file.alias("_file_name"), start.cast("bigint").alias("_start"), F.monotonically_increasing_id().alias("_at")), "in-order")
+    splits = rows.groupBy("_file_name", "_start").agg(F.min("_at").alias("_first"), F.count(F.lit(1)).alias("_n"))
+    offsets = splits.withColumn("_offset", F.sum("_n").over(Window.orderBy("_file_name", "_start")) - F.col("_n") - F.col("_first")).drop("_n", "_first")
+    out = rows.join(offsets, ["_file_name", "_start"]).withColumn(idx, F.col("_at") + F.col("_offset")).select(*raw.columns, idx)
+    return out if head is None else out.where(F.col(idx) < head)
+
+
+def shuffled(raw: DataFrame, seed: int, head: int | None = None, order: tuple[str, ...] = ("_file", "_row"), idx: str = "_idx") -> DataFrame:
+    """The rows in a seeded order that no partitioning changes, with their ordinal in it; of these the first ``head``."""
+    key = F.sha2(F.concat_ws("|", F.lit(str(seed)), *[F.col(c).cast("string") for c in order]), 256)
+    drawn = raw.withColumn("_key", key)
+    if head is not None:
+        drawn = drawn.orderBy("_key", *order).limit(head)
+    return positions(drawn, ["_key", *order], idx).drop("_key", *order)
+
+
+def load_records(spark: SparkSession, source: str, kind: str, max_examples: int | None = None, idx: str | None = None, split: str = "train", seed: int = 42) -> DataFrame:
+    """Dispatch on the kind of source, limit before cleaning, normalise with the row's ordinal.
+
+    The ordinal is column ``idx`` where it is named; else the place in the source, and for folders of downloaded files
+    the place after a seeded shuffle.
+    """
+    kind = SOURCE_TYPES.get(kind, kind)
+    if kind == "hub":
+        return normalize(shuffled(read_hub_files(spark, source, split), seed, max_examples), source)
     if kind == "table":
         raw = spark.read.table(source)
     elif kind == "jsonl":
         raw = read_jsonl_strict(spark, source)
-    elif kind == "hub":
-        raw = read_hub_files(spark, source, "train")
     elif kind == "parquet":
         raw = spark.read.parquet(source)
     else:
         raise ValueError(f"unknown source type {kind!r}")
     if idx is None:
-        keys = [c for c, t in raw.dtypes if not t.startswith(("map", "variant"))]
-        raw, idx = positions(raw, keys), "_idx"
+        return normalize(in_source_order(raw, "_idx", max_examples), source)
     return normalize(head(raw, max_examples, idx), source, idx)
 
 
