@@ -22,8 +22,17 @@ def text(c: Column) -> Column:
     return F.coalesce(c.cast("string"), F.lit(""))
 
 
+def _ends_blank(c: Column) -> Column:
+    return F.concat(F.left(c, F.lit(1)), F.right(c, F.lit(1))).rlike(WS)
+
+
 def strip(c: Column) -> Column:
-    return F.btrim(c, F.lit(WS_CHARS))
+    # Trimming a set of characters copies the text into arrays, so it is done only where an end asks for it.
+    return F.when(_ends_blank(c), F.btrim(c, F.lit(WS_CHARS))).otherwise(c)
+
+
+def _blank_runs(c: Column) -> Column:
+    return c.contains("  ") | c.contains("\t")
 
 
 def one_blank(c: Column) -> Column:
@@ -32,15 +41,19 @@ def one_blank(c: Column) -> Column:
 
 
 def clean_text(c: Column) -> Column:
-    """Line ends to LF, runs of blanks to one, three or more line ends to two, stripped; null becomes ''."""
-    x = F.regexp_replace(text(c), r"\r\n?", "\n")
-    x = one_blank(x)
-    return strip(F.regexp_replace(x, r"\n{3,}", "\n\n"))
+    """Line ends to LF, runs of blanks to one, three or more line ends to two, stripped; null becomes ''.
+
+    Byte searches decide which texts need the replacements at all.
+    """
+    t = text(c)
+    x = F.regexp_replace(t, r"\r\n?", "\n")
+    x = F.regexp_replace(one_blank(x), r"\n{3,}", "\n\n")
+    return F.when(t.contains("\r") | _blank_runs(t) | t.contains("\n\n\n") | _ends_blank(t), F.btrim(x, F.lit(WS_CHARS))).otherwise(t)
 
 
 def canonical_text(c: Column) -> Column:
     """The form that is hashed: stripped, lower case, blanks collapsed; line ends stay."""
-    return one_blank(F.lower(strip(c)))
+    return F.when(_blank_runs(c) | _ends_blank(c), one_blank(F.lower(F.btrim(c, F.lit(WS_CHARS))))).otherwise(F.lower(c))
 
 
 def content_hash(instruction: Column, context: Column, response: Column) -> Column:

@@ -19,6 +19,7 @@ CONTEXT_NAMES = ("context", "input", "passage", "document", "source")
 RESPONSE_NAMES = ("response", "output", "answer", "completion", "target", "text_output")
 CATEGORY_NAMES = ("category", "task", "type", "domain")
 BUCKETS = 10_000
+SPLITS = ("train", "validation", "test")
 
 
 def _first(df: DataFrame, names: tuple[str, ...]) -> Column:
@@ -75,24 +76,27 @@ def with_hash(records: DataFrame) -> DataFrame:
     return records.withColumn("content_hash", content_hash(F.col("instruction"), F.col("context"), F.col("response")))
 
 
-def judged(records: DataFrame, c: DataConfig = DataConfig()) -> DataFrame:
+def judged(records: DataFrame, c: DataConfig = DataConfig(), keep: tuple[str, ...] | None = None) -> DataFrame:
     """All records with ``content_hash`` and ``reason``: a rule, ``duplicate``, or null for those kept.
 
-    The first record of each hash is found by aggregation with map-side combine and joined back, so a record repeated
-    any number of times meets no single task.
+    Every record is cleaned, checked and hashed once and written with the columns to ``keep`` (all where not given).
+    Duplicates are found on the hashes alone: the first record of each by aggregation with map-side combine, so that a
+    record repeated any number of times meets no single task; only the ordinals of the duplicates are joined back, so
+    texts move in no shuffle where these are few enough to broadcast. ``_idx`` is unique.
     """
-    r = with_hash(records.withColumn("failed", failed_rule(c)))
+    columns = [x for x in records.columns if x != "_idx" and (keep is None or x in keep)]
+    r = with_hash(records.withColumn("failed", failed_rule(c))).select("_idx", *columns, "content_hash", "failed")
     if not c.dedupe:
         return r.withColumnRenamed("failed", "reason")
-    # Conditional aggregation: a filter on ``failed`` would be pushed below the cleaning and repeat it for every rule.
-    firsts = r.groupBy("content_hash").agg(F.min(F.when(F.col("failed").isNull(), F.col("_idx"))).alias("first_idx"))
-    return r.join(firsts, "content_hash", "left").select(
-        *[x for x in r.columns if x != "failed"], F.coalesce("failed", F.when(F.col("_idx") != F.col("first_idx"), F.lit("duplicate"))).alias("reason")
-    )
+    r = materialize(r, "judged")
+    passed = r.where("failed is null").select("_idx", "content_hash")
+    firsts = passed.groupBy("content_hash").agg(F.min("_idx").alias("first_idx"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    again = passed.join(firsts, "content_hash").where(F.col("_idx") != F.col("first_idx")).select("_idx", F.lit("duplicate").alias("again"))
+    return r.join(materialize(again, "duplicates"), "_idx", "left").select("_idx", *columns, "content_hash", F.coalesce("failed", "again").alias("reason"))
 
 
-def kept(records: DataFrame, c: DataConfig = DataConfig()) -> DataFrame:
-    return judged(records, c).where("reason is null").drop("reason")
+def kept(records: DataFrame, c: DataConfig = DataConfig(), keep: tuple[str, ...] | None = None) -> DataFrame:
+    return judged(records, c, keep).where("reason is null").drop("reason")
 
 
 def drop_counts(judged_records: DataFrame) -> DataFrame:
@@ -143,7 +147,7 @@ def assign_split(records: DataFrame, c: DataConfig = DataConfig()) -> DataFrame:
 
 def split_sizes(split: DataFrame) -> DataFrame:
     """``split, n``; an empty split shows 0."""
-    names = split.sparkSession.createDataFrame([("train",), ("validation",), ("test",)], "split string")
+    names = split.sparkSession.createDataFrame([(x,) for x in SPLITS], "split string")
     n = split.groupBy("split").agg(F.count(F.lit(1)).alias("n"))
     return names.join(n, "split", "left").select("split", F.coalesce("n", F.lit(0)).cast("bigint").alias("n"))
 
@@ -187,22 +191,52 @@ def fingerprint(records: DataFrame) -> DataFrame:
 
 
 def split_fingerprints(split: DataFrame) -> DataFrame:
-    rows = [(name, *multiset_hash(split.where(F.col("split") == name))) for name in ("train", "validation", "test")]
+    rows = [(name, *multiset_hash(split.where(F.col("split") == name))) for name in SPLITS]
     return split.sparkSession.createDataFrame(rows, "split string, content_hash string, num_examples bigint")
 
 
+LIMBS = 16
+
+
+def limb_sums(hashes: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
+    """``limbs, num_examples``: the digests added up, in 16 parts of 16 bits.
+
+    A fingerprint of the multiset that needs no order: parts are summed with map-side combine, and the fingerprints of
+    two data sets add up to the one of both. Sums of up to 2^47 rows fit.
+    """
+    limb = [F.sum(F.conv(F.substring("content_hash", 4 * k + 1, 4), 16, 10).cast("bigint")) for k in range(LIMBS)]
+    return hashes.groupBy(*by).agg(F.concat_ws(",", *[F.coalesce(x, F.lit(0)).cast("string") for x in limb]).alias("limbs"), F.count(F.lit(1)).alias("num_examples"))
+
+
+def sum_of_limbs(*limbs: str) -> str:
+    """One digest, modulo 2^256, from the ``limbs`` of one or more data sets."""
+    total = sum(int(x) << 16 * (LIMBS - 1 - k) for text_ in limbs for k, x in enumerate(text_.split(",")))
+    return f"{total % (1 << 256):064x}"
+
+
+LENGTHS = ("instruction_chars", "response_chars", "total_chars", "has_context")
+
+
+def with_lengths(records: DataFrame) -> DataFrame:
+    i, r = F.length("instruction"), F.length("response")
+    return records.withColumns(dict(zip(LENGTHS, (i, r, i + F.length("context") + r, (F.col("context") != "").cast("int")))))
+
+
 def length_stats(records: DataFrame) -> DataFrame:
-    """Means, 95th percentiles by floor rank, maxima, and the share with context."""
+    """Means, 95th percentiles by floor rank, maxima, and the share with context; from :data:`LENGTHS` if they are there.
+
+    The four numbers of a record are written once; all ranks come from one histogram of them.
+    """
     from lodestone.operators.stats import rank_pick
 
-    ins, res = F.length("instruction"), F.length("response")
-    r = records.select(ins.alias("i"), res.alias("r"), (ins + F.length("context") + res).alias("t"), (F.col("context") != "").cast("int").alias("c"))
-    base = r.agg(
-        F.round(F.avg("i"), 2).alias("instruction_chars_mean"), F.round(F.avg("r"), 2).alias("response_chars_mean"), F.max("t").cast("double").alias("total_chars_max"), F.round(F.avg("c") * 100, 2).alias("pct_with_context")
+    i, r, t, c = LENGTHS
+    n = materialize((records if set(LENGTHS) <= set(records.columns) else with_lengths(records)).select(*LENGTHS), "lengths")
+    base = n.agg(
+        F.round(F.avg(i), 2).alias("instruction_chars_mean"), F.round(F.avg(r), 2).alias("response_chars_mean"), F.max(t).cast("double").alias("total_chars_max"), F.round(F.avg(c) * 100, 2).alias("pct_with_context")
     )
-    for c, name in (("i", "instruction_chars_p95"), ("r", "response_chars_p95"), ("t", "total_chars_p95")):
-        base = base.crossJoin(F.broadcast(rank_pick(r, [], c, {name: 0.95}, "floor")))
-    return base
+    picked = rank_pick(n.unpivot([], [i, r, t], "name", "value"), ["name"], "value", {"p95": 0.95}, "floor")
+    one = picked.agg(*[F.coalesce(F.max(F.when(F.col("name") == x, F.col("p95"))), F.lit(0.0)).alias(f"{x}_p95") for x in (i, r, t)])
+    return base.crossJoin(F.broadcast(one))
 
 
 def gold_records(df: DataFrame) -> DataFrame:
