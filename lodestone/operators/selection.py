@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -74,17 +78,52 @@ def ranked(c: DataFrame, cfg: SelectionConfig = SelectionConfig()) -> DataFrame:
     return e.withColumn("rank", F.row_number().over(Window.orderBy(F.desc(F.round("utility", 6)), F.col(cfg.tie_breaker), F.col("_idx"))))
 
 
+def _undominated(better: np.ndarray) -> np.ndarray:
+    """Which rows no other row dominates; every column is such that more is better. Memory grows with the frontier."""
+    order = np.lexsort(-better.T[::-1])  # a row is only dominated by rows that come before it
+    front: list[int] = []
+    held = np.empty((0, better.shape[1]))
+    for at in range(0, len(order), 1024):
+        block = order[at : at + 1024]
+        x = better[block]
+        for other in (held, x):
+            if len(other):
+                ge = (other[None] >= x[:, None]).all(2)
+                gt = (other[None] > x[:, None]).any(2)
+                alive = ~(ge & gt).any(1)
+                block, x = block[alive], x[alive]
+                if not len(block):
+                    break
+        front += block.tolist()
+        held = np.concatenate([held, x])
+    keep = np.zeros(len(better), dtype=bool)
+    keep[front] = True
+    return keep
+
+
+def _local_front(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    held: pa.Table | None = None
+    for b in batches:
+        held = pa.Table.from_batches([b]) if held is None else pa.concat_tables([held, pa.Table.from_batches([b])])
+        axes = np.column_stack([held[col].to_numpy() * (1 if more else -1) for _, col, more in AXES])
+        held = held.filter(pa.array(_undominated(axes)))
+    if held is not None:
+        yield from held.combine_chunks().to_batches()
+
+
 def pareto(c: DataFrame) -> DataFrame:
-    """Runs other than baselines that no other such run dominates; gates play no part."""
+    """Runs other than baselines that no other such run dominates; gates play no part.
+
+    Every partition keeps its own frontier; the frontiers are merged by a few tasks and then by one. Tasks hold
+    frontiers, never all runs; the last holds the result.
+    """
     d = c.where("not is_baseline")
-    a, b = d.alias("a"), d.alias("b")
-    as_good = strictly = None
-    for _, col, more in AXES:
-        x, y = F.col(f"a.{col}"), F.col(f"b.{col}")
-        ge, gt = (y >= x, y > x) if more else (y <= x, y < x)
-        as_good = ge if as_good is None else as_good & ge
-        strictly = gt if strictly is None else strictly | gt
-    return a.join(b, as_good & strictly, "left_anti")
+    thin = d.select("_idx", *[F.col(col).cast("double").alias(col) for _, col, _ in AXES])
+    schema = ", ".join(f"`{n}` {t}" for n, t in thin.dtypes)
+    front = thin.mapInArrow(_local_front, schema)
+    for parts in (8, 1):
+        front = front.repartition(parts).mapInArrow(_local_front, schema)
+    return d.join(front.select("_idx"), "_idx", "left_semi")
 
 
 def status(c: DataFrame, cfg: SelectionConfig = SelectionConfig()) -> DataFrame:
@@ -123,3 +162,16 @@ def experiment_results(c: DataFrame) -> DataFrame:
         "run_name", "method", F.round("quality", 4).alias("quality"), F.round("latency_ms", 1).alias("latency_p95_ms"), F.round("memory_mb", 1).alias("peak_memory_mb"), F.round("model_size_mb", 1).alias("model_size_mb"),
         F.round("cost_per_1k_usd", 5).alias("cost_per_1k_usd"), "is_baseline", "run_id", "dataset_version", F.coalesce("_on", F.lit(False)).alias("on_pareto_frontier"),
     )
+
+
+def by_quality(c: DataFrame, n: int | None = None) -> DataFrame:
+    """Runs by falling quality; ties keep the order of the runs."""
+    d = c.orderBy(F.desc("quality"), "_idx")
+    return d if n is None else d.limit(n)
+
+
+def against_best_quality(c: DataFrame, cfg: SelectionConfig = SelectionConfig()) -> DataFrame:
+    """One row: the champion, the best quality among ranked runs, and what the champion gives up of it."""
+    r = ranked(c, cfg)
+    best = r.agg(F.max("quality").alias("best_quality"))
+    return r.where("rank = 1").select(F.col("run_id").alias("champion"), F.col("quality").alias("champion_quality")).crossJoin(best).withColumn("given_up", F.col("best_quality") - F.col("champion_quality"))

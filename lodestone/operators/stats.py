@@ -2,30 +2,66 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+import sys
+from collections.abc import Callable
+from functools import reduce
+from operator import and_, or_
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from lodestone.functions.numeric import trainable_pct
 
-def rank_pick(df: DataFrame, by: list[str], value: str, picks: dict[str, float], mode: str) -> DataFrame:
-    """For each group the values at sorted position floor(q(n-1)) (``mode='floor'``) or round-half-even(q(n-1)).
 
-    Values are counted first with map-side combine; the running count then streams over a group's distinct values.
-    Null values do not count. Without groups and rows the picks are 0.0; a group's values come back as doubles.
+# The class of weight tensors that pack two weights in an element (fixed value).
+PACKED = "Params4bit"
+# Bins per doubling of a value.
+FINE = 256
+
+
+def _bin(v: Column) -> Column:
+    """A number that never falls where the value grows; equal values share it. Infinities and NaN count as the largest."""
+    x = F.nanvl(v.cast("double"), F.lit(sys.float_info.max))
+    x = F.greatest(F.least(x, F.lit(sys.float_info.max)), F.lit(-sys.float_info.max))
+    # Logarithms reach from -1,074 to 1,024, so positive values stay above 0 with this added.
+    size = F.floor(F.log2(F.abs(x)) * FINE) + 2000 * FINE
+    return F.when(x > 0, size).when(x < 0, -size).otherwise(F.lit(0).cast("bigint"))
+
+
+def at_ranks(df: DataFrame, by: list[str], value: str, ranks: dict[str, Callable[[Column], Column]]) -> DataFrame:
+    """For each group the value at sorted position ``ranks[name](n)``, counted from 0, of its ``n`` non-null values.
+
+    Two passes. The first counts values in bins, with map-side combine; a running count over a group's bins (some
+    thousands, whatever the data) finds the bin of each rank. The second looks only at the values of these bins. So no
+    task sees all values of a group. Without groups and values the result is one row of 0.0; values come back as doubles.
     """
-    counted = df.where(F.col(value).isNotNull()).groupBy(*by, F.col(value).alias("_v")).agg(F.count(F.lit(1)).alias("_k"))
-    w = Window.partitionBy(*by).orderBy("_v")
-    total = counted.groupBy(*by).agg(F.sum("_k").alias("_n"))
-    run = counted.withColumn("_upto", F.sum("_k").over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    run = run.join(total, by) if by else run.crossJoin(F.broadcast(total))
-    found = []
-    for name, q in picks.items():
-        at = F.lit(q) * (F.col("_n") - 1)
-        rank = F.floor(at) if mode == "floor" else F.bround(at, 0)
-        found.append(F.min(F.when(F.col("_upto") > F.least(rank, F.col("_n") - 1), F.col("_v"))).cast("double").alias(name))
+    v = df.where(F.col(value).isNotNull()).select(*by, F.col(value).alias("_v"), _bin(F.col(value)).alias("_b"))
+    bins = v.groupBy(*by, "_b").agg(F.count(F.lit(1)).alias("_k"))
+    upto = F.sum("_k").over(Window.partitionBy(*by).orderBy("_b").rowsBetween(Window.unboundedPreceding, 0))
+    total = F.sum("_k").over(Window.partitionBy(*by))
+    bins = bins.select(*by, "_b", (upto - F.col("_k")).alias("_before"), upto.alias("_upto"), total.alias("_n"))
+    place = {name: F.least(rank(F.col("_n")).cast("bigint"), F.col("_n") - 1) for name, rank in ranks.items()}
+    inside = {name: (F.col("_before") <= p) & (p < F.col("_upto")) for name, p in place.items()}
+    met = bins.where(reduce(or_, inside.values())).select(
+        *[F.col(c).alias(f"_g{k}") for k, c in enumerate(by)], F.col("_b").alias("_mb"), *[F.when(hit, place[name] - F.col("_before")).alias(f"_at_{name}") for name, hit in inside.items()]
+    )
+    same = reduce(and_, [F.col(c).eqNullSafe(F.col(f"_g{k}")) for k, c in enumerate(by)], F.col("_b") == F.col("_mb"))
+    near = v.join(met, same).groupBy(*by, "_b", "_v", *[f"_at_{x}" for x in ranks]).agg(F.count(F.lit(1)).alias("_k"))
+    run = near.withColumn("_upto", F.sum("_k").over(Window.partitionBy(*by, "_b").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)))
+    found = [F.min(F.when(F.col("_upto") > F.col(f"_at_{x}"), F.col("_v"))).cast("double").alias(x) for x in ranks]
     out = run.groupBy(*by).agg(*found) if by else run.agg(*found)
     return out if by else out.na.fill(0.0)
 
 
+def rank_pick(df: DataFrame, by: list[str], value: str, picks: dict[str, float], mode: str) -> DataFrame:
+    """For each group the values at sorted position floor(q(n-1)) (``mode='floor'``) or round-half-even(q(n-1))."""
+
+    def rank(q: float) -> Callable[[Column], Column]:
+        return lambda n: F.floor(F.lit(q) * (n - 1)) if mode == "floor" else F.bround(F.lit(q) * (n - 1), 0)
+
+    return at_ranks(df, by, value, {name: rank(q) for name, q in picks.items()})
+
+
 def latency_summary(df: DataFrame, by: list[str], ms: str, tokens: str | None = None, batch: int = 1) -> DataFrame:
     """Mean, interpolated median, p95 and p99 by rounded rank, extremes, sample deviation, tokens per second."""
     d = df.where(F.col(ms).isNotNull())
@@ -33,14 +69,16 @@ def latency_summary(df: DataFrame, by: list[str], ms: str, tokens: str | None =
     base = d.groupBy(*by).agg(
         F.count(F.lit(1)).alias("n"),
         F.avg(ms).alias("mean_ms"),
-        F.percentile(ms, F.lit(0.5)).alias("median_ms"),
         F.min(ms).alias("min_ms"),
         F.max(ms).alias("max_ms"),
         F.coalesce(F.stddev_samp(ms), F.lit(0.0)).alias("std_ms"),
         new.alias("_tokens"),
     )
     tps = F.when(F.col("mean_ms") > 0, F.col("_tokens") * batch / (F.col("mean_ms") / 1000.0)).otherwise(F.lit(0.0))
-    return base.withColumn("tokens_per_second", tps).drop("_tokens").join(rank_pick(d, by, ms, {"p95_ms": 0.95, "p99_ms": 0.99}, "round"), by)
+    rounded = lambda q: lambda n: F.bround(F.lit(q) * (n - 1), 0)
+    ranks = at_ranks(d, by, ms, {"_lo": lambda n: F.floor((n - 1) / 2), "_hi": lambda n: F.ceil((n - 1) / 2), "p95_ms": rounded(0.95), "p99_ms": rounded(0.99)})
+    ranks = ranks.withColumn("median_ms", F.col("_lo") + (F.col("_hi") - F.col("_lo")) / 2).drop("_lo", "_hi")
+    return base.withColumn("tokens_per_second", tps).drop("_tokens").join(ranks, by)
 
 
 def perplexity(df: DataFrame, by: list[str], loss: str, tokens: str) -> DataFrame:
@@ -79,3 +117,19 @@ def request_metrics(df: DataFrame, by: list[str], latency: str, failed, order: l
     last = newest(df.where(F.col(latency).isNotNull()), by, order, window)
     mean = last.groupBy(*by).agg(F.avg(latency).alias("mean_ms"))
     return counts.join(mean, by, "left").join(rank_pick(last, by, latency, {"p95_ms": 0.95}, "round"), by, "left")
+
+
+def parameter_totals(parameters: DataFrame, by: list[str]) -> DataFrame:
+    """Totals of a table of weight tensors (numel, element_size, kind, trainable, buffer).
+
+    Weights packed in four bits hold two a stored element. Buffers count for the bytes only. Null counts are none.
+    """
+    n = F.coalesce(F.col("numel").cast("bigint"), F.lit(0).cast("bigint"))
+    held = F.when(F.coalesce("buffer", F.lit(False)), F.lit(0).cast("bigint")).when(F.col("kind") == PACKED, n * 2).otherwise(n)
+    g = parameters.groupBy(*by).agg(
+        F.sum(held).alias("params_total"),
+        F.sum(F.when(F.coalesce("trainable", F.lit(False)), held).otherwise(F.lit(0).cast("bigint"))).alias("params_trainable"),
+        F.sum(n * F.coalesce(F.col("element_size").cast("bigint"), F.lit(0).cast("bigint"))).alias("bytes"),
+    )
+    total, part = F.col("params_total"), F.col("params_trainable")
+    return g.withColumn("params_frozen", total - part).withColumn("params_trainable_pct", trainable_pct(part, total)).withColumn("size_mb", F.col("bytes") / 1048576)
