@@ -5,10 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lodestone.functions import numeric as N
+from lodestone.operators.quality import METRICS, macro_means, scored
 from lodestone.operators.runs import long_metrics
 from lodestone.operators.stats import latency_summary
 
@@ -21,10 +22,34 @@ def latency_and_cost(log: DataFrame, by: str, ms: str, tokens: str, hourly_usd:
     return s.withColumn("requests_per_hour", per_hour).withColumn("cost_per_1k_usd", N.cost_per_1k(rate, per_hour)).withColumn("cost_per_1m_tokens_usd", N.cost_per_1m_tokens(rate, F.col("tokens_per_second")))
 
 
-def report(by: str, quality: DataFrame, latency: DataFrame, perplexity: DataFrame | None = None, memory: DataFrame | None = None) -> DataFrame:
+def first_of_each(df: DataFrame, by: str, n: int | None, idx: str = "_idx") -> DataFrame:
+    """The first ``n`` rows of each run by ``idx`` (a limit of evaluation; all where null).
+
+    Slices of a run keep their first n before the run's are chosen, so a run of any length meets many tasks.
+    """
+    if n is None:
+        return df
+    order = F.row_number().over(Window.partitionBy(by, "_s").orderBy(idx))
+    part = df.withColumn("_s", F.pmod(F.xxhash64(idx), F.lit(64))).withColumn("_k", order).where(F.col("_k") <= n)
+    return part.withColumn("_k", F.row_number().over(Window.partitionBy(by).orderBy(idx))).where(F.col("_k") <= n).drop("_s", "_k")
+
+
+def quality_by_run(pairs: DataFrame, by: str, metrics: tuple[str, ...] = METRICS, n: int | None = None) -> DataFrame:
+    """Mean scores of each run's predictions."""
+    return macro_means(scored(first_of_each(pairs, by, n)), metrics, (by,)).withColumnRenamed("n", "num_eval_examples")
+
+
+def memory_parts(df: DataFrame, by: str, peak: str, weights: str, total_mb: float) -> DataFrame:
+    """Peak and weight megabytes of each run with what follows from them."""
+    g = df.groupBy(by).agg(F.max(peak).alias("peak_memory_mb"), F.max(weights).alias("model_size_mb"))
+    p, w = F.col("peak_memory_mb"), F.col("model_size_mb")
+    return g.withColumn("activation_overhead_mb", N.activation_overhead_mb(p, w)).withColumn("utilization_pct", N.utilization_pct(p, F.lit(total_mb)))
+
+
+def report(by: str, quality: DataFrame, latency: DataFrame | None = None, perplexity: DataFrame | None = None, memory: DataFrame | None = None) -> DataFrame:
     """One row per run from the frames that were measured; a part that was not is null."""
-    r = quality.join(latency, by, "left")
-    for part in (perplexity, memory):
+    r = quality
+    for part in (latency, perplexity, memory):
         if part is not None:
             r = r.join(part, by, "left")
     return r

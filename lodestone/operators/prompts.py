@@ -6,7 +6,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lodestone.functions.text import strip, text
+from lodestone.serving import STUB
 
+# Texts and marks that models were trained with (fixed values): the system turn, the headings of the blocks below, the
+# label that loss ignores, the answer of a server without a model.
 SYSTEM = "You are a helpful assistant. Answer the user's instruction accurately and concisely. If context is provided, base your answer on it."
 IGNORED = -100
 
@@ -60,7 +63,7 @@ def padded(df: DataFrame, batch: str, pad_id: int = 0, multiple: int = 8) -> Dat
 
 def stub_prediction(prompt: Column) -> Column:
     """What a server without a model answers."""
-    return F.concat(F.lit("[stub] No model is loaded, so this is a placeholder response. The prompt received was: "), F.substring(text(prompt), 1, 200))
+    return F.concat(F.lit(STUB), F.substring(text(prompt), 1, 200))
 
 
 def finish_reason(generated: Column, max_new_tokens: Column) -> Column:

@@ -61,3 +61,10 @@ def best_and_worst(scores: DataFrame, by: str, metric: str, idx: str = "_idx", w
         return s.drop("_s", "_k").withColumn("bucket", F.lit(bucket))
 
     return top([F.col(metric), F.col(idx)], worst, "worst").unionByName(top([F.desc(metric), F.desc(idx)], best, "best"))
+
+
+def with_texts(samples: DataFrame, texts: DataFrame, idx: str = "_idx", columns: tuple[str, ...] = ("instruction", "reference", "prediction"), chars: int = 400) -> DataFrame:
+    """The chosen samples with their texts, each cut to what a report shows. Texts of other rows are not moved."""
+    shown = [F.substring(c, 1, chars).alias(c) for c in columns]
+    # Some fifteen rows a run against all texts: the samples are the side that is sent around where they are few.
+    return samples.join(texts.select(idx, *shown), idx)

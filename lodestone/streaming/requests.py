@@ -15,16 +15,19 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from lodestone.config import DataConfig
 from lodestone.operators.records import failed_rule
 from lodestone.operators.runs import finite_metrics
-from lodestone.session import shared_dir
+from lodestone.session import new_path
 
 WINDOW = 1000
-OUTPUT = "name string, requests bigint, errors bigint, mean_ms double, p95_ms double, held int"
+OUTPUT = "name string, requests bigint, errors bigint, tokens bigint, mean_ms double, p95_ms double, held int"
+PEAKS = "run_id string, step bigint, value double, peak double"
 
 
-def percentile_rounded(values: list[float], q: float) -> float:
-    """The value at position round-half-even(q (n - 1)); 0 without values."""
-    v = sorted(values)
-    return v[min(round(q * (len(v) - 1)), len(v) - 1)] if v else 0.0
+def tail_value(values: list[float], share: float = 0.95) -> float:
+    """The smallest of the values in the upper tail behind position round(share (n - 1)); 0 without values."""
+    if not values:
+        return 0.0
+    behind = len(values) - round(share * (len(values) - 1))
+    return heapq.nlargest(behind, values)[-1]
 
 
 class LastRequests(StatefulProcessor):
@@ -34,34 +37,60 @@ class LastRequests(StatefulProcessor):
     """
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.counts = handle.getValueState("counts", "requests bigint, errors bigint")
+        self.counts = handle.getValueState("counts", "requests bigint, errors bigint, tokens bigint")
         self.recent = handle.getListState("recent", "at timestamp, seq bigint, ms double")
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timers) -> Iterator[pd.DataFrame]:
-        requests, errors = self.counts.get() if self.counts.exists() else (0, 0)
+        requests, errors, tokens = self.counts.get() if self.counts.exists() else (0, 0, 0)
         held = [tuple(r) for r in self.recent.get()]
         for pdf in rows:
             requests += len(pdf)
             errors += int(pdf["failed"].sum())
+            tokens += int(pdf["tokens"].sum())
             new = pdf.dropna(subset=["ms", "at"])
-            held += zip(new["at"].dt.to_pydatetime(), new["seq"].tolist(), new["ms"].tolist())
+            held += zip(map(pd.Timestamp.to_pydatetime, new["at"]), new["seq"].tolist(), new["ms"].tolist())
             held = heapq.nlargest(WINDOW, held)
-        self.counts.update((requests, errors))
+        self.counts.update((requests, errors, tokens))
         self.recent.put(held)
         ms = [x for _, _, x in held]
-        yield pd.DataFrame({"name": [key[0]], "requests": [requests], "errors": [errors], "mean_ms": [sum(ms) / len(ms) if ms else 0.0], "p95_ms": [percentile_rounded(ms, 0.95)], "held": [len(ms)]})
+        yield pd.DataFrame({"name": [key[0]], "requests": [requests], "errors": [errors], "tokens": [tokens], "mean_ms": [sum(ms) / len(ms) if ms else 0.0], "p95_ms": [tail_value(ms)], "held": [len(ms)]})
 
     def close(self) -> None:
         pass
 
 
 def request_metrics(stream: DataFrame) -> DataFrame:
-    """Stream (name, at, seq, ms, failed) to running metrics per name. Needs the RocksDB state store."""
+    """Stream (name, at, seq, ms, failed, tokens) to running metrics per name. Needs the RocksDB state store."""
     # The runner that sets the processor up on the driver does not see files shipped to executors: send the code itself.
     cloudpickle.register_pickle_by_value(sys.modules[__name__])
     return stream.groupBy("name").transformWithStateInPandas(statefulProcessor=LastRequests(), outputStructType=OUTPUT, outputMode="Update", timeMode="None")
 
 
+class RunningPeak(StatefulProcessor):
+    """Per run: every step with the highest value up to it. Steps that come late do not lower what was already sent."""
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.peak = handle.getValueState("peak", "value double")
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timers) -> Iterator[pd.DataFrame]:
+        pdf = pd.concat(list(rows)).sort_values("step")
+        before = self.peak.get()[0] if self.peak.exists() else float("-inf")
+        peaks = pdf["value"].cummax().clip(lower=before).ffill()
+        top = max(before, pdf["value"].max()) if pdf["value"].notna().any() else before
+        if top > float("-inf"):
+            self.peak.update((float(top),))
+        yield pd.DataFrame({"run_id": key[0], "step": pdf["step"], "value": pdf["value"], "peak": peaks})
+
+    def close(self) -> None:
+        pass
+
+
+def running_peaks(stream: DataFrame) -> DataFrame:
+    """Stream (run_id, step, value) to the same rows with the peak so far. Needs the RocksDB state store."""
+    cloudpickle.register_pickle_by_value(sys.modules[__name__])
+    return stream.groupBy("run_id").transformWithStateInPandas(statefulProcessor=RunningPeak(), outputStructType=PEAKS, outputMode="Append", timeMode="None")
+
+
 def forward_metrics(stream: DataFrame, path: str, checkpoint: str):
     """Append every micro-batch of (run_id, key, value, step, ts) to the metric table; non-finite values are dropped."""
     return (
@@ -76,11 +105,20 @@ def drop_counts(stream: DataFrame, config: DataConfig = DataConfig()) -> DataFra
 
 
 def run_to_table(stream: DataFrame, mode: str) -> DataFrame:
-    """Everything the stream has now, run to its end, as the rows of a memory table of the run's own name."""
-    import uuid
-
-    spark, name = stream.sparkSession, f"run_{uuid.uuid4().hex}"
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
-    checkpoint = f"{shared_dir(spark)}/{spark.sparkContext.applicationId}/{name}"
-    stream.writeStream.format("memory").queryName(name).outputMode(mode).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
-    return spark.table(name)
+    """Everything the stream has now, run to its end, as a table in the shared folder.
+
+    Micro-batches are appended as files, so no result gathers on the driver; where the whole result is sent each time,
+    the last batch replaces the others.
+    """
+    spark = stream.sparkSession
+    path = new_path(spark, "stream")
+    write = "overwrite" if mode == "complete" else "append"
+    query = stream.writeStream.outputMode(mode).foreachBatch(lambda df, _: df.write.mode(write).parquet(path)).option("checkpointLocation", f"{path}-state").trigger(availableNow=True)
+    key = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    try:
+        query.start().awaitTermination()
+    finally:
+        spark.conf.set(key, before) if before else spark.conf.unset(key)
+    return spark.read.schema(stream.schema).parquet(path)
