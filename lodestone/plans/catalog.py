@@ -7,11 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodestone.config import SelectionConfig
+from lodestone import serving
+from lodestone.config import ModelConfig, SelectionConfig
 from lodestone.functions import numeric as N
 from lodestone.functions import text as T
 from lodestone.operators import evaluation, prompts, quality, records, runs, selection, stats
 from lodestone.plans import sql as S
+from lodestone.session import new_path
+from lodestone.sources import files
 from lodestone.streaming import requests
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -36,12 +39,17 @@ def _records(spark, d) -> DataFrame:
     return records.normalize(_t(spark, d, "raw_instructions"), "raw_instructions")
 
 
-def _judged(spark, d) -> DataFrame:
-    return records.judged(_records(spark, d))
+def _judged(spark, d, *keep: str) -> DataFrame:
+    """Ordinal, hash and reason of every record, and the columns to keep."""
+    return records.judged(_records(spark, d), keep=keep)
 
 
-def _split(spark, d) -> DataFrame:
-    return records.assign_split(records.kept(_records(spark, d)))
+def _kept(spark, d, *keep: str) -> DataFrame:
+    return records.kept(_records(spark, d), keep=keep)
+
+
+def _split(spark, d, *keep: str) -> DataFrame:
+    return records.assign_split(_kept(spark, d, *keep))
 
 
 def _gold(spark, d) -> DataFrame:
@@ -110,17 +118,17 @@ def validation_summary(spark, d):
 
 @_query(S.with_(S.REC, S.RULED, S.JUDGED) + "SELECT _idx, id, reason, substr(instruction, 1, 160) AS instruction FROM judged WHERE reason IS NOT NULL AND reason <> 'duplicate' ORDER BY _idx LIMIT 20")
 def dropped_examples(spark, d):
-    return records.dropped_examples(_judged(spark, d))
+    return records.dropped_examples(_judged(spark, d, "id", "instruction"))
 
 
 @_query(S.with_(S.REC, S.RULED, S.JUDGED) + "SELECT _idx, content_hash FROM judged WHERE reason IS NULL")
 def dedupe_first(spark, d):
-    return records.kept(_records(spark, d)).select("_idx", "content_hash")
+    return _kept(spark, d).select("_idx", "content_hash")
 
 
 @_query(S.with_(S.REC, S.RULED, S.JUDGED) + "SELECT coalesce(nullif(category, ''), 'uncategorized') AS category, count(*) AS n FROM judged WHERE reason IS NULL GROUP BY 1")
 def category_counts(spark, d):
-    return records.category_counts(records.kept(_records(spark, d)))
+    return records.category_counts(_kept(spark, d, "category"))
 
 
 @_query(S.with_(S.REC) + "SELECT id, count(*) AS n FROM rec GROUP BY id HAVING count(*) > 1")
@@ -143,7 +151,7 @@ def split_sizes(spark, d):
 
 @_query(S.with_(S.REC, S.RULED, S.JUDGED, S.SPLIT) + "SELECT split, category, count(*) AS n FROM split GROUP BY split, category")
 def category_distribution(spark, d):
-    return _split(spark, d).groupBy("split", "category").agg(F.count(F.lit(1)).alias("n"))
+    return _split(spark, d, "category").groupBy("split", "category").agg(F.count(F.lit(1)).alias("n"))
 
 
 @_query("SELECT content_hash FROM train INTERSECT (SELECT content_hash FROM validation UNION ALL SELECT content_hash FROM test)")
@@ -153,7 +161,17 @@ def split_leakage(spark, d):
 
 @_query(S.with_(S.REC, S.RULED, S.JUDGED) + "SELECT sha256(coalesce(string_agg(content_hash, '' ORDER BY content_hash), '')) AS content_hash, count(*) AS num_examples FROM judged WHERE reason IS NULL")
 def fingerprint(spark, d):
-    return records.fingerprint(records.kept(_records(spark, d)))
+    return records.fingerprint(_kept(spark, d))
+
+
+@_query(
+    S.with_(S.GOLD)
+    + "SELECT split, concat_ws(',', "
+    + ", ".join(f"sum(('0x' || substr(content_hash, {4 * k + 1}, 4))::bigint)::bigint::varchar" for k in range(records.LIMBS))
+    + ") AS limbs, count(*) AS num_examples FROM gold GROUP BY split"
+)
+def mergeable_fingerprints(spark, d):
+    return records.limb_sums(_gold(spark, d), ("split",))
 
 
 @_query(S.with_(S.GOLD) + "SELECT split, sha256(string_agg(content_hash, '' ORDER BY content_hash)) AS content_hash, count(*) AS num_examples FROM gold GROUP BY split")
@@ -173,7 +191,7 @@ def union_refingerprint(spark, d):
  FROM (SELECT length(instruction) AS i, length(response) AS r, length(instruction) + length(context) + length(response) AS t, (context <> '')::int AS c FROM judged WHERE reason IS NULL)"""
 )
 def length_stats(spark, d):
-    return records.length_stats(records.kept(_records(spark, d)))
+    return records.length_stats(records.kept(records.with_lengths(_records(spark, d)), keep=records.LENGTHS))
 
 
 @_query("SELECT id, instruction, coalesce(context, '') AS context, response, coalesce(category, '') AS category FROM test")
@@ -215,13 +233,13 @@ def chat_messages(spark, d):
 
 _IDS = f"""ids AS (SELECT _idx, list_transform({S.ws_tokens("instruction")}, lambda t: length(t)) AS p, list_transform({S.ws_tokens("response")}, lambda t: length(t)) AS a FROM raw_instructions),
  rows AS (SELECT _idx, list_concat(p, a) AS x, list_concat(list_transform(p, lambda t: -100), a) AS y FROM ids),
- cut AS (SELECT _idx, CASE WHEN len(x) > 32 THEN x[-32:] ELSE x END AS x, CASE WHEN len(y) > 32 THEN y[-32:] ELSE y END AS y FROM rows)"""
+ cut AS (SELECT _idx, CASE WHEN len(x) > {ModelConfig().max_seq_length} THEN x[-{ModelConfig().max_seq_length}:] ELSE x END AS x, CASE WHEN len(y) > {ModelConfig().max_seq_length} THEN y[-{ModelConfig().max_seq_length}:] ELSE y END AS y FROM rows)"""
 
 
 def _supervised(spark, d) -> DataFrame:
     raw = _t(spark, d, "raw_instructions")
     size = lambda c: F.transform(T.whitespace_tokens(F.col(c)), lambda t: F.length(t))
-    ids, labels = prompts.supervised(size("instruction"), size("response"), 32)
+    ids, labels = prompts.supervised(size("instruction"), size("response"), ModelConfig().max_seq_length)
     return raw.select("_idx", ids.alias("input_ids"), labels.alias("labels"))
 
 
@@ -271,8 +289,7 @@ def whitespace_counts(spark, d):
 
 
 def _pairs(spark, d) -> DataFrame:
-    raw = _t(spark, d, "raw_instructions").where(F.coalesce(F.col("context"), F.lit("")).rlike(r"[\p{L}\p{N}]"))
-    return raw.select("_idx", F.coalesce("source_name", F.lit("")).alias("run_id"), F.col("response").alias("prediction"), F.col("context").alias("reference"))
+    return _t(spark, d, "raw_instructions").select("_idx", F.coalesce("source_name", F.lit("")).alias("run_id"), F.col("response").alias("prediction"), F.col("context").alias("reference"))
 
 
 @_query(f"SELECT _idx, {S.answer('response')} AS answer FROM raw_instructions")
@@ -292,15 +309,15 @@ def quality_scores(spark, d):
     return s.select("_idx", "run_id", "exact_match", F.round("token_f1", 6).alias("token_f1"), F.round("length_ratio", 6).alias("length_ratio"))
 
 
-@_query()
+@_query(S.with_(S.PAIRS, S.SCORED) + "SELECT _idx, round(rouge_l, 6) AS rouge_l FROM scored")
 def rouge_l(spark, d):
     return quality.scored(_pairs(spark, d)).select("_idx", F.round("rouge_l", 6).alias("rouge_l"))
 
 
-@_query(S.with_(S.PAIRS, S.SCORED) + "SELECT run_id, round(avg(exact_match), 6) AS exact_match, round(avg(token_f1), 6) AS token_f1, round(avg(length_ratio), 6) AS length_ratio, count(*) AS n FROM scored GROUP BY run_id")
+@_query(S.with_(S.PAIRS, S.SCORED) + "SELECT run_id, round(avg(exact_match), 6) AS exact_match, round(avg(token_f1), 6) AS token_f1, round(avg(rouge_l), 6) AS rouge_l, round(avg(length_ratio), 6) AS length_ratio, count(*) AS n FROM scored GROUP BY run_id")
 def quality_macro(spark, d):
-    m = quality.macro_means(quality.scored(_pairs(spark, d)), ("exact_match", "token_f1"), ("run_id",))
-    return m.select("run_id", *[F.round(c, 6).alias(c) for c in ("exact_match", "token_f1", "length_ratio")], "n")
+    m = quality.macro_means(quality.scored(_pairs(spark, d)), ("exact_match", "token_f1", "rouge_l"), ("run_id",))
+    return m.select("run_id", *[F.round(c, 6).alias(c) for c in ("exact_match", "token_f1", "rouge_l", "length_ratio")], "n")
 
 
 @_query(
@@ -313,6 +330,19 @@ def best_worst_samples(spark, d):
     return b.select("run_id", "_idx", F.round("token_f1", 6).alias("token_f1"), "bucket")
 
 
+@_query(
+    S.with_(S.PAIRS, S.SCORED)
+    + """, placed AS (SELECT run_id, _idx, rouge_l, prediction, reference, row_number() OVER (PARTITION BY run_id ORDER BY rouge_l, _idx) AS lo, row_number() OVER (PARTITION BY run_id ORDER BY rouge_l DESC, _idx DESC) AS hi FROM scored),
+ chosen AS (SELECT *, 'worst' AS bucket FROM placed WHERE lo <= 10 UNION ALL SELECT *, 'best' AS bucket FROM placed WHERE hi <= 5)
+ SELECT _idx, run_id, round(c.rouge_l, 6) AS rouge_l, bucket, substr(i.instruction, 1, 400) AS instruction, substr(c.reference, 1, 400) AS reference, substr(c.prediction, 1, 400) AS prediction FROM chosen c JOIN raw_instructions i USING (_idx)"""
+)
+def sample_texts(spark, d):
+    scores = quality.scored(_pairs(spark, d)).select("run_id", "_idx", "rouge_l")
+    chosen = quality.best_and_worst(scores, "run_id", "rouge_l").withColumn("rouge_l", F.round("rouge_l", 6))
+    texts = _t(spark, d, "raw_instructions").select("_idx", "instruction", F.col("context").alias("reference"), F.col("response").alias("prediction"))
+    return quality.with_texts(chosen, texts)
+
+
 # Latency, cost, memory, perplexity
 
 
@@ -351,10 +381,10 @@ def token_cost(spark, d):
 
 
 @_query(
-    "SELECT run_id, round(greatest(memory_mb - model_size_mb, 0.0::double), 6) AS overhead_mb, round(CASE WHEN 16384.0 > 0 THEN memory_mb / 16384.0::double * 100 ELSE 0 END, 6) AS utilization_pct, round(CASE WHEN memory_mb > 0 THEN model_size_mb / memory_mb * 100 ELSE 0.0::double END, 6) AS weights_pct FROM candidates WHERE memory_mb IS NOT NULL AND model_size_mb IS NOT NULL"
+    "SELECT run_id, round(greatest(memory_mb - model_size_mb, 0.0::double), 6) AS overhead_mb, round(CASE WHEN 16384.0 > 0 THEN memory_mb / 16384.0::double * 100 ELSE 0 END, 6) AS utilization_pct, round(CASE WHEN memory_mb > 0 THEN model_size_mb / memory_mb * 100 ELSE 0.0::double END, 6) AS weights_pct FROM candidates"
 )
 def memory_derived(spark, d):
-    c = _t(spark, d, "candidates").where("memory_mb is not null and model_size_mb is not null")
+    c = _t(spark, d, "candidates")
     m, w = F.col("memory_mb"), F.col("model_size_mb")
     return c.select("run_id", F.round(N.activation_overhead_mb(m, w), 6).alias("overhead_mb"), F.round(N.utilization_pct(m, F.lit(16384.0)), 6).alias("utilization_pct"), F.round(N.trainable_pct(w, m), 6).alias("weights_pct"))
 
@@ -393,21 +423,45 @@ def last_value(spark, d):
     return stats.last_value(_t(spark, d, "predict_log"), ["model"], "log_id", "latency_ms")
 
 
-@_query("SELECT method, count(*) AS tensors, sum(CASE WHEN method = 'qlora' THEN 2 ELSE 1 END * model_size_mb) AS parameters FROM candidates WHERE model_size_mb IS NOT NULL GROUP BY method")
+_TENSORS = """t AS (SELECT l_suppkey AS model, l_quantity::bigint * 1000 AS numel, l_linenumber AS element_size, CASE WHEN l_returnflag = 'R' THEN 'Params4bit' ELSE 'Parameter' END AS kind, l_linestatus = 'O' AS trainable, l_linenumber = 7 AS buffer FROM lineitem),
+ h AS (SELECT *, CASE WHEN buffer THEN 0 WHEN kind = 'Params4bit' THEN 2 * numel ELSE numel END AS held FROM t)"""
+
+
+@_query(
+    S.with_(_TENSORS)
+    + """SELECT model, sum(held)::bigint AS params_total, sum(CASE WHEN trainable THEN held ELSE 0 END)::bigint AS params_trainable, sum(CASE WHEN trainable THEN 0 ELSE held END)::bigint AS params_frozen, sum(numel * element_size)::bigint AS bytes,
+ round(CASE WHEN sum(held) > 0 THEN sum(CASE WHEN trainable THEN held ELSE 0 END)::double / sum(held)::double * 100 ELSE 0 END, 6) AS params_trainable_pct, round(sum(numel * element_size)::double / 1048576, 6) AS size_mb FROM h GROUP BY model"""
+)
 def parameter_totals(spark, d):
-    c = _t(spark, d, "candidates").where("model_size_mb is not null")
-    return c.groupBy("method").agg(F.count(F.lit(1)).alias("tensors"), F.sum(F.when(F.col("method") == "qlora", 2).otherwise(1) * F.col("model_size_mb")).alias("parameters"))
+    """Items of a supplier as the weight tensors of a model."""
+    kind = F.when(F.col("l_returnflag") == "R", stats.PACKED).otherwise("Parameter")
+    t = _t(spark, d, "lineitem").select(
+        F.col("l_suppkey").alias("model"), (F.col("l_quantity").cast("bigint") * 1000).alias("numel"), F.col("l_linenumber").alias("element_size"), kind.alias("kind"), (F.col("l_linestatus") == "O").alias("trainable"), (F.col("l_linenumber") == 7).alias("buffer")
+    )
+    return stats.parameter_totals(t, ["model"]).withColumns({c: F.round(c, 6) for c in ("params_trainable_pct", "size_mb")})
 
 
-_REPORT = f"""lat AS (SELECT model, round(avg(latency_ms), 9) AS mean_ms, round({S.pick("latency_ms", 0.95, "round")}, 6) AS p95_ms, round(0.6::double / (3600.0::double / (avg(latency_ms) / 1000.0::double)) * 1000.0::double, 9) AS cost_per_1k_usd FROM predict_log WHERE latency_ms IS NOT NULL GROUP BY model),
- q AS (SELECT model, round(avg(coalesce((finish_reason = 'stop')::int, 0)), 6) AS stopped FROM predict_log GROUP BY model), rep AS (SELECT * FROM q LEFT JOIN lat USING (model))"""
+_REPORT = f"""pairs AS (SELECT run_id, log_id, prediction, context AS reference, {S.answer_tokens("prediction")} AS p, {S.answer_tokens("context")} AS r FROM predict_log WHERE run_id IS NOT NULL),
+ {S.SCORED},
+ q AS (SELECT run_id, avg(rouge_l) AS rouge_l, avg(token_f1) AS token_f1, avg(exact_match) AS exact_match, avg(length_ratio) AS length_ratio, count(*) AS num_eval_examples FROM scored GROUP BY run_id),
+ lat AS (SELECT run_id, avg(latency_ms) AS mean_ms, {S.pick("latency_ms", 0.95, "round")} AS p95_ms, 0.6::double / (3600.0::double / (avg(latency_ms) / 1000.0::double)) * 1000.0::double AS cost_per_1k_usd FROM predict_log WHERE latency_ms IS NOT NULL GROUP BY run_id),
+ ppl AS (SELECT run_id, CASE WHEN coalesce(sum(completion_tokens), 0) > 0 THEN exp(least(sum(latency_ms / 1000.0::double * completion_tokens) / sum(completion_tokens), 20.0::double)) ELSE 'inf'::double END AS perplexity FROM predict_log WHERE run_id IS NOT NULL GROUP BY run_id),
+ mem AS (SELECT run_id, memory_mb AS peak_memory_mb, model_size_mb, greatest(memory_mb - model_size_mb, 0.0::double) AS activation_overhead_mb, memory_mb / 16384.0::double * 100 AS utilization_pct FROM candidates),
+ rep AS (SELECT run_id, round(rouge_l, 6) AS rouge_l, round(token_f1, 6) AS token_f1, round(exact_match, 6) AS exact_match, round(length_ratio, 6) AS length_ratio, num_eval_examples, round(mean_ms, 6) AS mean_ms, round(p95_ms, 6) AS p95_ms, round(cost_per_1k_usd, 9) AS cost_per_1k_usd,
+  round(perplexity, 6) AS perplexity, round(peak_memory_mb, 6) AS peak_memory_mb, round(model_size_mb, 6) AS model_size_mb, round(activation_overhead_mb, 6) AS activation_overhead_mb, round(utilization_pct, 6) AS utilization_pct
+  FROM q LEFT JOIN lat USING (run_id) LEFT JOIN ppl USING (run_id) LEFT JOIN mem USING (run_id))"""
 
 
 def _report(spark, d) -> DataFrame:
-    log = _t(spark, d, "predict_log")
-    q = log.groupBy("model").agg(F.round(F.avg(F.coalesce((F.col("finish_reason") == "stop").cast("int"), F.lit(0))), 6).alias("stopped"))
-    lat = evaluation.latency_and_cost(log, "model", "latency_ms", "completion_tokens")
-    return evaluation.report("model", q, lat.select("model", F.round("mean_ms", 9).alias("mean_ms"), F.round("p95_ms", 6).alias("p95_ms"), F.round("cost_per_1k_usd", 9).alias("cost_per_1k_usd")))
+    """All parts of a run: scores of its answers against their contexts, latency, cost, memory; seconds stand in for losses."""
+    log = _t(spark, d, "predict_log").where("run_id is not null")
+    q = evaluation.quality_by_run(log.select("run_id", F.col("log_id").alias("_idx"), "prediction", F.col("context").alias("reference")), "run_id", ("rouge_l", "token_f1", "exact_match"))
+    lat = evaluation.latency_and_cost(log, "run_id", "latency_ms", "completion_tokens").select("run_id", "mean_ms", "p95_ms", "cost_per_1k_usd")
+    loss = log.withColumn("loss", F.col("latency_ms") / 1000.0)
+    ppl = stats.perplexity(loss, ["run_id"], "loss", "completion_tokens").select("run_id", "perplexity")
+    mem = evaluation.memory_parts(_t(spark, d, "candidates"), "run_id", "memory_mb", "model_size_mb", 16384.0)
+    r = evaluation.report("run_id", q, lat, ppl, mem)
+    return r.withColumns({c: F.round(c, 9 if c == "cost_per_1k_usd" else 6) for c, t in r.dtypes if t == "double"})
 
 
 @_query(S.with_(_REPORT) + "SELECT * FROM rep")
@@ -415,14 +469,27 @@ def evaluation_report(spark, d):
     return _report(spark, d)
 
 
-@_query(S.with_(_REPORT) + "SELECT model, key, value FROM (UNPIVOT rep ON stopped, mean_ms, p95_ms, cost_per_1k_usd INTO NAME key VALUE value)")
+@_query(
+    S.with_(_REPORT)
+    + "SELECT run_id, key, value FROM (UNPIVOT (SELECT * REPLACE (num_eval_examples::double AS num_eval_examples) FROM rep) ON rouge_l, token_f1, exact_match, length_ratio, num_eval_examples, mean_ms, p95_ms, cost_per_1k_usd, perplexity, peak_memory_mb, model_size_mb, activation_overhead_mb, utilization_pct INTO NAME key VALUE value)"
+)
 def report_metrics(spark, d):
-    return evaluation.as_metrics(_report(spark, d), "model")
+    return evaluation.as_metrics(_report(spark, d), "run_id")
 
 
-@_query(S.with_(_REPORT) + "SELECT model AS run_id, stopped AS quality, p95_ms AS latency_ms, 0.0::double AS memory_mb, 0.0::double AS model_size_mb, cost_per_1k_usd FROM rep")
+@_query(S.with_(_REPORT) + "SELECT run_id, coalesce(rouge_l, 0) AS quality, coalesce(p95_ms, 0) AS latency_ms, coalesce(peak_memory_mb, 0) AS memory_mb, coalesce(model_size_mb, 0) AS model_size_mb, coalesce(cost_per_1k_usd, 0) AS cost_per_1k_usd FROM rep")
 def candidates_from_report(spark, d):
-    return evaluation.candidates_from_report(_report(spark, d), "model", "stopped")
+    return evaluation.candidates_from_report(_report(spark, d), "run_id")
+
+
+_INVALID = """CASE WHEN prompt IS NULL OR length(prompt) < 1 OR length(prompt) > 8000 THEN 'prompt' WHEN coalesce(length(context), 0) > 16000 THEN 'context' WHEN coalesce(max_new_tokens, 256) < 1 OR coalesce(max_new_tokens, 256) > 1024 THEN 'max_new_tokens'
+ WHEN coalesce(temperature, 0) < 0 OR coalesce(temperature, 0) > 2 THEN 'temperature' WHEN coalesce(top_p, 0.9) <= 0 OR coalesce(top_p, 0.9) > 1 THEN 'top_p' END"""
+
+
+@_query(f"SELECT log_id, {_INVALID} AS invalid FROM predict_log")
+def request_validation(spark, d):
+    numbers = {c: F.col(c) for c in ("max_new_tokens", "temperature", "top_p")}
+    return _t(spark, d, "predict_log").select("log_id", serving.invalid_field(F.col("prompt"), F.col("context"), **numbers).alias("invalid"))
 
 
 @_query("SELECT log_id, request_id, prompt FROM predict_log WHERE log_id < 200")
@@ -441,15 +508,17 @@ def metric_finite_filter(spark, d):
 
 
 @_query(
-    "WITH c AS (SELECT * FROM candidates WHERE isfinite(quality) ORDER BY start_time DESC NULLS LAST, run_id LIMIT 200) SELECT run_id, run_name, quality, "
+    "WITH done AS (SELECT * FROM candidates WHERE _idx % 4 <> 1 ORDER BY start_time DESC NULLS LAST, run_id LIMIT 25), c AS (SELECT * FROM done WHERE isfinite(quality)) SELECT run_id, run_name, quality, "
     + ", ".join(f"CASE WHEN isfinite({k}) THEN {k} ELSE 0.0::double END AS {k}" for k in _KEYS[1:])
     + ", coalesce(is_baseline, false) AS is_baseline FROM c"
 )
 def run_candidates(spark, d):
-    c = _t(spark, d, "candidates").where(N.finite(F.col("quality")))
-    store = c.select("run_id", "run_name", F.lit("FINISHED").alias("status"), "start_time", F.create_map(F.lit("arm"), F.when(F.col("is_baseline"), "baseline").otherwise("arm")).alias("tags"))
+    """The newest 25 finished runs; every fourth run failed."""
+    c = _t(spark, d, "candidates")
+    status = F.when(F.col("_idx") % 4 == 1, "FAILED").otherwise("FINISHED")
+    store = c.select("run_id", "run_name", status.alias("status"), "start_time", F.create_map(F.lit("arm"), F.when(F.col("is_baseline"), "baseline").otherwise("arm")).alias("tags"))
     metrics = runs.long_metrics(c, ["run_id"], list(_KEYS)).withColumn("step", F.lit(0).cast("bigint")).withColumn("ts", F.lit("2024-01-01").cast("timestamp"))
-    return runs.candidates_from_runs(store, metrics, {k: k for k in _KEYS}, "quality").drop("metadata")
+    return runs.candidates_from_runs(store, metrics, {k: k for k in _KEYS}, "quality", 25).drop("metadata")
 
 
 @_query("WITH a AS (SELECT model, client AS alias, log_id AS version, ts FROM predict_log) SELECT model, alias, arg_max(version, (ts, version)) AS version FROM a GROUP BY model, alias")
@@ -477,15 +546,15 @@ def _stream(spark, d, name) -> DataFrame:
 
 
 @_query(
-    f"""WITH c AS (SELECT model AS name, count(*) AS requests, count(*) FILTER (WHERE coalesce(finish_reason = 'error', false)) AS errors FROM predict_log GROUP BY model),
+    f"""WITH c AS (SELECT model AS name, count(*) AS requests, count(*) FILTER (WHERE coalesce(finish_reason = 'error', false)) AS errors, coalesce(sum(completion_tokens), 0)::bigint AS tokens FROM predict_log GROUP BY model),
  l AS (SELECT model AS name, latency_ms, row_number() OVER (PARTITION BY model ORDER BY ts DESC, log_id DESC) AS k FROM predict_log WHERE latency_ms IS NOT NULL),
  s AS (SELECT name, round(avg(latency_ms), 9) AS mean_ms, {S.pick("latency_ms", 0.95, "round")} AS p95_ms, count(*)::int AS held FROM l WHERE k <= 1000 GROUP BY name) SELECT * FROM c JOIN s USING (name)"""
 )
 def stream_request_metrics(spark, d):
-    log = _stream(spark, d, "predict_log").select(F.col("model").alias("name"), F.col("ts").alias("at"), F.col("log_id").alias("seq"), F.col("latency_ms").alias("ms"), F.coalesce(F.col("finish_reason") == "error", F.lit(False)).alias("failed"))
+    log = _stream(spark, d, "predict_log").select(F.col("model").alias("name"), F.col("ts").alias("at"), F.col("log_id").alias("seq"), F.col("latency_ms").alias("ms"), F.coalesce(F.col("finish_reason") == "error", F.lit(False)).alias("failed"), F.coalesce("completion_tokens", F.lit(0)).cast("bigint").alias("tokens"))
     out = requests.run_to_table(requests.request_metrics(log), "update")
-    last = out.groupBy("name").agg(F.max_by(F.struct("requests", "errors", "mean_ms", "p95_ms", "held"), "requests").alias("s"))
-    return last.select("name", "s.requests", "s.errors", F.round("s.mean_ms", 9).alias("mean_ms"), "s.p95_ms", "s.held")
+    last = out.groupBy("name").agg(F.max_by(F.struct("requests", "errors", "tokens", "mean_ms", "p95_ms", "held"), "requests").alias("s"))
+    return last.select("name", "s.requests", "s.errors", "s.tokens", F.round("s.mean_ms", 9).alias("mean_ms"), "s.p95_ms", "s.held")
 
 
 @_query(S.with_(S.REC, S.RULED) + "SELECT coalesce(failed, 'kept') AS reason, count(*) AS n FROM ruled GROUP BY 1")
@@ -493,6 +562,12 @@ def stream_drop_counts(spark, d):
     return requests.run_to_table(requests.drop_counts(records.normalize(_stream(spark, d, "raw_instructions"), "raw_instructions")), "complete")
 
 
+@_query("SELECT model AS run_id, log_id AS step, latency_ms AS value, max(latency_ms) OVER (PARTITION BY model ORDER BY log_id ROWS UNBOUNDED PRECEDING) AS peak FROM predict_log")
+def stream_running_peak(spark, d):
+    steps = _stream(spark, d, "predict_log").select(F.col("model").alias("run_id"), F.col("log_id").alias("step"), F.col("latency_ms").alias("value"))
+    return requests.run_to_table(requests.running_peaks(steps), "append")
+
+
 # Names
 
 
@@ -509,12 +584,11 @@ def param_truncation(spark, d):
 
 
 @_query(
-    "WITH n AS (SELECT run_id, '/org/' || method || '/' || run_id AS path, 'cat.' || method || '.' || run_id AS fqn FROM candidates) SELECT run_id, list_last(string_split(path, '/')) AS short_name, replace(trim(path, '/'), '/', '-') AS flat_path, length(fqn) - length(replace(fqn, '.', '')) = 2 AS three_level, 'models:/' || fqn || '@champion' AS alias_uri, 'models:/' || fqn || '/1' AS version_uri FROM n"
+    "WITH n AS (SELECT run_id, '/org/' || method || '/' || run_id AS path, 'cat.' || method || '.' || run_id AS fqn FROM candidates) SELECT run_id, list_last(string_split(path, '/')) AS short_name, replace(trim(path, '/'), '/', '-') AS flat_path, length(fqn) - length(replace(fqn, '.', '')) = 2 AS three_level, 'models:/' || fqn || '@champion' AS alias_uri, 'models:/' || fqn || '/1' AS version_uri, 'runs:/' || run_id || '/model' AS run_uri FROM n"
 )
 def model_names(spark, d):
     c = _t(spark, d, "candidates").select("run_id", F.concat(F.lit("/org/"), "method", F.lit("/"), "run_id").alias("path"), F.concat(F.lit("cat."), "method", F.lit("."), "run_id").alias("fqn"))
-    uri = lambda tail: F.concat(F.lit("models:/"), "fqn", F.lit(tail))
-    return c.select("run_id", T.short_name(F.col("path")).alias("short_name"), T.flat_path(F.col("path")).alias("flat_path"), T.is_three_level(F.col("fqn")).alias("three_level"), uri("@champion").alias("alias_uri"), uri("/1").alias("version_uri"))
+    return c.select("run_id", T.short_name(F.col("path")).alias("short_name"), T.flat_path(F.col("path")).alias("flat_path"), T.is_three_level(F.col("fqn")).alias("three_level"), runs.model_uri(F.col("fqn"), "champion").alias("alias_uri"), runs.model_uri(F.col("fqn"), version=1).alias("version_uri"), runs.run_uri(F.col("run_id"), "model").alias("run_uri"))
 
 
 # Selection
@@ -596,6 +670,52 @@ def experiment_results(spark, d):
     return selection.experiment_results(_candidates(spark, d))
 
 
+@_query(S.with_(S.CAND) + "SELECT run_id, quality FROM cand ORDER BY quality DESC, _idx LIMIT 10")
+def best_by_quality(spark, d):
+    return selection.by_quality(_candidates(spark, d), 10).select("run_id", "quality")
+
+
+@_query(S.with_(S.CAND, S.NORMED, S.UTIL, S.GATED) + "SELECT run_id AS champion, quality AS champion_quality, best_quality, round(best_quality - quality, 9) AS given_up FROM (SELECT g.*, r.rank, max(g.quality) OVER () AS best_quality FROM gated g JOIN ranking r USING (_idx)) WHERE rank = 1")
+def champion_against_best(spark, d):
+    return selection.against_best_quality(_candidates(spark, d)).withColumn("given_up", F.round("given_up", 9))
+
+
+# Files
+
+
+def _derived(spark, d: str, kind: str) -> str:
+    """A file that source readers have to get right, written from a table once per call."""
+    rows = _t(spark, d, "raw_instructions").select("_idx", "instruction", "context", "response")
+    line = F.to_json(F.struct("_idx", "instruction", "context", "response"), {"ignoreNullFields": "false"})
+    if kind == "array":
+        # Items that are no objects stand between the records.
+        lines = rows.select("_idx", F.concat(F.when(F.col("_idx") == 0, '[5, "x", ').otherwise(", [1], "), line).alias("value"))
+        end = spark.createDataFrame([(1 << 62, "]")], "_idx bigint, value string")
+        path = new_path(spark, "array")
+        lines.unionByName(end).repartition(1).sortWithinPartitions("_idx").select("value").write.text(path)
+        return spark.read.text(path).inputFiles()[0]
+    # Mislabelled: lines in a .json file, by falling number, so that source order is not the order of the values.
+    path = new_path(spark, "lines")
+    rows.select("_idx", line.alias("value")).repartition(1).sortWithinPartitions(F.desc("_idx")).select("value").write.text(path)
+    return spark.read.text(path).inputFiles()[0]
+
+
+@_query("SELECT _idx, instruction, response FROM raw_instructions")
+def json_array_file(spark, d):
+    return files.read_json_file(spark, _derived(spark, d, "array")).select("_idx", "instruction", "response")
+
+
+@_query("SELECT _idx, instruction, response FROM raw_instructions")
+def mislabelled_json_file(spark, d):
+    return files.read_json_file(spark, _derived(spark, d, "lines")).select("_idx", "instruction", "response")
+
+
+@_query(f"WITH o AS (SELECT row_number() OVER (ORDER BY _idx DESC) - 1 AS place, {S.clean('instruction')} AS instruction, {S.clean('response')} AS response FROM raw_instructions) SELECT place, instruction, response FROM o WHERE place < 100")
+def source_order_head(spark, d):
+    """The first rows of a file without ordinals are those that stand first in it."""
+    return files.load_records(spark, _derived(spark, d, "lines"), "jsonl", 100).select(F.col("_idx").alias("place"), "instruction", "response")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(_QUERIES)
 

@@ -62,11 +62,18 @@ SPLIT = """kept AS (SELECT * FROM judged WHERE reason IS NULL), bucketed AS (SEL
 GOLD = "gold AS (SELECT *, 'train' AS split FROM train UNION ALL BY NAME SELECT *, 'validation' AS split FROM validation UNION ALL BY NAME SELECT *, 'test' AS split FROM test)"
 
 PAIRS = f"""pairs AS (SELECT _idx, coalesce(source_name, '') AS run_id, response AS prediction, context AS reference, {answer_tokens("response")} AS p, {answer_tokens("context")} AS r
- FROM raw_instructions WHERE regexp_matches(coalesce(context, ''), '[\\p{{L}}\\p{{N}}]'))"""
+ FROM raw_instructions)"""
 
-SCORED = """counted AS (SELECT *, coalesce(list_sum(list_transform(list_distinct(p), lambda t: least(len(list_filter(p, lambda x: x = t)), len(list_filter(r, lambda x: x = t))))), 0)::double AS common FROM pairs),
+# The longest common subsequence, by the least place in r at which one of each length can end; a token moves these places
+# to its own places behind the next shorter one's.
+LCS = """len(list_reduce(list_prepend([]::int[], list_transform(p, lambda t: list_filter(range(1, len(r) + 1)::int[], lambda k: r[k] = t))),
+  lambda b, hits: list_filter(list_transform(range(1, len(b) + 2)::int[], lambda v: least(coalesce(b[v], 2147483647),
+   coalesce(list_min(list_filter(hits, lambda k: k > CASE WHEN v = 1 THEN 0 ELSE b[v - 1] END)), 2147483647))), lambda x: x < 2147483647)))::double"""
+
+SCORED = f"""counted AS (SELECT *, {LCS} AS lcs, coalesce(list_sum(list_transform(list_distinct(p), lambda t: least(len(list_filter(p, lambda x: x = t)), len(list_filter(r, lambda x: x = t))))), 0)::double AS common FROM pairs),
  scored AS (SELECT *, (array_to_string(p, ' ') = array_to_string(r, ' '))::int::double AS exact_match,
   CASE WHEN len(p) = 0 AND len(r) = 0 THEN 1.0::double WHEN len(p) = 0 OR len(r) = 0 OR common = 0 THEN 0.0::double ELSE 2 * (common / len(p)) * (common / len(r)) / (common / len(r) + common / len(p)) END AS token_f1,
+  CASE WHEN len(p) = 0 AND len(r) = 0 THEN 1.0::double WHEN len(p) = 0 OR len(r) = 0 OR lcs = 0 THEN 0.0::double ELSE 2.44 * (lcs / len(p)) * (lcs / len(r)) / (lcs / len(r) + 1.44 * (lcs / len(p))) END AS rouge_l,
   CASE WHEN len(r) = 0 THEN 0.0::double ELSE len(p)::double / len(r) END AS length_ratio FROM counted)"""
 
 _FIN = "CASE WHEN isfinite({0}) THEN {0} ELSE 0.0::double END AS {0}"

@@ -57,7 +57,7 @@ def test_prepare(spark, small, tmp_path):
 
 
 def test_last_requests_stream(spark, small, tmp_path):
-    log = spark.read.parquet(f"{small}/predict_log.parquet").select(F.col("model").alias("name"), F.col("ts").alias("at"), F.col("log_id").alias("seq"), F.col("latency_ms").alias("ms"), F.coalesce(F.col("finish_reason") == "error", F.lit(False)).alias("failed"))
+    log = spark.read.parquet(f"{small}/predict_log.parquet").select(F.col("model").alias("name"), F.col("ts").alias("at"), F.col("log_id").alias("seq"), F.col("latency_ms").alias("ms"), F.coalesce(F.col("finish_reason") == "error", F.lit(False)).alias("failed"), F.lit(2).cast("bigint").alias("tokens"))
     log.write.parquet(f"{tmp_path}/log")
     stream = spark.readStream.schema(log.schema).parquet(f"{tmp_path}/log")
     q = requests.request_metrics(stream).writeStream.format("memory").queryName("last").outputMode("update").option("checkpointLocation", f"{tmp_path}/cp").trigger(availableNow=True).start()
@@ -80,4 +80,4 @@ def test_metric_and_drop_streams(spark, tmp_path, records_schema):
 
 
 def test_percentile_of_the_stream():
-    assert requests.percentile_rounded([], 0.95) == 0.0 and requests.percentile_rounded([3, 1, 2], 0.5) == 2
+    assert requests.tail_value([], 0.95) == 0.0 and requests.tail_value([3, 1, 2], 0.5) == 2

@@ -1,11 +1,10 @@
-import json
 
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from lodestone import config as C
+from lodestone.config import SelectionConfig
 from lodestone.operators import runs, selection
 from lodestone.report import model_card, samples_markdown, selection_markdown
 
@@ -22,10 +21,10 @@ def table(spark, *rows):
 
 def test_gates(spark):
     c = table(spark, {"quality": 0.70, "is_baseline": True}, {"quality": 0.50}, {"quality": 0.70}, {"quality": 0.9, "latency_ms": 500.0, "memory_mb": 9000.0})
-    cfg = C.SelectionConfig(max_latency_ms=300.0, max_memory_mb=5000.0)
+    cfg = SelectionConfig(max_latency_ms=300.0, max_memory_mb=5000.0)
     got = [r.rejected_reasons for r in selection.gated(c, cfg).orderBy("_idx").collect()]
     assert got == [["is_baseline"], ["quality_ratio"], ["not_above_baseline"], ["latency", "memory"]]
-    loose = C.SelectionConfig(require_beats_baseline=False)
+    loose = SelectionConfig(require_beats_baseline=False)
     assert selection.gated(c, loose).where("_idx = 2").first().rejected_reasons == []
     zero = table(spark, {"quality": 0.0, "is_baseline": True}, {"quality": 0.0})
     assert selection.gated(zero).where("_idx = 1").first().rejected_reasons == []
@@ -91,26 +90,6 @@ def test_store(spark, tmp_path):
     assert runs.git_commit(str(tmp_path)) == "unknown"
 
 
-def test_config(tmp_path):
-    (tmp_path / "base.json").write_text(json.dumps({"seed": 1, "data": {"version": "v9"}}))
-    (tmp_path / "child.json").write_text(json.dumps({"extends": "base.json", "method": "qlora", "quantization_bits": 4}))
-    c = C.load_config(tmp_path / "child.json", {"data.seed": 7}, {"LODESTONE__data__max_examples": "null", "OTHER": "x"})
-    assert (c.seed, c.data.version, c.data.seed, c.data.max_examples) == (1, "v9", 7, None)
-    assert c.run_slug == "model-0.5b-qlora-r8a16-4bit-v9" and c.data.salt == "v9:7"
-    assert C.load_config(C.dump_config(c, tmp_path / "out" / "c.json"), env={}) == c
-    flat = c.flat_params()
-    assert flat["lora.scaling"] == 2.0 and flat["data.max_examples"] == "null" and flat["training.effective_batch_size"] == 16
-    (tmp_path / "a.json").write_text('{"extends": "b.json"}')
-    (tmp_path / "b.json").write_text('{"extends": "a.json"}')
-    for bad in (lambda: C.load_config(tmp_path / "a.json"), lambda: C.load_config(overrides={"data.nope": 1}), lambda: C.DataConfig(train_ratio=0.9), lambda: C.Config(seed=-1), lambda: C.parse_overrides("x")):
-        with pytest.raises(ValueError):
-            bad()
-    with pytest.raises(FileNotFoundError):
-        C.load_config(tmp_path / "none.json")
-    assert C.parse_overrides("a.b=1,c=true,d=x,e=[1,2]") == {"a": {"b": 1}, "c": True, "d": "x", "e": [1, 2]}
-    assert C.merged({"a": {"b": 1, "c": 2}}, {"a": {"b": None}}) == {"a": {"b": None, "c": 2}}
-
-
 def test_relative_table_keeps_null_for_a_zero_baseline(spark):
     c = table(spark, {"quality": 0.0, "is_baseline": True}, {"quality": 0.5, "latency_ms": 100.0})
     r = selection.relative_to_baseline(c).first()
