@@ -1,7 +1,8 @@
 """Records that differ only in formatting, counted in an incremental ledger (problem 1).
 
 Method: every record gets a canonical key; a batch is aggregated by key, full-outer-joined against the ledger inside
-matching buckets, counts are added and the earliest row stays the representative.
+matching buckets, counts are added and the earliest row stays the representative. The ledger is a stored table, one
+folder a bucket of keys: a batch reads and rewrites the buckets its keys fall into and leaves all others as they are.
 
 Two keys describe a record. The *plain* key is the digest of the letters and digits of the three fields. Where a field
 is a JSON object or only lines of ``name: value``, the *structured* key is the digest with that field's pairs sorted.
@@ -16,13 +17,15 @@ other columns of the input are ignored, whatever their names.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import json
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodestone.session import materialize
+from lodestone.session import materialize, new_path
 
 FIELDS = ("instruction", "context", "response")
-BUCKETS = 256
+BUCKETS = 64
 LEDGER_SCHEMA = "bucket int, plain_key binary, struct_key binary, copies bigint, keep_idx bigint"
 
 
@@ -44,7 +47,7 @@ def structured(c: Column) -> Column:
         _pairs(F.transform(entries, lambda e: F.concat(letters(e["key"]), letters(e["value"])))),
     )
     lines = F.filter(F.split(text, "\n"), lambda x: x.rlike(r"\S"))
-    paired = F.forall(lines, lambda x: x.rlike(r"^[^\p{L}\p{N}:]*[\p{L}\p{N}][^:]{0,39}:.*[\p{L}\p{N}]"))
+    paired = F.forall(lines, lambda x: x.rlike(r"^[^\p{L}\p{N}:]*[\p{L}\p{N}][^:]*:.*[\p{L}\p{N}]"))
     as_lines = F.when(
         text.contains(":") & text.contains("\n") & (F.size(lines) > 1) & paired,
         _pairs(F.transform(lines, lambda x: letters(x))),
@@ -74,11 +77,66 @@ def empty_ledger(spark) -> DataFrame:
     return spark.createDataFrame([], LEDGER_SCHEMA)
 
 
+class Ledger:
+    """A ledger on shared storage that grows batch by batch.
+
+    ``folder/gen-N/bucket=B`` holds bucket B as batch N left it. Which generation of each bucket is current stands in
+    ``folder/current-N``, written last, so a batch that fails changes nothing and readers see whole batches only. One
+    writer at a time.
+    """
+
+    def __init__(self, spark: SparkSession, folder: str):
+        self.spark, self.folder = spark, folder.rstrip("/")
+
+    def _fs(self, path: str):
+        p = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        return p.getFileSystem(self.spark._jsc.hadoopConfiguration()), p
+
+    def _current(self) -> tuple[int, dict[int, int]]:
+        """The last batch and the generation of each bucket (at most ``BUCKETS`` numbers)."""
+        fs, p = self._fs(f"{self.folder}/current-*")
+        done = [int(f.getPath().getName().split("-")[1]) for f in (fs.globStatus(p) or []) if not f.isDirectory()]
+        if not done:
+            return 0, {}
+        text = self.spark.read.text(f"{self.folder}/current-{max(done)}", wholetext=True).first()[0]
+        return max(done), {int(b): g for b, g in json.loads(text).items()}
+
+    def read(self, buckets: list[int] | None = None) -> DataFrame:
+        """All of the ledger, or some buckets of it."""
+        paths = [f"{self.folder}/gen-{g}/bucket={b}" for b, g in sorted(self._current()[1].items()) if buckets is None or b in buckets]
+        if not paths:
+            return empty_ledger(self.spark)
+        held = self.spark.read.schema(LEDGER_SCHEMA.split(", ", 1)[1]).parquet(*paths)
+        return held.select(_bucket(F.col("plain_key")).alias("bucket"), *held.columns)
+
+    def add(self, batch: DataFrame) -> None:
+        """One more batch, from :func:`summarize`."""
+        batch = materialize(batch, "p1-batch")
+        touched = [r.bucket for r in batch.select("bucket").distinct().collect()]
+        if not touched:
+            return
+        last, current = self._current()
+        # A new generation of the touched buckets; the old one stays for readers that began before.
+        grown = update(self.read(touched), batch)
+        # One file a bucket where buckets are small; large ones are split.
+        grown.hint("rebalance", "bucket").write.partitionBy("bucket").parquet(f"{self.folder}/gen-{last + 1}")
+        fs, p = self._fs(f"{self.folder}/writing-{last + 1}")
+        out = fs.create(p, True)
+        out.write(bytearray(json.dumps({str(b): g for b, g in (current | dict.fromkeys(touched, last + 1)).items()}).encode()))
+        out.close()
+        if not fs.rename(p, self._fs(f"{self.folder}/current-{last + 1}")[1]):
+            raise RuntimeError("another writer added a batch to this ledger")
+
+
+def _bucket(key: Column) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(BUCKETS)).cast("int")
+
+
 def summarize(keys: DataFrame) -> DataFrame:
     """Ledger rows of one batch; counts combine map-side, so a key holding a third of all rows costs one row a task."""
     return keys.groupBy("plain_key").agg(
         F.min("struct_key").alias("struct_key"), F.count(F.lit(1)).alias("copies"), F.min("idx").alias("keep_idx")
-    ).select(F.pmod(F.xxhash64("plain_key"), F.lit(BUCKETS)).cast("int").alias("bucket"), "plain_key", "struct_key", "copies", "keep_idx")
+    ).select(_bucket(F.col("plain_key")).alias("bucket"), "plain_key", "struct_key", "copies", "keep_idx")
 
 
 def update(ledger: DataFrame, batch: DataFrame) -> DataFrame:
@@ -104,11 +162,29 @@ def groups(ledger: DataFrame) -> DataFrame:
     )
 
 
-def build(df: DataFrame, late: Column) -> tuple[DataFrame, DataFrame]:
-    """Keys of all rows and the ledger after two batches: rows delivered in time, then those delivered late."""
+def classes(keys: DataFrame, ledger: DataFrame, hot: int = 1000) -> DataFrame:
+    """The rows of ``keys`` with ``first_idx``, the earliest row of their group; groups of one are left out.
+
+    A key that holds more than one row in ``hot`` of all is one of fewer than ``hot`` such keys, so these are sent to
+    every task; all others are joined by key, and none of them is large.
+    """
+    repeated = groups(ledger).where("copies > 1").select("group_key", F.col("keep_idx").alias("first_idx"))
+    to_first = ledger.select("plain_key", F.coalesce("struct_key", "plain_key").alias("group_key"), F.col("copies").alias("own")).join(repeated, "group_key")
+    total = ledger.agg(F.sum("copies").alias("total"))
+    to_first = materialize(to_first.crossJoin(F.broadcast(total)).select("plain_key", "first_idx", (F.col("own") * hot > F.col("total")).alias("is_hot")), "p1-first")
+    few = to_first.where("is_hot").select("plain_key", F.col("first_idx").alias("hot_idx"))
+    marked = keys.join(F.broadcast(few), "plain_key", "left")
+    rest = marked.where("hot_idx is null").drop("hot_idx").join(to_first.where("not is_hot").drop("is_hot"), "plain_key")
+    return marked.where("hot_idx is not null").withColumnRenamed("hot_idx", "first_idx").unionByName(rest)
+
+
+def build(df: DataFrame, late: Column) -> tuple[DataFrame, Ledger]:
+    """Keys of all rows and a new ledger after two batches: rows delivered in time, then those delivered late."""
     keys = materialize(keyed(df.withColumn("_late", F.coalesce(late, F.lit(False))), keep=("_late",)), "p1-keys")
-    ledger = update(empty_ledger(df.sparkSession), summarize(keys.where(~F.col("_late"))))
-    return keys, update(ledger, summarize(keys.where("_late")))
+    ledger = Ledger(df.sparkSession, new_path(df.sparkSession, "p1-ledger"))
+    ledger.add(summarize(keys.where(~F.col("_late"))))
+    ledger.add(summarize(keys.where("_late")))
+    return keys, ledger
 
 
 def delivered_late(days: int = 30) -> Column:
@@ -117,13 +193,11 @@ def delivered_late(days: int = 30) -> Column:
 
 def collapsed(df: DataFrame) -> DataFrame:
     """One row per record: ``keep_idx, copies``."""
-    return groups(build(df, delivered_late())[1]).select("keep_idx", "copies")
+    return groups(build(df, delivered_late())[1].read()).select("keep_idx", "copies")
 
 
 def copies(df: DataFrame) -> DataFrame:
     """``keep_idx, copy_idx``: each row that is a copy of an earlier one."""
     keys, ledger = build(df, delivered_late())
-    ledger = materialize(ledger, "p1-ledger")
-    repeated = groups(ledger).where("copies > 1").select("group_key", F.col("keep_idx").alias("first_idx"))
-    to_first = ledger.select("plain_key", F.coalesce("struct_key", "plain_key").alias("group_key")).join(repeated, "group_key").select("plain_key", "first_idx")
-    return keys.join(to_first, "plain_key").where(F.col("idx") != F.col("first_idx")).select(F.col("first_idx").alias("keep_idx"), F.col("idx").alias("copy_idx"))
+    found = classes(keys, ledger.read()).where(F.col("idx") != F.col("first_idx"))
+    return found.select(F.col("first_idx").alias("keep_idx"), F.col("idx").alias("copy_idx"))

@@ -109,7 +109,7 @@ def _structured(x: str) -> str:
     text = f"trim(regexp_replace(coalesce({x}, ''), '\\r\\n?', chr(10), 'g'))"
     pairs = f"list_transform(json_keys({text}), lambda k: {_letters('k')} || {_letters(f"json_extract_string({text}, '$.' || chr(34) || k || chr(34))")})"
     lines = f"list_filter(string_split({text}, chr(10)), lambda l: regexp_matches(l, '\\S'))"
-    paired = f"list_bool_and(list_transform({lines}, lambda l: regexp_matches(l, '^[^\\p{{L}}\\p{{N}}:]*[\\p{{L}}\\p{{N}}][^:]{{0,39}}:.*[\\p{{L}}\\p{{N}}]')))"
+    paired = f"list_bool_and(list_transform({lines}, lambda l: regexp_matches(l, '^[^\\p{{L}}\\p{{N}}:]*[\\p{{L}}\\p{{N}}][^:]*:.*[\\p{{L}}\\p{{N}}]')))"
     return (
         f"CASE WHEN {x} NOT LIKE '%:%' THEN NULL WHEN regexp_matches({text}, '(?s)^\\s*\\{{.*\\}}\\s*$') AND json_valid({text}) THEN '<' || array_to_string(list_sort({pairs}), '<') "
         f"WHEN len({lines}) > 1 AND {paired} THEN '<' || array_to_string(list_sort(list_transform({lines}, lambda l: {_letters('l')})), '<') END"
@@ -124,6 +124,9 @@ SQL: dict[str, str] = {
     + """ FROM raw_instructions), k AS (SELECT _idx, p0 || chr(31) || p1 || chr(31) || p2 AS plain, CASE WHEN coalesce(s0, s1, s2) IS NOT NULL THEN coalesce(s0, p0) || chr(31) || coalesce(s1, p1) || chr(31) || coalesce(s2, p2) END AS pairs FROM f),
  c AS (SELECT _idx, coalesce(min(pairs) OVER (PARTITION BY plain), plain) AS canon FROM k), g AS (SELECT _idx, min(_idx) OVER (PARTITION BY canon) AS keep_idx FROM c)
 SELECT keep_idx, _idx AS copy_idx FROM g WHERE keep_idx <> _idx""",
+    "p1_collapsed": "SELECT keep_idx, count(*) AS copies FROM (SELECT min(_idx) OVER (PARTITION BY canon) AS keep_idx FROM (SELECT _idx, coalesce(min(pairs) OVER (PARTITION BY plain), plain) AS canon FROM (SELECT _idx, p0 || chr(31) || p1 || chr(31) || p2 AS plain, CASE WHEN coalesce(s0, s1, s2) IS NOT NULL THEN coalesce(s0, p0) || chr(31) || coalesce(s1, p1) || chr(31) || coalesce(s2, p2) END AS pairs FROM (SELECT _idx, "
+    + ", ".join(f"{_letters(c)} AS p{k}, {_structured(c)} AS s{k}" for k, c in enumerate(_THREE))
+    + " FROM raw_instructions)))) GROUP BY keep_idx",
     "p4_found": f"""
 WITH n AS (SELECT {_LETTERS.format(c="regexp_split_to_array(category, '\\s*(?:[/>:|]|\\s[-–—]+\\s|[(\\[])\\s*')[1]")} AS k FROM raw_instructions),
 have AS (SELECT k, count(*) AS rows FROM n GROUP BY k), total AS (SELECT count(*) AS all_rows FROM raw_instructions)

@@ -51,3 +51,31 @@ def test_ledger_over_batches_equals_one_batch(raw, spark):
     for i, r in enumerate(rows):
         brute[tuple("".join(c for c in r[f].upper() if c.isalnum()) for f in ("instruction", "response"))].append(i)
     assert as_set(whole) == as_set(ledger.groups(grown)) == {(v[0], len(v)) for v in brute.values()}
+
+
+def test_stored_ledger_touches_only_the_buckets_of_a_batch(raw, spark, tmp_path):
+    rows = [{"instruction": f"task {i % 90}", "response": "done"} for i in range(300)]
+    keys = ledger.keyed(raw(*rows)).cache()
+    stored = ledger.Ledger(spark, f"file://{tmp_path}/ledger")
+    assert stored.read().count() == 0
+    stored.add(ledger.summarize(keys.where("idx < 250")))
+    before = stored._current()[1]
+    few = ledger.summarize(keys.where("idx >= 298"))
+    touched = {r.bucket for r in few.collect()}
+    stored.add(few)
+    stored.add(ledger.summarize(keys.limit(0)))
+    after = ledger.Ledger(spark, f"file://{tmp_path}/ledger")._current()[1]
+    assert {b for b in after if after[b] != before.get(b)} == touched and len(touched) <= 2
+    stored.add(ledger.summarize(keys.where("idx >= 250 and idx < 298")))
+    assert sorted((r.keep_idx, r.copies) for r in ledger.groups(stored.read()).collect()) == [(i, 4 if i < 30 else 3) for i in range(90)]
+    assert {r.bucket for r in stored.read(sorted(touched)).select("bucket").distinct().collect()} == touched
+
+
+def test_hot_keys_and_long_names(raw, spark):
+    name = "a name of far more than forty letters that still is a name"
+    df = raw(*[{"instruction": "hot", "response": "hot"}] * 30, {"instruction": "i", "response": f"{name}: 1\nB: x"}, {"instruction": "i", "response": f"b: X\n{name}: 1"}, {"instruction": "z"})
+    assert found(df) == [(0, i) for i in range(1, 30)] + [(30, 31)]
+    keys = ledger.keyed(df)
+    whole = ledger.update(ledger.empty_ledger(spark), ledger.summarize(keys))
+    for hot in (1, 3, 1000):
+        assert sorted((r.first_idx, r.idx) for r in ledger.classes(keys, whole, hot).collect() if r.idx != r.first_idx) == found(df)
