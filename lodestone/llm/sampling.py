@@ -3,7 +3,8 @@
 Method: iterative proportional fitting rakes the weights of the cells (category x context present x response length
 band) to the category targets and to the corpus' own shares of the two other margins; rows get the exponential key
 -ln(u) / weight, with u hashed from the row's id, and the smallest keys of each category win; quotas are then repaired
-to the minimums, and what cannot be met is reported.
+to the minimums, and what cannot be met is reported: a category of which every row was drawn and that stays below its
+target all the same.
 
 No row leaves its task to be ranked: a histogram of the keys finds the bin in which a category's quota ends, all lower
 bins are taken whole and only that bin is ranked. So a category may hold any share of the rows.
@@ -116,9 +117,10 @@ def sample(df: DataFrame, targets: DataFrame) -> tuple[DataFrame, DataFrame]:
     drawn = materialize(below.unionByName(at_edge), "p4-drawn")
     got = drawn.groupBy("category").agg(F.count(F.lit(1)).alias("drawn"))
     facts = spark.createDataFrame(t[["category", "share", "min_rows", "rows", "wanted", "sample_size"]], "category string, target_share double, min_rows bigint, rows bigint, wanted double, sample_size double")
-    r = facts.join(got, "category", "left").na.fill(0, ["drawn"])
+    r = facts.join(got, "category", "left").na.fill(0, ["drawn"]).withColumn("exact", F.col("wanted"))
     r = r.select(
         "category", "target_share", "min_rows", "rows", F.round("wanted", 6).alias("wanted"), "drawn", F.round(F.col("drawn") - F.col("wanted"), 6).alias("gap"),
-        (F.col("rows") < F.col("wanted")).alias("unmet"), (F.col("drawn") < F.col("min_rows")).alias("below_minimum"),
+        # The draw took every row there is and still stays below the target.
+        ((F.col("drawn") < F.col("exact")) & (F.col("drawn") == F.col("rows"))).alias("unmet"), (F.col("drawn") < F.col("min_rows")).alias("below_minimum"),
     )
     return drawn, r
