@@ -80,7 +80,7 @@ def landing(tokens: list[int], probs: list[float]) -> list[float]:
 
 
 def plan(sizes: DataFrame, targets: DataFrame) -> DataFrame:
-    """Per target source: tokens available and owed, whole uses and the fraction of one more use."""
+    """Per target source: tokens and documents available, tokens owed, whole uses and the fraction of one more use."""
     if targets.limit(MAX_TARGETS + 1).count() > MAX_TARGETS:
         raise ValueError("too many target sources")
     z = F.lit(0.0)
@@ -95,14 +95,13 @@ def plan(sizes: DataFrame, targets: DataFrame) -> DataFrame:
     p = p.withColumn("owed", F.col("target_share") * F.col("budget_fraction") * F.col("all_tokens"))
     ratio = F.when(F.col("tokens") > 0, F.col("owed") / F.col("tokens")).otherwise(z)
     p = p.withColumn("whole", F.least(F.floor(ratio), F.col("max_uses")))
-    p = p.withColumn("part", F.when(F.col("whole") < F.col("max_uses"), ratio - F.col("whole")).otherwise(z))
-    return p.withColumn("short", F.col("tokens") * F.col("max_uses") < F.col("owed"))
+    return p.withColumn("part", F.when(F.col("whole") < F.col("max_uses"), ratio - F.col("whole")).otherwise(z))
 
 
 def _decide(last: bool):
     def run(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         # Large documents first, so that what is left to the landing is small.
-        pdf = pdf.sort_values(["n_tokens", "doc_id"], ascending=[False, True])
+        pdf = pdf.sort_values(["n_tokens", "doc_id", "row_no"], ascending=[False, True, True])
         rng = random.Random(f"{SEED}|{key[0]}|{key[1]}")
         t = pdf.n_tokens.tolist()
         p = flight(t, pdf.p.tolist(), rng)
@@ -111,9 +110,9 @@ def _decide(last: bool):
     return run
 
 
-def balanced(docs: DataFrame, share: DataFrame | None = None) -> DataFrame:
-    """``doc_id, source, n_tokens, p`` with p decided to 0 or 1, from documents with inclusion probabilities ``p``."""
-    cols, schema = ["doc_id", "source", "n_tokens", "p"], "doc_id bigint, source string, n_tokens bigint, p double"
+def balanced(docs: DataFrame) -> DataFrame:
+    """``row_no, doc_id, source, n_tokens, p`` with p decided to 0 or 1, from documents with inclusion probabilities ``p``."""
+    cols, schema = ["row_no", "doc_id", "source", "n_tokens", "p"], "row_no bigint, doc_id bigint, source string, n_tokens bigint, p double"
     open_, done = docs.select(*cols), None
     for level in range(8):
         n = open_.groupBy("source").count().agg(F.max("count")).first()[0] or 0
@@ -130,8 +129,9 @@ def balanced(docs: DataFrame, share: DataFrame | None = None) -> DataFrame:
 
 
 def sized(docs: DataFrame, vocab_path: str | None = None) -> DataFrame:
+    """``row_no, doc_id, source, n_tokens`` of every document, written once; ``row_no`` tells rows of one ``doc_id`` apart."""
     picked = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "source", "text")
-    return materialize(token_counts(picked, "text", ("doc_id", "source"), vocab_path), "p8-sizes")
+    return materialize(token_counts(picked, "text", ("doc_id", "source"), vocab_path).withColumn("row_no", F.monotonically_increasing_id()), "p8-sizes")
 
 
 def mix(docs: DataFrame, targets: DataFrame, vocab_path: str | None = None) -> tuple[DataFrame, DataFrame]:
@@ -139,20 +139,24 @@ def mix(docs: DataFrame, targets: DataFrame, vocab_path: str | None = None) -> t
     sizes = sized(docs, vocab_path)
     p = materialize(plan(sizes, targets), "p8-plan")
     rows = sizes.join(F.broadcast(p.select("source", "whole", "part")), "source")
-    extra = balanced(rows.where("part > 0").select("doc_id", "source", "n_tokens", F.col("part").alias("p")))
-    uses = rows.where("whole > 0").select("doc_id", "source", "n_tokens", F.col("whole").alias("uses")).unionByName(
-        extra.where("p = 1").select("doc_id", "source", "n_tokens", F.lit(1).cast("bigint").alias("uses"))
+    extra = balanced(rows.where("part > 0").select("row_no", "doc_id", "source", "n_tokens", F.col("part").alias("p")))
+    uses = rows.where("whole > 0").select("row_no", "doc_id", "source", "n_tokens", F.col("whole").alias("uses")).unionByName(
+        extra.where("p = 1").select("row_no", "doc_id", "source", "n_tokens", F.lit(1).cast("bigint").alias("uses"))
     )
-    return uses.groupBy("doc_id", "source", "n_tokens").agg(F.sum("uses").alias("uses")), p
+    return uses.groupBy("row_no", "doc_id", "source", "n_tokens").agg(F.sum("uses").alias("uses")).drop("row_no"), p
 
 
 def report(docs: DataFrame, targets: DataFrame, vocab_path: str | None = None) -> DataFrame:
-    """Per target source the target share, the tokens owed and got, the actual share and whether it stays short."""
+    """Per target source the target share, the tokens owed and got, the actual share and whether it stays short.
+
+    A source stays short if the mixture uses each of its documents as often as allowed and still lacks tokens.
+    """
     mixture, p = mix(docs, targets, vocab_path)
     got = mixture.groupBy("source").agg(F.sum(F.col("n_tokens") * F.col("uses")).alias("got_tokens"), F.sum("uses").alias("got_docs"))
     r = p.join(got, "source", "left").na.fill(0, ["got_tokens", "got_docs"])
     total = r.agg(F.sum("got_tokens").alias("mixture_tokens"))
+    short = (F.col("got_docs") == F.col("docs") * F.col("max_uses")) & (F.col("got_tokens") < F.col("owed"))
     return r.crossJoin(F.broadcast(total)).select(
         "source", "target_share", F.col("tokens").alias("tokens_available"), "max_uses", F.round("owed", 3).alias("owed_tokens"), "got_tokens", "got_docs",
-        F.when(F.col("mixture_tokens") > 0, F.round(F.col("got_tokens") / F.col("mixture_tokens"), 6)).alias("actual_share"), "short",
+        F.when(F.col("mixture_tokens") > 0, F.round(F.col("got_tokens") / F.col("mixture_tokens"), 6)).alias("actual_share"), short.alias("short"),
     )
