@@ -90,14 +90,14 @@ _ENDS = frozenset(".!?…。！？")
 _CLOSERS = "\"'”’»)]*_`"
 
 
-def _skeleton(text: str, vocab: Vocabulary) -> tuple[str, list[int]]:
-    """One letter for each token of the text, and for each the number of characters up to the end of its unit.
+def _skeleton(text: str, vocab: Vocabulary) -> tuple[str, list[int], list[int]]:
+    """One letter for each token of the text, and for each the characters and the bytes up to the end of its unit.
 
     A unit is a pre-token, or one character of a pre-token of many tokens (which then counts its bytes, an upper bound
     of what any substring of it encodes to). The last letter of a unit says how natural a cut behind it is: P after a
     blank line, L after a line, S after a sentence, W before white space, x elsewhere; the others are '-'.
     """
-    marks, ends, at = [], [], 0
+    marks, ends, at, sizes, size = [], [], 0, [], 0
     words = pre_tokens(text)
     words.append(" ")
     memo = vocab.memo
@@ -107,10 +107,13 @@ def _skeleton(text: str, vocab: Vocabulary) -> tuple[str, list[int]]:
             for c in w:
                 at += 1
                 n = len(c.encode("utf-8"))
+                size += n
                 marks.append("-" * (n - 1) + "x")
                 ends += [at] * n
+                sizes += [size] * n
             continue
         at += len(w)
+        size += len(w) if w.isascii() else len(w.encode("utf-8"))
         if w.isspace():
             breaks = w.count("\n") + w.count("\r") - w.count("\r\n")
             kind = "-" if following.isspace() and at < len(text) else "P" if breaks > 1 else "L" if breaks else "W"
@@ -121,11 +124,12 @@ def _skeleton(text: str, vocab: Vocabulary) -> tuple[str, list[int]]:
             kind = "S" if w[-1] in "。！？" else "x"
         marks.append("-" * (n - 1) + kind)
         ends += [at] * n
-    return "".join(marks), ends
+        sizes += [size] * n
+    return "".join(marks), ends, sizes
 
 
 def measured(docs: DataFrame, max_tokens: int, vocab_path: str | None = None) -> DataFrame:
-    """``doc_id, n_tokens, text, skeleton, char_ends``: the documents of more than ``max_tokens`` tokens."""
+    """``doc_id, n_tokens, text, skeleton, char_ends, byte_ends``: the documents of more than ``max_tokens`` tokens."""
     vocab = shared_vocabulary(docs.sparkSession, vocab_path)
 
     def run(batches):
@@ -137,14 +141,14 @@ def measured(docs: DataFrame, max_tokens: int, vocab_path: str | None = None) ->
                 if text and len(text) * 4 > max_tokens and len(text.encode("utf-8")) > max_tokens and (n := v.count(text)) > max_tokens:
                     rows.append((doc, n, text, *_skeleton(text, v)))
             if rows:
-                doc, n, text, marks, ends = zip(*rows)
+                doc, n, text, marks, ends, sizes = zip(*rows)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(doc, pa.int64()), pa.array(n, pa.int64()), pa.array(text), pa.array(marks), _as_int_lists(ends)],
-                    names=["doc_id", "n_tokens", "text", "skeleton", "char_ends"],
+                    [pa.array(doc, pa.int64()), pa.array(n, pa.int64()), pa.array([t.encode("utf-8") for t in text]), pa.array(marks), _as_int_lists(ends), _as_int_lists(sizes)],
+                    names=["doc_id", "n_tokens", "text", "skeleton", "char_ends", "byte_ends"],
                 )
 
     return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").mapInArrow(
-        run, "doc_id bigint, n_tokens bigint, text string, skeleton string, char_ends array<int>"
+        run, "doc_id bigint, n_tokens bigint, text binary, skeleton string, char_ends array<int>, byte_ends array<int>"
     )
 
 
@@ -171,15 +175,19 @@ def pieces(docs: DataFrame, max_tokens: int, overlap_tokens: int, vocab_path: st
         F.array().cast("array<int>"),
         lambda acc, n: F.concat(acc, F.array((n + F.coalesce(F.try_element_at(acc, F.lit(-1)), F.lit(0))).cast("int"))),
     )
-    rows = cut.withColumn("ends", ends).select("doc_id", "n_tokens", "text", "char_ends", "ends", F.posexplode_outer("ends").alias("piece_no", "end_token"))
-    start_token = F.greatest(F.when(F.col("piece_no") == 0, 0).otherwise(F.try_element_at("ends", F.col("piece_no")) - overlap_tokens), F.lit(0))
-    chars = lambda token: F.when(token == 0, 0).otherwise(F.try_element_at("char_ends", token.cast("int")))
-    return rows.select(
-        "doc_id", "n_tokens", F.col("piece_no").cast("int").alias("piece_no"), chars(start_token).alias("start_char"), chars(F.col("end_token")).alias("end_char"), "text"
-    ).select(
-        "doc_id", "n_tokens", "piece_no", "start_char", "end_char",
-        F.expr("substring(text, start_char + 1, end_char - start_char)").alias("piece"),
-    )
+    whole = F.try_element_at("ends", F.lit(-1)) == F.length("skeleton")
+    checked = F.when(whole, F.col("ends")).otherwise(F.raise_error(F.lit("the pieces do not cover their document")).cast("array<int>"))
+    at = lambda ends_, token: F.when(token <= 0, 0).otherwise(F.try_element_at(ends_, token.cast("int")))
+
+    def piece(end, i):
+        start = F.when(i == 0, 0).otherwise(F.get("ends", i - 1) - overlap_tokens)
+        first, last = at("byte_ends", start), at("byte_ends", end)
+        # Bytes are cut, as characters would be counted from the beginning of the text each time.
+        return F.struct(i.alias("piece_no"), at("char_ends", start).alias("start_char"), at("char_ends", end).alias("end_char"), F.substring("text", first + 1, last - first).cast("string").alias("piece"))
+
+    # Pieces are built before they become rows, so no row carries the text of its document.
+    made = cut.withColumn("ends", ends).withColumn("ends", checked).select("doc_id", "n_tokens", F.transform("ends", piece).alias("pieces"))
+    return made.select("doc_id", "n_tokens", F.inline("pieces"))
 
 
 def limits(size_limits: DataFrame, table: str) -> tuple[int, int]:
