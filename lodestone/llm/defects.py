@@ -1,20 +1,29 @@
 """Responses that do not serve as answers (problem 5).
 
 Method: the response is cut into clauses; a linear-chain conditional random field tags every clause as answer, refusal,
-echo, foreign or unfinished; the share of the response's letters under each tag decides the defect of the pair. The
-field's weights (``defect_weights.json``) were fitted by :func:`fit` on a bounded sample of weakly labelled rows; they
-are a constant of the library, so a row's tags depend on that row alone. Whether a value was cut short is taken from the
-truncation operator, whose evidence is corpus-wide.
+echo, foreign or unfinished; the share of the response's letters under each tag decides the defect of the pair.
+
+What the field sees of a clause: how its words and pairs of words are spread over refusals and other clauses (weights of
+hashed n-grams), how much of it stands in the question and in the context, its language by profiles of letter triples
+(:mod:`lodestone.llm.languages`), how it ends, whether corpus-wide evidence says that the value was cut (the truncation
+operator), and its place. No list of phrases is looked up. The weights (``defect_weights.json``) were fitted once by
+:mod:`lodestone.llm.fit_defects` on a bounded sample; they are a constant of the library, so a row's tags depend on that
+row alone, and on the verdict about its end.
+
+Texts move in no shuffle: a row is tagged where it is read, once as whole and once as cut where its end leaves that
+open, and the truncation operator's verdict, joined on the row's number, picks one of the two.
 
 A row has at most one defect, the first that holds of: empty, truncated, copy, refusal, language.
 
 Defined cases: a null, empty or blank response, or one that only says that there is none, is ``empty``; a null or empty
-instruction has no language and cannot be copied; a response without function words (labels, code, data) has no
-language; equal rows get equal defects; very long responses are tagged whole; an empty table gives no rows.
+instruction has no language and cannot be copied; an instruction that names a language asks for one; a response too
+short to tell, and code or data, has no language; equal rows get equal defects; very long responses are tagged whole;
+an empty table gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations
 
+import base64
 import functools
 import json
 import pkgutil
@@ -24,65 +33,39 @@ from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lodestone.llm import truncation
+from lodestone.llm.languages import language, script
+from lodestone.session import materialize
 
 TAGS = ("answer", "refusal", "echo", "foreign", "unfinished")
-FEATURES = ("bias", "cannot_serve", "story", "referral", "echo_most", "echo_some", "other_language", "own_language", "cut", "first", "last", "short", "quoted", "asked_again")
+FEATURES = ("bias", "refusing", "refusing_some", "echo_most", "echo_some", "asked_again", "other_language", "own_language", "grounded", "cut", "open_end", "joined_end", "first", "last", "short", "quoted")
 WEIGHTS = Path(__file__).with_name("defect_weights.json")
 # At most so many rows are used to fit the field.
 FIT_ROWS = 30_000
-COVERED = 0.6
+# Longer ones are not used to fit it; they are tagged like all others.
+FIT_CLAUSES = 12
+GRAMS = 1 << 13
+COVERED, COPIED = 0.6, 0.8
+# A response of fewer letters shows no language.
+LEAST_LETTERS = 25
 
 # What stands in for an answer that is not there, as letters and digits only.
 _PLACEHOLDERS = frozenset("na none null nil tbd todo tba empty noneprovided noanswer noresponse notavailable notapplicable nan undefined nooutput emptyresponse missing blank pending unknown noresponseprovided noanswerprovided keineantwort keine sansreponse sansréponse aucune sinrespuesta ninguna placeholder xxx".split())
 _WORD = re.compile(r"[^\W_]+(?:['’][^\W\d_]+)?")
-_CLAUSE = re.compile(r"(?<=[.!?])[\"'”’»)*_]*\s+|\n+")
-_CANNOT = re.compile(
-    r"\b(?:can(?:not|['’]?t)|unable to|not able to|won['’]?t|must decline|decline to|do not have access|don['’]?t have access)\b.{0,40}?\b(?:help|assist|provide|answer|comply|advice|advise|information|respond|request|question|share|discuss|fulfil)"
-    r"|\bmust decline\b|\bas an ai\b|\b(?:ai )?language model\b"
-    r"|\b(?:kann|darf|möchte|werde)\b.{0,40}?\b(?:nicht|leider|keine)\b.{0,40}?\b(?:helfen|beantworten|antworten|auskunft|auskünfte|geben|unterstützen)|\bsprachmodell\b"
-    r"|\bne (?:peux|puis|suis)\b.{0,40}?\b(?:aider|répondre|fournir|donner|assister)|\bpréfère ne pas répondre\b|\bmodèle de langage\b"
-    r"|\bno (?:puedo|me es posible|tengo acceso)\b.{0,40}?\b(?:ayudar\w*|responder|contestar|información|dar)|\bmodelo de lenguaje\b|\bprefiero no (?:responder|contestar)\b",
-    re.S,
-)
-_STORY = re.compile(r"[\"”»']\s*,?\s*(?:said|asked|cried|sagte|fragte|dit|dijo)\b|\b(?:said|sagte|dijo) (?:the|der|die|das|el|la)\b|\b(?:feast|deliver)\b")
-_REFERRAL = re.compile(
-    r"\b(?:ask something else|contact a professional|consult the .{1,40} office|trained to be careful|such questions|wenden sie sich|fragen sie (?:besser|lieber)|amt in|adressez-vous|demandez|bureau de|consulte|pregunte|mejor con la oficina)\b"
-)
+_CLAUSE = re.compile(r"(?<=[.!?。！？])[\"'”’»)*_]*\s+|(?<=[。！？])|\n+")
+_ASKED = re.compile(r"[.!?:;…。！？«»\"“”„\n]+")
+_STOP = re.compile(r"[.!?。！？][\"'”’»)\]*_`]*\s*$")
+_JOINED = re.compile(r"[,;:(\[{/&=–—-]\s*$")
+# Names of languages and the word for translating them, in the languages that are known.
 _ASKS_LANGUAGE = re.compile(
-    r"translat|übersetz|tradui|traduc|traduz|\b(?:english|german|french|spanish|englisch\w*|deutsch\w*|französisch\w*|spanisch\w*|anglais|allemand|français|espagnol|inglés|alemán|francés|español|italian\w*|chinese|portuguese)\b"
+    r"translat|übersetz|tradui|traduc|traduz|tradurre|vertaal|översätt|przetłumacz|çevir|terjemah"
+    r"|\b(?:english|german|french|spanish|italian|portuguese|dutch|swedish|polish|turkish|chinese|japanese|russian|arabic|englisch\w*|deutsch\w*|französisch\w*|spanisch\w*|italienisch\w*|portugiesisch\w*"
+    r"|anglais\w*|allemand\w*|français\w*|espagnol\w*|italien\w*|portugais\w*|inglés|alemán|francés|español|italiano|portugués|inglese|tedesco|francese|spagnolo|inglês|alemão|francês|espanhol|engels|duits|frans|spaans)\b"
 )
-_FUNCTION_WORDS = {
-    "en": "a an i me my about should do does did can could would some any they we all the of and is are was were that this with for by on in to it at from not no why how what who which than then as be has have it's you your so under until while because if only there of them became would say says",
-    "de": "der die das und ist sind war nicht ein eine einen dass mit von für wenn weil auf im am den dem des zu zum zur sich auch schon noch wieder wird hat es bis nach über ohne unter während sagen sagt davon warum wie wer was ob aber sehr seit zwischen",
-    "fr": "le la les des est sont était que une un dans pour pas du et sur selon avec sans qui pourquoi comment ce cette il elle ne l'une au aux plus alors soit reste en de à mais comme pendant après avant malgré si fallu heures dit disent cela déjà quel vous",
-    "es": "el la los las que es son era una un por para con del y según sin quién qué cómo cuando mientras entonces pero hay su se de en al lo fue volvió ya hasta sigue dice más durante después antes si ello razones esta este cuál",
-}
-_LANGS = tuple(_FUNCTION_WORDS)
-_HINTS: dict[str, tuple[float, ...]] = {}
-for _k, _ws in enumerate(_FUNCTION_WORDS.values()):
-    for _w in set(_ws.split()):
-        _v = list(_HINTS.get(_w, (0.0,) * len(_LANGS)))
-        _v[_k] = 1.0
-        _HINTS[_w] = tuple(_v)
-# A word that several languages use says less about each.
-_HINTS = {w: v if sum(v) == 1 else tuple(x * 0.25 for x in v) for w, v in _HINTS.items()}
-
-
-def language(words: list[str], least: float = 1.0) -> str | None:
-    """The language whose function words the text has most of, or null where that is not clear."""
-    score = [0.0] * len(_LANGS)
-    for w in words:
-        if h := _HINTS.get(w):
-            for k, x in enumerate(h):
-                score[k] += x
-    best = max(range(len(score)), key=score.__getitem__)
-    rest = max(x for k, x in enumerate(score) if k != best)
-    return _LANGS[best] if score[best] >= max(least, 1.5 * rest, 0.05 * len(words)) else None
-
 
 
 def _words(text: str) -> list[str]:
@@ -100,61 +83,96 @@ def is_empty(response: str | None) -> bool:
     return not s or s in _PLACEHOLDERS
 
 
-class Pair:
-    """The clauses of a response with their features, and what the whole pair shows."""
+def clauses(response: str) -> list[str]:
+    return [c for c in _CLAUSE.split(response) if c and _WORD.search(c)]
 
-    __slots__ = ("features", "sizes", "repeats")
 
-    def __init__(self, instruction: str | None, response: str, cut: bool):
-        asked = _words(instruction or "")
-        pairs = set(_bigrams(asked)) if asked else set()
-        own = None if _ASKS_LANGUAGE.search((instruction or "").lower()) else language(asked)
-        clauses = [c for c in _CLAUSE.split(response) if c and _WORD.search(c)]
-        self.features, self.sizes = [], []
-        # Code and data have words of their own.
-        spoken = language(_words(response), 2.0) if own and not (response.lstrip()[:1] == "{" or "```" in response or truncation._CODE.search(response)) else None
-        given: set = set()
-        for k, c in enumerate(clauses):
-            low = c.lower()
-            w = _WORD.findall(low)
-            b = _bigrams(w)
-            given.update(b)
-            echo = sum(x in pairs for x in b) / len(b) if pairs else 0.0
-            lang = (language(w, 2.0) or spoken) if spoken else None
-            last = k == len(clauses) - 1
-            self.features.append((1, _CANNOT.search(low) is not None, _STORY.search(low) is not None, _REFERRAL.search(low) is not None, echo >= 0.7 and len(w) > 2, 0.3 <= echo < 0.7, lang is not None and lang != own, lang is not None and lang == own, cut and last, k == 0, last, len(w) < 4, c[0] in "\"“«„'", echo >= 0.7))
-            self.sizes.append(len(c))
-        head = asked[:9]
-        self.repeats = bool(pairs) and sum(x in given for x in _bigrams(head)) >= 0.55 * len(_bigrams(head)) and sum(x in given for x in pairs) >= 0.6 * len(pairs)
-        if not self.repeats:
-            self.features = [(*f[:-1], False) for f in self.features]
-
-
-def weak_labels(pair: Pair) -> list[int]:
-    out = []
-    for f in pair.features:
-        v = dict(zip(FEATURES, f))
-        if v["cut"]:
-            out.append(4)
-        elif v["cannot_serve"] and not v["story"]:
-            out.append(1)
-        elif v["referral"] and out and out[-1] == 1:
-            out.append(1)
-        elif v["asked_again"]:
-            out.append(2)
-        elif v["other_language"]:
-            out.append(3)
-        else:
-            out.append(0)
-    return out
+def gram(*words: str) -> int:
+    return xxhash.xxh3_64_intdigest(" ".join(words)) & (GRAMS - 1)
+
+
+@functools.lru_cache(maxsize=1)
+def _parameters() -> dict:
+    return json.loads(pkgutil.get_data(__package__, WEIGHTS.name))
 
 
 @functools.lru_cache(maxsize=1)
 def weights() -> tuple[np.ndarray, np.ndarray]:
-    w = json.loads(pkgutil.get_data(__package__, WEIGHTS.name))
+    w = _parameters()
     return np.array(w["emit"]), np.array(w["move"])
 
 
+@functools.lru_cache(maxsize=1)
+def gram_weights() -> list[float]:
+    w = _parameters()
+    return [w["gram_bias"], *np.frombuffer(base64.b64decode(w["grams"]), dtype="<f2").astype(float).tolist()]
+
+
+def forget_weights() -> None:
+    for f in (_parameters, weights, gram_weights, _gram_weight):
+        f.cache_clear()
+
+
+@functools.lru_cache(maxsize=200_000)
+def _gram_weight(a: str, b: str) -> float:
+    w = gram_weights()
+    return w[1 + gram(a, b)] + w[1 + gram(b)]
+
+
+def refusing(words: list[str]) -> float:
+    """Log odds that a clause of these words refuses, from its words and pairs of words, held between -1 and 1."""
+    padded = ["^", *words, "$"]
+    total = sum(map(_gram_weight, padded, padded[1:])) / (len(words) + 1) ** 0.5 + gram_weights()[0]
+    return max(-1.0, min(1.0, total / 4.0))
+
+
+class Pair:
+    """The clauses of a response with their features."""
+
+    __slots__ = ("features", "sizes")
+
+    def __init__(self, instruction: str | None, response: str, cut: bool, context: str | None = None):
+        ask = instruction or ""
+        asked = _words(ask)
+        pairs = set(_bigrams(asked)) if asked else set()
+        parts = clauses(response)
+        words = [_words(c) for c in parts]
+        grams = [_bigrams(w) for w in words]
+        given = {x for g in grams for x in g}
+        # Only a response that repeats every clause of the question repeats the question.
+        tasks = [g for w in map(_words, _ASKED.split(ask)) if len(w) > 2 for g in [_bigrams(w)]] or ([_bigrams(asked)] if asked else [])
+        again = bool(tasks) and bool(given) and min(sum(x in given for x in g) / len(g) for g in tasks) >= 0.5
+        held = set(_bigrams(_words(context))) if context and parts else set()
+        own = None if _ASKS_LANGUAGE.search(ask.lower()) else script(ask) or language(asked)
+        spoken = self._spoken(response, words) if own else None
+        self.features, self.sizes = [], []
+        for k, (c, w, g) in enumerate(zip(parts, words, grams)):
+            echo = sum(x in pairs for x in g) / len(g) if pairs else 0.0
+            lang = spoken
+            if spoken and spoken != own:
+                # A clause on its own may be of the instruction's language.
+                lang = script(c) or language(w) or spoken
+            last = k == len(parts) - 1
+            r = refusing(w)
+            self.features.append(
+                (
+                    1.0, r, r > 0, echo >= 0.7 and len(w) > 2, 0.3 <= echo < 0.7, again and echo >= 0.7, lang is not None and lang != own, lang is not None and lang == own,
+                    bool(held) and sum(x in held for x in g) >= 0.5 * len(g), cut and last, last and not _STOP.search(c), last and _JOINED.search(c) is not None, k == 0, last, len(w) < 4, c[0] in "\"“«„'",
+                )
+            )
+            self.sizes.append(len(c))
+
+    @staticmethod
+    def _spoken(response: str, words: list[list[str]]) -> str | None:
+        # Code and data have words of their own.
+        if response.lstrip()[:1] in "{[<" or "```" in response or truncation._CODE.search(response):
+            return None
+        flat = [x for w in words for x in w]
+        if (other := script(response)) is not None:
+            return other
+        return language(flat) if sum(map(len, flat)) >= LEAST_LETTERS else None
+
+
 def _padded(pairs: list[Pair]) -> tuple[np.ndarray, np.ndarray]:
     n = np.array([len(p.features) for p in pairs])
     x = np.zeros((len(pairs), max(n, default=0), len(FEATURES)))
@@ -195,18 +213,20 @@ def decode(pairs: list[Pair]) -> list[list[int]]:
 
 def fit(pairs: list[Pair], labels: list[list[int]], rounds: int = 60, rate: float = 0.5, shrink: float = 1e-4) -> tuple[np.ndarray, np.ndarray]:
     """Weights that maximise the regularised conditional log likelihood (gradient ascent with Adagrad)."""
-    kept = [(p, y) for p, y in zip(pairs, labels) if y and len(y) <= 40]
-    # Defects are rare, so a pair with any counts ten times.
-    kept = [x for x in kept[:FIT_ROWS] for _ in range(10 if any(x[1]) else 1)]
+    kept = [(p, y) for p, y in zip(pairs, labels) if y and len(y) <= FIT_CLAUSES]
     x, n = _padded([p for p, _ in kept])
     y = np.zeros(x.shape[:2], dtype=int)
     for i, (_, t) in enumerate(kept):
         y[i, : len(t)] = t
     k, steps = len(TAGS), x.shape[1]
-    mask = np.arange(steps)[None] < n[:, None]
+    # Defects are rare, so a pair with any counts ten times.
+    v = np.array([10.0 if any(t) else 1.0 for _, t in kept])
+    v /= v.sum()
+    mask = (np.arange(steps)[None] < n[:, None]) * v[:, None]
+    inside = mask > 0
     hot = np.eye(k)[y] * mask[..., None]
     seen_e = np.einsum("ntk,ntf->kf", hot, x)
-    seen_m = np.einsum("nta,ntb->ab", hot[:, :-1], hot[:, 1:])
+    seen_m = np.einsum("nta,ntb->ab", hot[:, :-1] > 0, hot[:, 1:])
     emit, move = np.zeros((k, len(FEATURES))), np.zeros((k, k))
     ge, gm = np.full_like(emit, 1e-8), np.full_like(move, 1e-8)
     for _ in range(rounds):
@@ -215,18 +235,18 @@ def fit(pairs: list[Pair], labels: list[list[int]], rounds: int = 60, rate: floa
         alpha[:, 0] = e[:, 0]
         for t in range(1, steps):
             a = np.logaddexp.reduce(alpha[:, t - 1, :, None] + move[None], axis=1) + e[:, t]
-            alpha[:, t] = np.where(mask[:, t, None], a, alpha[:, t - 1])
+            alpha[:, t] = np.where(inside[:, t, None], a, alpha[:, t - 1])
         for t in range(steps - 2, -1, -1):
             b = np.logaddexp.reduce(move[None] + (e[:, t + 1] + beta[:, t + 1])[:, None, :], axis=2)
-            beta[:, t] = np.where(mask[:, t + 1, None], b, 0.0)
+            beta[:, t] = np.where(inside[:, t + 1, None], b, 0.0)
         z = np.logaddexp.reduce(alpha[:, -1], axis=1)
         node = np.exp(alpha + beta - z[:, None, None]) * mask[..., None]
         exp_m = np.zeros_like(move)
         for t in range(steps - 1):
             pair = np.exp(alpha[:, t, :, None] + move[None] + (e[:, t + 1] + beta[:, t + 1])[:, None, :] - z[:, None, None])
             exp_m += (pair * mask[:, t + 1, None, None]).sum(0)
-        de = (seen_e - np.einsum("ntk,ntf->kf", node, x)) / len(kept) - shrink * emit
-        dm = (seen_m - exp_m) / len(kept) - shrink * move
+        de = seen_e - np.einsum("ntk,ntf->kf", node, x) - shrink * emit
+        dm = seen_m - exp_m - shrink * move
         ge += de**2
         gm += dm**2
         emit += rate * de / np.sqrt(ge)
@@ -235,14 +255,16 @@ def fit(pairs: list[Pair], labels: list[list[int]], rounds: int = 60, rate: floa
 
 
 def defect_of(pair: Pair, tags: list[int]) -> str | None:
-    """The defect by the share of letters under each tag."""
+    """The defect by the share of letters under each tag; a cut end is one wherever it is."""
     total = sum(pair.sizes)
     if not total:
         return None
     share = [0.0] * len(TAGS)
     for t, n in zip(tags, pair.sizes):
         share[t] += n / total
-    if pair.repeats and share[2] >= 0.8:
+    if share[4] > 0:
+        return "truncated"
+    if share[2] >= COPIED:
         return "copy"
     if share[1] >= COVERED:
         return "refusal"
@@ -252,33 +274,44 @@ def defect_of(pair: Pair, tags: list[int]) -> str | None:
 
 
 def tagged(rows: DataFrame) -> DataFrame:
-    """``rec_idx, defect`` of rows ``rec_idx, instruction, response, cut``."""
+    """``rec_idx, whole, cut``: the defect of each row if its end is whole, and if it is cut, where there is any.
+
+    A row whose end looks whole in itself may be cut by corpus-wide evidence, so both are always told; the field is run
+    a second time only where the answer could differ.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            ids, found, waiting, pairs = [], [], [], []
-            for idx, ask, answer, cut in zip(*(c.to_pylist() for c in b.columns)):
+            ids, whole, cut, pairs = [], [], [], []
+            for idx, ask, context, answer in zip(*(c.to_pylist() for c in b.columns)):
                 if is_empty(answer):
                     ids.append(idx)
-                    found.append("empty")
-                elif cut:
-                    ids.append(idx)
-                    found.append("truncated")
+                    whole.append("empty")
+                    cut.append("empty")
                 else:
-                    waiting.append(idx)
-                    pairs.append(Pair(ask, answer, False))
-            for idx, pair, tags in zip(waiting, pairs, decode(pairs)):
-                if d := defect_of(pair, tags):
+                    pairs.append((idx, Pair(ask, answer, False, context)))
+            found = [defect_of(p, tags) for (_, p), tags in zip(pairs, decode([p for _, p in pairs]))]
+            at = FEATURES.index("cut")
+            for _, p in pairs:
+                if p.features:
+                    p.features[-1] = (*p.features[-1][:at], True, *p.features[-1][at + 1 :])
+            for (idx, p), plain, tags in zip(pairs, found, decode([p for _, p in pairs])):
+                if_cut = defect_of(p, tags)
+                if plain or if_cut != "truncated":
                     ids.append(idx)
-                    found.append(d)
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(found, pa.string())], names=["rec_idx", "defect"])
+                    whole.append(plain)
+                    cut.append(if_cut)
+            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(whole, pa.string()), pa.array(cut, pa.string())], names=["rec_idx", "whole", "cut"])
 
-    return rows.select("rec_idx", "instruction", "response", "cut").mapInArrow(run, "rec_idx bigint, defect string")
+    return rows.select("rec_idx", "instruction", "context", "response").mapInArrow(run, "rec_idx bigint, whole string, cut string")
 
 
 def defects(raw: DataFrame, log: DataFrame) -> DataFrame:
     """``rec_idx, defect`` for each defective row of ``raw``."""
-    cut = truncation.truncated(raw, log).where("field_name = 'response'").select(F.col("row_key").alias("_key"), F.lit(True).alias("_cut")).distinct()
-    rows = raw.select(F.col("_idx").cast("bigint").alias("rec_idx"), "instruction", "response")
-    rows = rows.join(cut, F.col("rec_idx") == F.col("_key"), "left").select("rec_idx", "instruction", "response", F.coalesce("_cut", F.lit(False)).alias("cut"))
-    return tagged(rows)
+    ends = truncation.truncated(raw, log).where("field_name = 'response'").select(F.col("row_key").alias("rec_idx")).distinct()
+    ends = materialize(ends.withColumn("is_cut", F.lit(True)), "p5-cut")
+    rows = materialize(tagged(raw.select(F.col("_idx").cast("bigint").alias("rec_idx"), "instruction", "context", "response")), "p5-tags")
+    # Rows that are not in ``rows`` have no defect if whole and are truncated if cut.
+    known = rows.join(ends, "rec_idx", "left").select("rec_idx", F.when(F.col("is_cut"), F.col("cut")).otherwise(F.col("whole")).alias("defect"))
+    rest = ends.join(rows, "rec_idx", "left_anti").select("rec_idx", F.lit("truncated").alias("defect"))
+    return known.where("defect is not null").unionByName(rest)
