@@ -76,6 +76,10 @@ def _bigrams(words: list[str]) -> list[tuple[str, str]]:
     return list(zip(words, words[1:])) or [(w, "") for w in words]
 
 
+def _share(grams: list, of: set) -> float:
+    return len([1 for x in grams if x in of]) / len(grams)
+
+
 def is_empty(response: str | None) -> bool:
     if response is None:
         return True
@@ -141,13 +145,13 @@ class Pair:
         given = {x for g in grams for x in g}
         # Only a response that repeats every clause of the question repeats the question.
         tasks = [g for w in map(_words, _ASKED.split(ask)) if len(w) > 2 for g in [_bigrams(w)]] or ([_bigrams(asked)] if asked else [])
-        again = bool(tasks) and bool(given) and min(sum(x in given for x in g) / len(g) for g in tasks) >= 0.5
+        again = bool(tasks) and bool(given) and min(_share(g, given) for g in tasks) >= 0.5
         held = set(_bigrams(_words(context))) if context and parts else set()
         own = None if _ASKS_LANGUAGE.search(ask.lower()) else script(ask) or language(asked)
         spoken = self._spoken(response, words) if own else None
         self.features, self.sizes = [], []
         for k, (c, w, g) in enumerate(zip(parts, words, grams)):
-            echo = sum(x in pairs for x in g) / len(g) if pairs else 0.0
+            echo = _share(g, pairs) if pairs else 0.0
             lang = spoken
             if spoken and spoken != own:
                 # A clause on its own may be of the instruction's language.
@@ -157,7 +161,7 @@ class Pair:
             self.features.append(
                 (
                     1.0, r, r > 0, echo >= 0.7 and len(w) > 2, 0.3 <= echo < 0.7, again and echo >= 0.7, lang is not None and lang != own, lang is not None and lang == own,
-                    bool(held) and sum(x in held for x in g) >= 0.5 * len(g), cut and last, last and not _STOP.search(c), last and _JOINED.search(c) is not None, k == 0, last, len(w) < 4, c[0] in "\"“«„'",
+                    bool(held) and _share(g, held) >= 0.5, cut and last, last and not _STOP.search(c), last and _JOINED.search(c) is not None, k == 0, last, len(w) < 4, c[0] in "\"“«„'",
                 )
             )
             self.sizes.append(len(c))

@@ -121,6 +121,11 @@ def main(folder: str) -> None:
         y = [1 if no else 2 if echo else 3 if other and (spoken(D._words(c)) or whole) != own else 0 for c in parts]
         pairs.append(D.Pair(r["instruction"], r["response"], False, r["context"]))
         tags.append(y)
+        if len(parts) > 1 and (any(y) or rng.random() < 0.1):
+            # Responses of one clause, which the sample has too few of.
+            k = rng.randrange(len(parts))
+            pairs.append(D.Pair(r["instruction"], parts[k], False, r["context"]))
+            tags.append([y[k]] * len(D.clauses(parts[k])))
         if rng.random() < 0.15 and len(r["response"]) > 60 and not any(y):
             short = r["response"].strip()[: rng.randrange(20, len(r["response"].strip()) - 8)].rstrip()
             if short[-1:].isalnum() and len(cut := D.clauses(short)):
