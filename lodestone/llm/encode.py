@@ -169,25 +169,30 @@ def pieces(docs: DataFrame, max_tokens: int, overlap_tokens: int, vocab_path: st
     if not 0 <= overlap_tokens < max_tokens - 4 * LONG_WORD_TOKENS:
         raise ValueError("the overlap leaves no room in a piece")
     room = max_tokens - overlap_tokens
-    cut = measured(docs, max_tokens, vocab_path).withColumn("lengths", F.transform(F.expr(f"regexp_extract_all(skeleton, r'{boundary_pattern(room)}', 0)"), F.length))
-    ends = F.aggregate(
-        "lengths",
-        F.array().cast("array<int>"),
-        lambda acc, n: F.concat(acc, F.array((n + F.coalesce(F.try_element_at(acc, F.lit(-1)), F.lit(0))).cast("int"))),
-    )
-    whole = F.try_element_at("ends", F.lit(-1)) == F.length("skeleton")
-    checked = F.when(whole, F.col("ends")).otherwise(F.raise_error(F.lit("the pieces do not cover their document")).cast("array<int>"))
-    at = lambda ends_, token: F.when(token <= 0, 0).otherwise(F.try_element_at(ends_, token.cast("int")))
-
-    def piece(end, i):
-        start = F.when(i == 0, 0).otherwise(F.get("ends", i - 1) - overlap_tokens)
-        first, last = at("byte_ends", start), at("byte_ends", end)
-        # Bytes are cut, as characters would be counted from the beginning of the text each time.
-        return F.struct(i.alias("piece_no"), at("char_ends", start).alias("start_char"), at("char_ends", end).alias("end_char"), F.substring("text", first + 1, last - first).cast("string").alias("piece"))
-
-    # Pieces are built before they become rows, so no row carries the text of its document.
-    made = cut.withColumn("ends", ends).withColumn("ends", checked).select("doc_id", "n_tokens", F.transform("ends", piece).alias("pieces"))
-    return made.select("doc_id", "n_tokens", F.inline("pieces"))
+    found = F.expr(f"regexp_extract_all(skeleton, r'{boundary_pattern(room)}', 0)")
+    at = lambda ends, token: F.when(token <= 0, 0).otherwise(F.try_element_at(ends, token.cast("int")))
+
+    def ends_of(parts):
+        add = lambda acc, part: F.concat(acc, F.array((F.length(part) + F.coalesce(F.try_element_at(acc, F.lit(-1)), F.lit(0))).cast("int")))
+        return F.aggregate(parts, F.array().cast("array<int>"), add)
+
+    def checked(ends):
+        whole = F.try_element_at(ends, F.lit(-1)) == F.length("skeleton")
+        return F.when(whole, ends).otherwise(F.raise_error(F.lit("the pieces do not cover their document")).cast("array<int>"))
+
+    def pieces_of(ends):
+        def piece(end, i):
+            start = F.when(i == 0, 0).otherwise(F.get(ends, i - 1) - overlap_tokens)
+            first, last = at(F.col("byte_ends"), start), at(F.col("byte_ends"), end)
+            # Bytes are cut, as characters would be counted from the beginning of the text each time.
+            return F.struct(i.alias("piece_no"), at(F.col("char_ends"), start).alias("start_char"), at(F.col("char_ends"), end).alias("end_char"), F.substring("text", first + 1, last - first).cast("string").alias("piece"))
+
+        return F.transform(checked(ends), piece)
+
+    # An array of one passes a value on without computing it again. Pieces are built inside the generator, before they
+    # become rows, so no row carries the text of its document.
+    made = F.flatten(F.transform(F.array(ends_of(found)), pieces_of))
+    return measured(docs, max_tokens, vocab_path).select("doc_id", "n_tokens", F.inline(made))
 
 
 def limits(size_limits: DataFrame, table: str) -> tuple[int, int]:
