@@ -1,16 +1,28 @@
 """Records of the evaluation splits that also stand in the training split, exactly or almost (problem 6).
 
-Method: a join over inverted lists with prefix bounds taken from the definition, so that no pair it accepts is lost.
-Records whose three fields agree apart from formatting form a class (keys of the ledger operator). The definition lets at
-most :func:`allowed` words of a field of n words differ, so in any common order of all words the first ``allowed + 1``
-words of a field hold at least one that the matching record has among its own first ones, whatever the words' places in
-the text. Rare words come first; how often words occur is counted on a sample of the records, which only decides how
-long the lists get. A class is listed under every pair of an instruction's and a response's first words (and whether
-there is a context); where these would be too many, under the first words of all three fields taken together. Between
-the two limits it is listed both ways, as two matching records are not always of one size.
+Method: a weighted cosine join over inverted lists. Records whose three fields agree apart from formatting form a class
+(the groups of the ledger operator). A class is a vector of term weights for each field: its words, the rare ones heavy,
+by counts over all records. The definition lets at most :func:`allowed` words of a field of n words differ, so whatever
+these are, the dot product of two matching fields is at least the *floor*: the squared norm less the heaviest
+``allowed`` words. Two bounds keep lists and pairs short and lose none above the floor:
+
+* maximum weight: words are taken by falling weight until what is left could not reach the floor even if all of it
+  matched. These are the first ``allowed + 1`` words; the others stand in no list. Of a class without evaluation rows
+  words that no evaluation record has are left out too.
+* residual norm: where two classes meet in a list through their first common word, the words before it match nothing, so
+  their dot product is at most the product of the norms of what follows. Meetings for which this is below the floor of
+  either are dropped.
+
+Short lists come from terms of two words, one of the instruction and one of the response (the dot product of the two
+fields' outer product is the product of their dot products, and the bounds hold for each factor). Where a class would have
+too many, it is listed under the first words of all three fields taken together; between the two limits it is listed
+both ways, as two matching records are not always of one size. Long lists that fall on one key are split by adaptive
+execution.
 
 Pairs met in the lists are held against the parity bits of their words (which differ in no more places than words do)
-and their word counts, and what is left is compared by the definition on the texts, field by field.
+and their word counts. For what is left the exact dot product and cosine are computed on the texts, and the definition
+decides, field by field. The result is pairs of classes and the class of every record; a query may expand these to
+pairs of records.
 
 Defined cases: null equals empty; three empty fields make a class like any other; equal rows all pair up; the same
 record several times on either side gives one row per pair of rows; a transposed pair of letters is no change; the classes whose
@@ -20,6 +32,7 @@ tables give no pairs; other columns are ignored.
 
 from __future__ import annotations
 
+import math
 import re
 from collections import Counter
 from collections.abc import Iterator
@@ -27,7 +40,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lodestone.llm.ledger import keyed
@@ -36,12 +49,13 @@ from lodestone.session import forget, materialize
 # Records of up to NARROW pairs of first words are listed under these only, of more than WIDE under single words only.
 # A field's number of first words is at most twice that of a matching field, so matching records share one of the ways.
 NARROW, WIDE = 64, 256
-# Hash buckets in which words are counted, and one of how many classes is counted; neither changes what is found.
-BUCKETS, SAMPLED = 1 << 16, 8
+# Hash buckets in which words are counted: how heavy a word is changes how long the lists get, not what is found.
+BUCKETS = 1 << 16
 FIELDS = ("instruction", "context", "response")
 
 _W = re.compile(r"[^\W_]+")
-_PAIR = re.compile(r"^[\s\-*•{\"']*[^\W_][\w \"']{0,30}?\s*:.*[^\W_]")
+# The ledger's lines of name and value.
+_PAIR = re.compile(r"^(?:[^\w:]|_)*[^\W_][^:]*:.*[^\W_]")
 
 
 def words(text: str | None) -> list[str]:
@@ -100,47 +114,97 @@ def _mix(*parts: int) -> int:
     return h - (1 << 63)
 
 
-def terms(fields: list[list[int]], often: list[float]) -> list[int]:
-    """The lists that a record with these words (:func:`tokens` of the three fields) stands in."""
-    order = lambda t: (often[_bucket(t)], t)
-    ask, _, answer = first = [sorted(f, key=order)[: allowed(len(f)) + 1] or [0] for f in fields]
-    ways = len(ask) * len(answer)
+def _log(x: float, up: bool) -> int:
+    """The logarithm of a norm in steps of 1/8, in one byte, rounded so that bounds stay bounds."""
+    v = math.log2(x) * 8
+    return max(0, min(255, (math.ceil(v) if up else math.floor(v)) + 64))
+
+
+class _Field:
+    """The words of one field by falling weight, those that make its list entries, and its bounds."""
+
+    __slots__ = ("first", "floor", "rest")
+
+    def __init__(self, tokens_: list[int], may: int, weight: list[float]):
+        # Equal weights are ordered by token, the same way on both sides.
+        order = sorted(((-weight[_bucket(t)], t) for t in tokens_)) or [(-1.0, 0)]
+        norm = sum(w for w, _ in order)
+        heaviest = sum(w for w, _ in order[:may])
+        self.floor = _log(max(heaviest - norm, 2.0**-7), False) if heaviest > norm else 0
+        self.first, self.rest, left = [], [], -norm
+        for w, t in order[: may + 1]:
+            self.first.append(t)
+            self.rest.append(_log(max(left, 2.0**-7), True))
+            left += w
+
+
+def _packed(a: _Field, i: int, b: _Field, j: int) -> int:
+    v = a.rest[i] | a.floor << 8 | b.rest[j] << 16 | b.floor << 24
+    return v - (1 << 32) if v >= 1 << 31 else v
+
+
+def terms(fields: list[list[int]], weight: list[float], seen: list[int] | None = None) -> dict[int, int]:
+    """The lists that a record with these words (:func:`tokens` of the three fields) stands in, each with its norms.
+
+    ``seen`` has the words of evaluation records as bits; a word that is not among them is in no list of theirs.
+    """
+    common = lambda t: seen is None or not t or seen[_bucket(t)] >> (t >> 10 & 63) & 1
+    ask, _, answer = (_Field(f, allowed(len(f)), weight) for f in fields)
     has = bool(fields[1])
-    out = {_mix(p, q, has) for p in ask for q in answer} if ways <= WIDE else set()
+    ways = len(ask.first) * len(answer.first)
+    out: dict[int, int] = {}
+    if ways <= WIDE:
+        two = [(j, q) for j, q in enumerate(answer.first) if common(q)]
+        for i, p in enumerate(ask.first):
+            if two and common(p):
+                for j, q in two:
+                    out[_mix(p, q, has)] = _packed(ask, i, answer, j)
     if ways > NARROW:
-        out.update(_mix(t) for t in sorted((t for f in fields for t in f), key=order)[: sum(allowed(len(f)) for f in fields) + 1])
-    return list(out)
+        whole = _Field([t for f in fields for t in f], sum(allowed(len(f)) for f in fields), weight)
+        for i, t in enumerate(whole.first):
+            if common(t):
+                out[_mix(t)] = _packed(whole, i, whole, i)
+    return out
 
 
 def _frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     memo: dict[str, int] = {}
     sides = np.zeros((2, BUCKETS), dtype="int64")
+    seen = np.zeros(BUCKETS, dtype="uint64")
     for b in batches:
         for t, o, *texts in zip(*(x.to_pylist() for x in b.columns)):
-            at = [_bucket(x) for k, text in enumerate(texts) for x in tokens(text, k, memo)]
-            for side in (s for s, there in enumerate((t, o)) if there):
-                np.add.at(sides[side], at, 1)
+            found = np.array([x for k, text in enumerate(texts) for x in tokens(text, k, memo)], dtype="uint64")
+            at = ((found * np.uint64(0xFF51AFD7ED558CCD)) >> np.uint64(48)).astype("int64")
+            if t:
+                np.add.at(sides[0], at, 1)
+            if o:
+                np.add.at(sides[1], at, 1)
+                np.bitwise_or.at(seen, at, np.uint64(1) << (found >> np.uint64(10) & np.uint64(63)))
     used = np.flatnonzero(sides.any(0))
-    yield pa.RecordBatch.from_arrays([pa.array(used, pa.int32()), *(pa.array(s[used]) for s in sides)], names=["bucket", "nt", "no"])
+    yield pa.RecordBatch.from_arrays([pa.array(used, pa.int32()), *(pa.array(s[used]) for s in sides), pa.array(seen[used].view("int64"))], names=["bucket", "nt", "no", "seen"])
 
 
-def frequencies(texts: DataFrame) -> list[float]:
-    """How many pairs a list of each bucket's words would give; a table of fixed size."""
-    part = texts.where(F.pmod(F.xxhash64("cls"), F.lit(SAMPLED)) == 0).select("train", "other", *FIELDS)
-    rows = part.mapInArrow(_frequencies, "bucket int, nt bigint, no bigint").groupBy("bucket").agg(F.sum("nt").alias("nt"), F.sum("no").alias("no")).toPandas()
+def frequencies(texts: DataFrame) -> tuple[list[float], list[int]]:
+    """Per bucket the weight of its words (squared), and the words of evaluation records as bits: tables of fixed size."""
+    rows = texts.select("train", "other", *FIELDS).mapInArrow(_frequencies, "bucket int, nt bigint, no bigint, seen bigint")
+    rows = rows.groupBy("bucket").agg(F.sum("nt").alias("nt"), F.sum("no").alias("no"), F.bit_or("seen").alias("seen")).toPandas()
+    # How many pairs a list of the bucket's words would give.
     often = np.zeros(BUCKETS)
     often[rows["bucket"]] = rows["nt"] * rows["no"].astype(float)
-    return often.tolist()
+    seen = np.zeros(BUCKETS, dtype="int64")
+    seen[rows["bucket"]] = rows["seen"]
+    return (1.0 + np.log2((1.0 + often.max(initial=0.0)) / (1.0 + often)) / 8).tolist(), seen.view("uint64").tolist()
 
 
-def _vectors(often: list[float]):
-    """One row per class and list, with the parity bits of its words and how many may differ; a class's first row also carries its word counts."""
+def _vectors(shared):
+    """One row per class and list, with the norms at its words, the parity bits of all words and how many may differ; a class's first row also carries its word counts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        weight, seen = shared.value
         memo: dict[str, int] = {}
         buckets: dict[str, int] = {}
-        names = ["cls", "train", "other", "term", "low", "high", "size", "may", "counts"]
-        kinds = (pa.int64(), pa.bool_(), pa.bool_(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.list_(pa.int32()))
+        names = ["cls", "train", "other", "term", "norms", "low", "high", "size", "may", "counts"]
+        kinds = (pa.int64(), pa.bool_(), pa.bool_(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int16(), pa.int16(), pa.list_(pa.int32()))
         for b in batches:
             cols: tuple[list, ...] = tuple([] for _ in names)
             for c, t, o, *texts in zip(*(x.to_pylist() for x in b.columns)):
@@ -149,12 +213,16 @@ def _vectors(often: list[float]):
                 for f in fields:
                     for x in f:
                         bits ^= 1 << (x >> 57)
-                listed = terms(fields, often)
+                listed = terms(fields, weight, None if o else seen)
                 n = len(listed)
-                same = (c, t, o, None, (bits & _M) - (1 << 63), (bits >> 64) - (1 << 63), sum(map(len, fields)), sum(allowed(len(f)) for f in fields))
+                if not n:
+                    continue
+                # Sizes are compared; very long records share the largest, which drops none of their pairs.
+                size, may = min(sum(map(len, fields)), 32767), min(sum(allowed(len(f)) for f in fields), 32767)
+                same = (c, t, o, None, None, (bits & _M) - (1 << 63), (bits >> 64) - (1 << 63), size, may)
                 for k, v in enumerate(same):
-                    cols[k].extend(listed if k == 3 else [v] * n)
-                cols[8].extend([counts(tuple(texts), buckets)] + [None] * (n - 1))
+                    cols[k].extend(listed if k == 3 else listed.values() if k == 4 else [v] * n)
+                cols[9].extend([counts(tuple(texts), buckets)] + [None] * (n - 1))
             yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(cols, kinds)], names=names)
 
     return run
@@ -197,11 +265,27 @@ def same_record(a: tuple[str | None, ...], b: tuple[str | None, ...]) -> bool:
     return changed <= max(2, int(0.12 * size))
 
 
-def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in batches:
-        cols = [c.to_pylist() for c in b.columns[2:]]
-        keep = [same_record((ai, ac, ar), (bi, bc, br)) for ai, ac, ar, bi, bc, br in zip(*cols)]
-        yield pa.RecordBatch.from_arrays(b.columns[:2], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
+def cosine(a: tuple[str | None, ...], b: tuple[str | None, ...], weight: list[float], memo: dict[str, int]) -> float:
+    """The weighted cosine of two records over the words of all three fields, from exact dot products."""
+    x = Counter(t for k, text in enumerate(a) for t in tokens(text, k, memo))
+    y = Counter(t for k, text in enumerate(b) for t in tokens(text, k, memo))
+    w = lambda ts: sum(weight[_bucket(t)] for t in ts)
+    norms = w(x) * w(y)
+    return w(x.keys() & y.keys()) / norms**0.5 if norms else 1.0
+
+
+def _verify(shared):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        weight, memo = shared.value[0], {}
+        for b in batches:
+            cols, at, scores = [c.to_pylist() for c in b.columns[2:]], [], []
+            for k, (ai, ac, ar, bi, bc, br) in enumerate(zip(*cols)):
+                if same_record((ai, ac, ar), (bi, bc, br)):
+                    at.append(k)
+                    scores.append(cosine((ai, ac, ar), (bi, bc, br), weight, memo))
+            yield pa.RecordBatch.from_arrays([*(c.take(pa.array(at, pa.int64())) for c in b.columns[:2]), pa.array(scores, pa.float64())], names=["a", "b", "cosine"])
+
+    return run
 
 
 def _may_agree(x: Column, y: Column) -> Column:
@@ -217,13 +301,19 @@ def _may_agree(x: Column, y: Column) -> Column:
     return ok
 
 
+def _norm(side: str, byte: int) -> Column:
+    return F.shiftrightunsigned(F.col(f"norms_{side}"), 8 * byte).bitwiseAND(F.lit(255))
+
+
 def candidates(vectors: DataFrame) -> DataFrame:
     """``a, b``: classes with training rows and classes with evaluation rows that meet in the inverted lists."""
-    side = lambda flag, k: vectors.where(flag).select("term", *[F.col(c).alias(f"{c}_{k}") for c in ("cls", "low", "high", "size", "may")])
+    side = lambda flag, k: vectors.where(flag).select("term", *[F.col(c).alias(f"{c}_{k}") for c in ("cls", "norms", "low", "high", "size", "may")])
     # Every word that differs flips one bit, and each side has no more of them than its fields may have.
     flipped = F.bit_count(F.col("low_a").bitwiseXOR(F.col("low_b"))) + F.bit_count(F.col("high_a").bitwiseXOR(F.col("high_b")))
-    close = (flipped <= F.col("may_a") + F.col("may_b")) & (F.abs(F.col("size_a") - F.col("size_b")) <= F.greatest("may_a", "may_b"))
-    met = side("train", "a").join(side("other", "b"), "term").where((F.col("cls_a") != F.col("cls_b")) & close)
+    close = (flipped <= F.col("may_a").cast("int") + F.col("may_b")) & (F.abs(F.col("size_a") - F.col("size_b")) <= F.greatest("may_a", "may_b"))
+    # Residual norms are logarithms: half their sum bounds the dot product, for each of the two factors.
+    reach = [_norm("a", 2 * k) + _norm("b", 2 * k) >= 2 * F.greatest(_norm("a", 2 * k + 1), _norm("b", 2 * k + 1)) for k in (0, 1)]
+    met = side("train", "a").join(side("other", "b"), "term").where((F.col("cls_a") != F.col("cls_b")) & reach[0] & reach[1] & close)
     sums = met.select(F.col("cls_a").alias("a"), F.col("cls_b").alias("b")).distinct()
     # Texts are only fetched for pairs whose word counts allow all three fields to agree.
     sizes = vectors.where("counts is not null")
@@ -238,32 +328,53 @@ def records(train: DataFrame, validation: DataFrame, test: DataFrame) -> DataFra
 
 
 def class_pairs(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Members ``gold_idx, split, source_name, cls`` and pairs ``a, b`` of classes (a with training rows, b with others)."""
-    keys = keyed(rows, "gold_idx", ("split", "source_name"))
-    keys = materialize(keys.select("idx", "split", "source_name", F.coalesce("struct_key", "plain_key").alias("key")), "p6-keys")
-    classes = keys.groupBy("key").agg(F.min("idx").alias("cls"), F.max(F.col("split") == "train").alias("train"), F.max(F.col("split") != "train").alias("other"))
-    members = materialize(keys.join(classes, "key").select(F.col("idx").alias("gold_idx"), "split", "source_name", "cls", "train", "other"), "p6-members")
+    """Members ``gold_idx, split, source_name, cls`` and pairs ``a, b, cosine`` of classes (a with training rows, b with others).
+
+    This is the operator's whole result: classes are named by their first record, so ``a`` and ``b`` are pairs of
+    representatives, and a class that has rows of both kinds is paired with itself.
+    """
+    spark = rows.sparkSession
+    keys = materialize(keyed(rows, "gold_idx", ("split", "source_name")), "p6-keys")
+    train = F.col("split") == "train"
+    each = keys.groupBy("plain_key").agg(F.min("struct_key").alias("struct_key"), F.min("idx").alias("first"), F.max(train).alias("train"), F.max(~train).alias("other"))
+    each = each.withColumn("key", F.coalesce("struct_key", "plain_key"))
+    groups = each.groupBy("key").agg(F.min("first").alias("cls"), F.max("train").alias("train"), F.max("other").alias("other"))
+    classes = each.select("plain_key", "key").join(groups, "key").drop("key")
+    members = materialize(keys.join(classes, "plain_key").select(F.col("idx").alias("gold_idx"), "split", "source_name", "cls", "train", "other"), "p6-members")
     heads = members.where("gold_idx = cls").select("cls", "train", "other").distinct()
     texts = materialize(rows.join(heads, rows["gold_idx"] == heads["cls"]).select("cls", "train", "other", *FIELDS).dropDuplicates(["cls"]), "p6-texts")
-    vectors = materialize(texts.select("cls", "train", "other", *FIELDS).mapInArrow(_vectors(frequencies(texts)), "cls bigint, train boolean, other boolean, term bigint, low bigint, high bigint, size int, may int, counts array<int>"), "p6-vectors")
+    # Two tables of BUCKETS numbers, whatever the data.
+    shared = spark.sparkContext.broadcast(frequencies(texts))
+    vectors = materialize(texts.select("cls", "train", "other", *FIELDS).mapInArrow(_vectors(shared), "cls bigint, train boolean, other boolean, term bigint, norms int, low bigint, high bigint, size smallint, may smallint, counts array<int>"), "p6-vectors")
     met = materialize(candidates(vectors), "p6-met")
     forget(vectors)
     left = texts.where("train").select(F.col("cls").alias("a"), *[F.col(f).alias(f"a_{f}") for f in FIELDS])
     right = texts.where("other").select(F.col("cls").alias("b"), *[F.col(f).alias(f"b_{f}") for f in FIELDS])
     held = met.join(right, "b").join(left, "a").select("a", "b", *[f"a_{f}" for f in FIELDS], *[f"b_{f}" for f in FIELDS])
-    near = materialize(held.mapInArrow(_verify, "a bigint, b bigint"), "p6-near")
-    same = members.where("train and other").select(F.col("cls").alias("a"), F.col("cls").alias("b")).distinct()
+    near = materialize(held.mapInArrow(_verify(shared), "a bigint, b bigint, cosine double"), "p6-near")
+    same = members.where("train and other").select(F.col("cls").alias("a"), F.col("cls").alias("b"), F.lit(1.0).alias("cosine")).distinct()
     return members, near.unionByName(same)
 
 
+def linked(train: DataFrame, validation: DataFrame, test: DataFrame) -> DataFrame:
+    """``gold_idx, split, source_name, cls, links``: every record with its class and the number of classes that one is paired with."""
+    members, found = class_pairs(records(train, validation, test))
+    both = found.select(F.col("a").alias("cls"), F.col("b").alias("to")).unionByName(found.select(F.col("b").alias("cls"), F.col("a").alias("to"))).distinct()
+    n = both.groupBy("cls").agg(F.count(F.lit(1)).alias("links"))
+    return members.join(n, "cls", "left").select("gold_idx", "split", "source_name", "cls", F.coalesce("links", F.lit(0)).cast("bigint").alias("links"))
+
+
 def pairs(train: DataFrame, validation: DataFrame, test: DataFrame) -> DataFrame:
-    """``lo_idx, hi_idx, split, source_name`` (the last two of the evaluation row) of every overlapping pair of rows."""
-    members, linked = class_pairs(records(train, validation, test))
+    """``lo_idx, hi_idx, split, source_name, cosine`` (split and source of the evaluation row) of every overlapping pair of rows."""
+    members, found = class_pairs(records(train, validation, test))
     t = members.where("split = 'train'").select(F.col("cls").alias("a"), F.col("gold_idx").alias("t_idx"))
     e = members.where("split <> 'train'").select(F.col("cls").alias("b"), F.col("gold_idx").alias("e_idx"), "split", "source_name")
-    return linked.join(t, "a").join(e, "b").select(F.least("t_idx", "e_idx").alias("lo_idx"), F.greatest("t_idx", "e_idx").alias("hi_idx"), "split", "source_name")
+    return found.join(t, "a").join(e, "b").select(F.least("t_idx", "e_idx").alias("lo_idx"), F.greatest("t_idx", "e_idx").alias("hi_idx"), "split", "source_name", "cosine")
 
 
 def report(train: DataFrame, validation: DataFrame, test: DataFrame) -> DataFrame:
-    """``split, source_name, pairs``: overlaps per evaluation split and source."""
-    return pairs(train, validation, test).groupBy("split", "source_name").agg(F.count(F.lit(1)).alias("pairs"))
+    """``split, source_name, pairs``: overlaps of rows per evaluation split and source, counted on the classes."""
+    members, found = class_pairs(records(train, validation, test))
+    t = members.where("split = 'train'").groupBy(F.col("cls").alias("a")).agg(F.count(F.lit(1)).alias("nt"))
+    e = members.where("split <> 'train'").groupBy(F.col("cls").alias("b"), "split", "source_name").agg(F.count(F.lit(1)).alias("ne"))
+    return found.join(t, "a").join(e, "b").groupBy("split", "source_name").agg(F.sum(F.col("nt") * F.col("ne")).alias("pairs"))

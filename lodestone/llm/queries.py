@@ -66,6 +66,10 @@ def p6_found(spark, d):
     return overlap.pairs(*_splits(spark, d)).select("lo_idx", "hi_idx")
 
 
+def p6_members(spark, d):
+    return overlap.linked(*_splits(spark, d))
+
+
 def p6_report(spark, d):
     return overlap.report(*_splits(spark, d))
 
