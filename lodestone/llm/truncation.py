@@ -12,8 +12,9 @@ also gets a verdict from its own end:
 
 Open values are settled by what the corpus ends such values with: the last words of inner list items, of values of named
 lines, of code blocks and of sentences are counted over all rows; an end that never occurs there is a cut. A sentence that
-trails off in dots is whole if several different values end with it and no sentence begins like it ("to be continued"). Where even
-that does not tell, an open value counts as cut if it is a strict prefix that stops inside a word of the longer copy.
+trails off in dots is whole if several different values end with it and no sentence begins like it ("to be continued"). And an
+open value of any length, whatever its end, is cut if the self-join shows it as a strict prefix that stops inside a word of
+longer copies, and these are delivered at least as often.
 
 Defined cases: null, empty and blank values and values without letters or digits are missing, never cut; equal values
 get equal verdicts, so repeated rows are all reported; ``row_key`` need not be unique; an empty table gives no rows;
@@ -22,13 +23,13 @@ other columns are ignored; texts are processed whole whatever their length.
 
 from __future__ import annotations
 
+import hashlib
 import re
 from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
-import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lodestone.llm.ledger import letters
@@ -39,10 +40,13 @@ CUT, WHOLE, OPEN, MISSING = "cut", "whole", "open", "missing"
 MIN_SEEN = 2
 DISTINCT_DOTTED = 3
 SHORT_WORDS = 4
+# Shorter beginnings, in letters, are no evidence.
+SHORTEST = 6
 
 _EDGE = " \t\r\n\v\f\x00\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u200b\u200c\u200d\u2028\u2029\u202f\u205f\u2060\u3000\ufeff"
 _QUOTES = "\"'”’»«“‘)]}*_`>"
 _WORD = re.compile(r"[^\W_]+")
+_GAPS = re.compile(r"[\W_]+")
 _STOP = re.compile(r"[.!?。！？]+[\"'”’»)\]*_`]*(?:\s+|$)")
 _ITEM = re.compile(r"^\s*(?:[-*•–+]|\d{1,3}[.)])\s+(?=\S)")
 _NAMED = re.compile(r"^([^\W\d_][\w ]{0,24}?)\s*:\s*(\S.*)$")
@@ -153,7 +157,7 @@ def inspect(text: str | None) -> tuple[str, str | None, list[str]]:
 def inspected(values: DataFrame) -> DataFrame:
     """``values`` (field_name, row_key, origin, text) with ``verdict, tail, norm``; rows with ``seen`` carry shown ends.
 
-    ``norm`` is the value's letters and digits for values of few words, and their digest where the tail ends in dots.
+    ``norm`` is the digest of an open value's letters and digits.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -165,11 +169,7 @@ def inspected(values: DataFrame) -> DataFrame:
                 verdicts.append(v)
                 tails.append(tail)
                 shown.update(ends)
-                if v != MISSING and (tail is not None and tail[:2] == "E|" or len(t) <= 200 and len(t.split(None, SHORT_WORDS)) <= SHORT_WORDS):
-                    norm = "".join(c for c in t.upper() if c.isalnum())
-                    norms.append(xxhash.xxh3_128_hexdigest(norm) if tail and tail[:2] == "E|" else norm)
-                else:
-                    norms.append(None)
+                norms.append(hashlib.md5(_GAPS.sub("", t.upper()).encode()).hexdigest() if v == OPEN else None)
             n, k = b.num_rows, len(shown)
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), b.column(2), *(pa.array(x, pa.string()) for x in (verdicts, tails, norms)), pa.nulls(n, pa.int64())], names=names)
             if k:
@@ -211,14 +211,24 @@ def strict_prefixes(texts: DataFrame) -> DataFrame:
     return found.where("part is null").select("norm").unionByName(over).distinct()
 
 
+def _starts(letters_: Column) -> Column:
+    """The beginnings of 6, 12, 24, ... letters that a value has, as hashes."""
+    lengths = F.transform(F.sequence(F.lit(0), F.floor(F.log2(F.length(letters_) / SHORTEST)).cast("int")), lambda k: (SHORTEST * F.pow(F.lit(2), k)).cast("int"))
+    return F.transform(lengths, lambda n: F.xxhash64(n, F.left(letters_, n)))
+
+
 def inside_a_word(values: DataFrame, stubs: DataFrame) -> DataFrame:
-    """``norm``: the stubs that stop inside a word of longer values which are delivered at least as often."""
-    start = stubs.select(F.substring("norm", 1, 6).alias("start")).distinct()
+    """``norm``: the stubs that stop inside a word of longer values which are delivered at least as often.
+
+    A stub meets the values that share its longest beginning of 6, 12, 24, ... letters, which is at least half of it.
+    """
+    keys = stubs.select("norm", F.element_at(_starts(F.col("norm")), -1).alias("start"))
     form = F.trim(F.regexp_replace(F.upper("text"), r"[^\p{L}\p{N}]+", " "))
     pool = values.where(F.col("text").isNotNull()).select(form.alias("form"), F.concat_ws(":", "field_name", "delivery").alias("delivery"))
-    pool = pool.withColumn("letters", F.replace("form", F.lit(" "), F.lit(""))).withColumn("start", F.substring("letters", 1, 6))
-    pool = materialize(pool.join(start, "start", "left_semi").select("start", "letters", "form", "delivery").distinct(), "p2-pool")
-    held = pool.join(stubs, F.col("letters") == F.col("norm"))
+    pool = pool.withColumn("letters", F.replace("form", F.lit(" "), F.lit(""))).where(F.length("letters") >= SHORTEST)
+    pool = pool.select("letters", "form", "delivery", F.explode(_starts(F.col("letters"))).alias("start"))
+    pool = materialize(pool.join(keys.select("start").distinct(), "start", "left_semi").distinct(), "p2-pool")
+    held = pool.join(keys, "start").where(F.col("letters") == F.col("norm")).drop("letters")
     own = held.groupBy("norm").agg(F.count_distinct("delivery").alias("times"))
     forms = held.select("start", "norm", F.col("form").alias("stub_form")).distinct()
     goes_on = F.col("form").startswith(F.col("stub_form")) & (F.length("form") > F.length("stub_form")) & (F.expr("substring(form, length(stub_form) + 1, 1)") != " ")
@@ -234,22 +244,23 @@ def judged(values: DataFrame) -> DataFrame:
     dotted = rows.where("verdict = 'open' and tail like 'E|%'").select("field_name", "row_key", "origin", "verdict", "tail", "norm")
     ask = rows.where("verdict = 'open' and tail not like 'E|%'")
     asked = ask.join(natural, F.col("tail") == F.col("known"), "left")
-    # An end known from the corpus is whole; a short phrase has no end to look up and is left to the prefixes.
+    # An end known from the corpus is whole; a short phrase has no end to look up.
     settled = asked.withColumn("verdict", F.when(F.col("tail") == "", OPEN).when(F.col("known").isNotNull(), WHOLE).otherwise(CUT)).drop("known")
-    open_ = settled.where(F.col("verdict") == OPEN)
+    # Whatever its own end says, an open value that stops inside a word of longer copies was cut.
+    candidates = settled.where(F.col("verdict") != CUT).select(F.col("norm").alias("digest")).distinct()
+    prefixes = strict_prefixes(values.where(F.col("text").isNotNull()).select(letters(F.col("text")).alias("norm")))
+    stubs = prefixes.where(F.length("norm") >= SHORTEST).withColumn("digest", F.md5("norm"))
+    stubs = materialize(stubs.join(candidates, "digest", "left_semi").select("norm"), "p2-stubs")
+    cut_short = inside_a_word(values, stubs).select(F.md5("norm").alias("norm"), F.lit(True).alias("stub"))
+    settled = settled.join(materialize(cut_short, "p2-cut-short"), "norm", "left").withColumn("verdict", F.when(F.col("stub"), CUT).otherwise(F.col("verdict"))).drop("stub")
     # Set phrases before dots: in several different values, of three words or more, and no way to begin a sentence.
     said = dotted.groupBy("tail").agg(F.count_distinct("norm").alias("values")).where((F.col("values") >= DISTINCT_DOTTED) & F.col("tail").rlike(r"^E\|\S+ \S+ \S+"))
     begins = F.concat(F.lit("B|"), F.substring_index(F.regexp_replace(F.substring("tail", 3, 1 << 30), r"(?<!\S)\d+(?!\S)", "0"), " ", 3))
     phrases = said.withColumn("known", begins).join(natural, "known", "left_anti").select("tail", F.lit(True).alias("phrase"))
     dotted = dotted.join(phrases, "tail", "left").select("field_name", "row_key", "origin", F.when(F.col("phrase"), WHOLE).otherwise(CUT).alias("verdict"), "tail")
-    prefixes = strict_prefixes(values.where(F.col("text").isNotNull()).select(letters(F.col("text")).alias("norm")))
-    short = open_.where("length(norm) >= 6").select("field_name", "row_key", "norm")
-    stubs = materialize(short.join(prefixes, "norm").select("norm").distinct(), "p2-stubs")
-    cut_short = short.join(inside_a_word(values, stubs), "norm").select("field_name", "row_key", F.lit(True).alias("stub")).distinct()
-    all_rows = rows.where("verdict <> 'open'").drop("seen", "norm").unionByName(settled.drop("seen", "norm")).unionByName(dotted)
-    return all_rows.join(cut_short, ["field_name", "row_key"], "left").select(
-        "field_name", "row_key", "origin", ((F.col("verdict") == CUT) | F.coalesce("stub", F.lit(False))).alias("truncated")
-    )
+    columns = ["field_name", "row_key", "origin", "verdict"]
+    all_rows = rows.where("verdict <> 'open'").select(*columns).unionByName(settled.select(*columns)).unionByName(dotted.select(*columns))
+    return all_rows.select("field_name", "row_key", "origin", (F.col("verdict") == CUT).alias("truncated"))
 
 
 def value_table(raw: DataFrame, log: DataFrame) -> DataFrame:
