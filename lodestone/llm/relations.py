@@ -21,7 +21,8 @@ Splits: largest differencing. Components become atoms (the large ones alone, the
 their number is bounded); the two partitions of widest spread are combined, largest bin with smallest, until one
 partition of many nearly equal bins is left, and whole bins go to the split that lacks most.
 
-Defined cases: null, empty and blank contexts and passages under four words relate to nothing; so do null categories;
+Defined cases: rows of ``split_targets`` without a name are ignored, those of one name are added up, and more than 1,000
+names are an error; null, empty and blank contexts and passages under four words relate to nothing; so do null categories;
 repeated rows are related to each other if they have a hub; rows without hubs are groups of one; empty tables give
 empty results.
 """
@@ -46,8 +47,9 @@ from lodestone.session import materialize
 
 SHINGLE, SKETCH, AGREE, SIMILAR, LEAST_WORDS = 5, 32, 3, 0.8, 4
 SLICES, BINS = 1024, 120
-# Hash buckets in which bigrams are counted, and one of how many passages is counted; neither changes what is found.
-BUCKETS, SAMPLED = 1 << 16, 4
+# Hash buckets in which bigrams are counted: this changes how long the lists get, not what is found.
+BUCKETS = 1 << 16
+MAX_TARGETS = 1000
 
 _W = re.compile(r"[^\W_]+")
 _N = r"([^\W\d_]{2,})"
@@ -188,8 +190,8 @@ def verified(bodies: DataFrame, near: DataFrame) -> DataFrame:
 
 def missed(bodies: DataFrame, links: DataFrame) -> DataFrame:
     """``a, b``: all pairs of passages of the same wording that ``links`` do not join yet."""
-    rows = bodies.select("body").where(F.pmod(F.xxhash64("pid"), F.lit(SAMPLED)) == 0).mapInArrow(_seen, "bucket int, n bigint")
-    # A table of fixed size; it only decides how long the lists get, so a sample is enough.
+    rows = bodies.select("body").mapInArrow(_seen, "bucket int, n bigint")
+    # A table of fixed size.
     n = rows.groupBy("bucket").agg(F.sum("n").alias("n")).toPandas()
     often = np.zeros(BUCKETS, dtype="int64")
     often[n["bucket"]] = n["n"]
@@ -283,7 +285,9 @@ def splits(df: DataFrame, targets: DataFrame) -> DataFrame:
     everyone = materialize(everyone, "p3-atoms")
     # At most 16 * SLICES large atoms and SLICES slices.
     weights = {a: n for a, n in everyone.groupBy("atom").count().toPandas().itertuples(index=False, name=None)}
-    goal = targets.select("split_name", F.coalesce(F.col("target_share").cast("double"), F.lit(0.0))).limit(1000).collect()
+    goal = targets.where("split_name is not null").groupBy("split_name").agg(F.sum(F.coalesce(F.col("target_share").cast("double"), F.lit(0.0)))).limit(MAX_TARGETS + 1).collect()
+    if len(goal) > MAX_TARGETS:
+        raise ValueError("too many splits")
     lack = {name: share * total for name, share in goal}
     place = []
     for w, atoms in sorted(difference(weights, BINS), key=lambda b: -b[0]):

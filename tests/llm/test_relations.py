@@ -110,3 +110,26 @@ def test_passages_behind_an_unrelated_first_holder(spark):
     want = {(i, j) for i in range(len(texts)) for j in range(i) if 2 * (grams[i] & grams[j]).total() >= R.SIMILAR * (grams[i].total() + grams[j].total())}
     got = {(r.a, r.b) for r in R.similar_passages(spark.createDataFrame(words, "pid bigint, body string")).collect()}
     assert len(want) >= 20 and got == want
+
+
+def test_passages_that_stand_at_the_end_of_a_longer_one(spark, raw):
+    """40 pairs one word apart, each behind a longer passage that begins with the first of the two."""
+    rng = random.Random(11)
+    name = lambda: "".join(rng.choice("abdegiklmnoprstuvz") for _ in range(6))
+    rows = []
+    for _ in range(40):
+        body = [name() for _ in range(20)]
+        other = list(body)
+        other[10] = name()
+        rows += [" ".join([*body, *(name() for _ in range(20))]), " ".join(body), " ".join(other)]
+    got = {(r.group_idx, r.rec_idx) for r in R.related(raw(*[{"context": c} for c in rows])).collect()}
+    assert got == {(3 * k + 1, 3 * k + 2) for k in range(40)}
+
+
+def test_too_many_splits_are_an_error(spark, raw):
+    targets = spark.createDataFrame([(f"s{i}", 0.001) for i in range(R.MAX_TARGETS + 1)], "split_name string, target_share double")
+    with pytest.raises(ValueError):
+        R.splits(raw({"context": "a b c d e"}), targets)
+    few = spark.createDataFrame([("a", 0.5), ("a", 0.3), ("b", 0.2), (None, 1.0)], "split_name string, target_share double")
+    place = [r.split_name for r in R.splits(raw(*[{"context": f"text number {i} of many texts"} for i in range(50)]), few).collect()]
+    assert len(place) == 50 and set(place) == {"a", "b"} and place.count("a") > place.count("b")
