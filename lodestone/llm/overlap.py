@@ -36,6 +36,8 @@ import math
 import re
 from collections import Counter
 from collections.abc import Iterator
+from functools import reduce
+from operator import xor
 
 import numpy as np
 import pyarrow as pa
@@ -73,33 +75,44 @@ def words(text: str | None) -> list[str]:
     return _W.findall(low)
 
 
-def counts(fields: tuple[str | None, ...], memo: dict[str, int]) -> list[int]:
-    """How many words of each field fall into each of eight hash buckets; words that count as equal share a bucket."""
+_M = (1 << 64) - 1
+_TAG, _AGAIN = 0xD6E8FEB86659FD93, 0x9E3779B97F4A7C15
+# Words whose hashes are kept between records; the store is emptied when full, which changes no result.
+HELD = 200_000
+
+
+def hashes(text: str | None, memo: dict[str, int]) -> list[int]:
+    """A hash for every word of the field; words that count as equal share it."""
+    ws = words(text)
+    out = list(map(memo.get, ws))
+    if None in out:
+        if len(memo) > HELD:
+            memo.clear()
+        for w in ws:
+            if w not in memo:
+                memo[w] = xxhash.xxh3_64_intdigest(_bag_key(w))
+        out = [memo[w] for w in ws]
+    return out
+
+
+def counts(fields: list[list[int]]) -> list[int]:
+    """How many words of each field, given as :func:`hashes`, fall into each of eight buckets."""
     out = [0] * (8 * len(fields))
-    for k, text in enumerate(fields):
-        for w in words(text):
-            if (b := memo.get(w)) is None:
-                b = memo[w] = xxhash.xxh3_64_intdigest(_bag_key(w)) & 7
-            out[8 * k + b] += 1
-    if len(memo) > 200_000:
-        memo.clear()
+    for k, hs in enumerate(fields):
+        for h in hs:
+            out[8 * k + (h & 7)] += 1
     return out
 
 
-_M = (1 << 64) - 1
+def _repeats(hs: list[int], tag: int) -> list[int]:
+    """Terms for the second and later ones of equal words."""
+    return [(h + tag * _TAG + k * _AGAIN) & _M for h, c in Counter(hs).items() if c > 1 for k in range(1, c)]
 
 
-def tokens(text: str | None, tag: int, memo: dict[str, int]) -> list[int]:
-    """A hash for every word of the field; words that count as equal share it, and the second of them has its own."""
-    out, n = [], Counter()
-    for w in words(text):
-        if (h := memo.get(w)) is None:
-            h = memo[w] = xxhash.xxh3_64_intdigest(_bag_key(w))
-        out.append((h + tag * 0xD6E8FEB86659FD93 + n[h] * 0x9E3779B97F4A7C15) & _M)
-        n[h] += 1
-    if len(memo) > 200_000:
-        memo.clear()
-    return out
+def tokens(hs: list[int], tag: int) -> list[int]:
+    """Terms of field number ``tag`` from its :func:`hashes`: the second of equal words is a term of its own."""
+    off = tag * _TAG
+    return [(h + off) & _M for h in set(hs)] + _repeats(hs, tag)
 
 
 def _bucket(token: int) -> int:
@@ -116,26 +129,63 @@ def _mix(*parts: int) -> int:
 
 def _log(x: float, up: bool) -> int:
     """The logarithm of a norm in steps of 1/8, in one byte, rounded so that bounds stay bounds."""
-    v = math.log2(x) * 8
+    v = math.log2(max(x, 2.0**-7)) * 8
     return max(0, min(255, (math.ceil(v) if up else math.floor(v)) + 64))
 
 
+class Terms:
+    """Terms with their weights, as one process meets them."""
+
+    def __init__(self, weight: list[float], seen: list[int]):
+        self.weight, self.seen = weight, seen
+        self.held: list[dict[int, tuple]] = [{} for _ in range(len(FIELDS) + 1)]
+
+    def _term(self, t: int) -> tuple[float, int, int, int]:
+        at = _bucket(t)
+        return -self.weight[at], t, 1 << (t >> 57), self.seen[at] >> (t >> 10 & 63) & 1
+
+    def __call__(self, hs: list[int], tag: int) -> list[tuple[float, int, int, int]]:
+        """For every term of a field its weight below zero, itself, its parity bit and whether evaluation records may have it."""
+        held, words_ = self.held[tag], set(hs)
+        out = list(map(held.get, words_))
+        if None in out:
+            if len(held) > HELD:
+                held.clear()
+            off = tag * _TAG
+            for h in words_:
+                if h not in held:
+                    held[h] = self._term((h + off) & _M)
+            out = [held[h] for h in words_]
+        if len(words_) < len(hs):
+            again = self.held[-1]
+            if len(again) > HELD:
+                again.clear()
+            for t in _repeats(hs, tag):
+                if (x := again.get(t)) is None:
+                    x = again[t] = self._term(t)
+                out.append(x)
+        return out
+
+
+_NONE = [(-1.0, 0, 0, 1)]
+
+
 class _Field:
-    """The words of one field by falling weight, those that make its list entries, and its bounds."""
+    """The terms of one field by falling weight, those that make its list entries, and its bounds."""
 
     __slots__ = ("first", "floor", "rest")
 
-    def __init__(self, tokens_: list[int], may: int, weight: list[float]):
-        # Equal weights are ordered by token, the same way on both sides.
-        order = sorted(((-weight[_bucket(t)], t) for t in tokens_)) or [(-1.0, 0)]
-        norm = sum(w for w, _ in order)
-        heaviest = sum(w for w, _ in order[:may])
-        self.floor = _log(max(heaviest - norm, 2.0**-7), False) if heaviest > norm else 0
-        self.first, self.rest, left = [], [], -norm
-        for w, t in order[: may + 1]:
-            self.first.append(t)
-            self.rest.append(_log(max(left, 2.0**-7), True))
-            left += w
+    def __init__(self, weighted: list[tuple], may: int):
+        # Equal weights are ordered by term, the same way on both sides.
+        order = sorted(weighted) or _NONE
+        left = -sum([x[0] for x in order])
+        self.first = order[: may + 1]
+        floor = left + sum([x[0] for x in order[:may]])
+        self.floor = _log(floor, False) if floor > 0 else 0
+        self.rest = []
+        for x in self.first:
+            self.rest.append(_log(left, True))
+            left += x[0]
 
 
 def _packed(a: _Field, i: int, b: _Field, j: int) -> int:
@@ -143,27 +193,27 @@ def _packed(a: _Field, i: int, b: _Field, j: int) -> int:
     return v - (1 << 32) if v >= 1 << 31 else v
 
 
-def terms(fields: list[list[int]], weight: list[float], seen: list[int] | None = None) -> dict[int, int]:
-    """The lists that a record with these words (:func:`tokens` of the three fields) stands in, each with its norms.
+def terms(fields: list[list[tuple]], train_only: bool) -> dict[int, int]:
+    """The lists that a record with these weighted terms stands in, each with its norms.
 
-    ``seen`` has the words of evaluation records as bits; a word that is not among them is in no list of theirs.
+    Of a record without evaluation rows, terms that no evaluation record has are in no list.
     """
-    common = lambda t: seen is None or not t or seen[_bucket(t)] >> (t >> 10 & 63) & 1
-    ask, _, answer = (_Field(f, allowed(len(f)), weight) for f in fields)
+    may = [allowed(len(f)) for f in fields]
+    ask, answer = _Field(fields[0], may[0]), _Field(fields[2], may[2])
     has = bool(fields[1])
     ways = len(ask.first) * len(answer.first)
     out: dict[int, int] = {}
     if ways <= WIDE:
-        two = [(j, q) for j, q in enumerate(answer.first) if common(q)]
+        two = [(j, q[1]) for j, q in enumerate(answer.first) if not train_only or q[3]]
         for i, p in enumerate(ask.first):
-            if two and common(p):
+            if two and (not train_only or p[3]):
                 for j, q in two:
-                    out[_mix(p, q, has)] = _packed(ask, i, answer, j)
+                    out[_mix(p[1], q, has)] = _packed(ask, i, answer, j)
     if ways > NARROW:
-        whole = _Field([t for f in fields for t in f], sum(allowed(len(f)) for f in fields), weight)
-        for i, t in enumerate(whole.first):
-            if common(t):
-                out[_mix(t)] = _packed(whole, i, whole, i)
+        whole = _Field([t for f in fields for t in f], sum(may))
+        for i, p in enumerate(whole.first):
+            if not train_only or p[3]:
+                out[_mix(p[1])] = _packed(whole, i, whole, i)
     return out
 
 
@@ -172,14 +222,25 @@ def _frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     sides = np.zeros((2, BUCKETS), dtype="int64")
     seen = np.zeros(BUCKETS, dtype="uint64")
     for b in batches:
+        both = tuple([[] for _ in range(len(FIELDS) + 1)] for _ in sides)
         for t, o, *texts in zip(*(x.to_pylist() for x in b.columns)):
-            found = np.array([x for k, text in enumerate(texts) for x in tokens(text, k, memo)], dtype="uint64")
-            at = ((found * np.uint64(0xFF51AFD7ED558CCD)) >> np.uint64(48)).astype("int64")
-            if t:
-                np.add.at(sides[0], at, 1)
-            if o:
-                np.add.at(sides[1], at, 1)
-                np.bitwise_or.at(seen, at, np.uint64(1) << (found >> np.uint64(10) & np.uint64(63)))
+            for k, text in enumerate(texts):
+                hs = hashes(text, memo)
+                once, more = set(hs), []
+                if len(once) < len(hs):
+                    more = _repeats(hs, k)
+                for side in (s for s, there in enumerate((t, o)) if there):
+                    both[side][k].extend(once)
+                    both[side][-1].extend(more)
+        for side, found in enumerate(both):
+            offsets = [np.uint64(k * _TAG & _M) for k in range(len(FIELDS))] + [np.uint64(0)]
+            x = np.concatenate([np.array(f, dtype="uint64") + off for f, off in zip(found, offsets)])
+            at = ((x * np.uint64(0xFF51AFD7ED558CCD)) >> np.uint64(48)).astype("int64")
+            sides[side] += np.bincount(at, minlength=BUCKETS)
+            if side:
+                # Distinct (bucket, bit) pairs, so that the scattered or runs over few.
+                pairs = np.unique(at << 6 | (x >> np.uint64(10) & np.uint64(63)).astype("int64"))
+                np.bitwise_or.at(seen, pairs >> 6, np.uint64(1) << (pairs & 63).astype("uint64"))
     used = np.flatnonzero(sides.any(0))
     yield pa.RecordBatch.from_arrays([pa.array(used, pa.int32()), *(pa.array(s[used]) for s in sides), pa.array(seen[used].view("int64"))], names=["bucket", "nt", "no", "seen"])
 
@@ -200,29 +261,26 @@ def _vectors(shared):
     """One row per class and list, with the norms at its words, the parity bits of all words and how many may differ; a class's first row also carries its word counts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        weight, seen = shared.value
+        weighted = Terms(*shared.value)
         memo: dict[str, int] = {}
-        buckets: dict[str, int] = {}
         names = ["cls", "train", "other", "term", "norms", "low", "high", "size", "may", "counts"]
         kinds = (pa.int64(), pa.bool_(), pa.bool_(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int16(), pa.int16(), pa.list_(pa.int32()))
         for b in batches:
             cols: tuple[list, ...] = tuple([] for _ in names)
             for c, t, o, *texts in zip(*(x.to_pylist() for x in b.columns)):
-                fields = [tokens(text, k, memo) for k, text in enumerate(texts)]
-                bits = 0
-                for f in fields:
-                    for x in f:
-                        bits ^= 1 << (x >> 57)
-                listed = terms(fields, weight, None if o else seen)
+                plain = [hashes(text, memo) for text in texts]
+                fields = [weighted(hs, k) for k, hs in enumerate(plain)]
+                listed = terms(fields, not o)
                 n = len(listed)
                 if not n:
                     continue
+                bits = reduce(xor, [x[2] for f in fields for x in f], 0)
                 # Sizes are compared; very long records share the largest, which drops none of their pairs.
                 size, may = min(sum(map(len, fields)), 32767), min(sum(allowed(len(f)) for f in fields), 32767)
                 same = (c, t, o, None, None, (bits & _M) - (1 << 63), (bits >> 64) - (1 << 63), size, may)
                 for k, v in enumerate(same):
                     cols[k].extend(listed if k == 3 else listed.values() if k == 4 else [v] * n)
-                cols[9].extend([counts(tuple(texts), buckets)] + [None] * (n - 1))
+                cols[9].extend([counts(plain)] + [None] * (n - 1))
             yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(cols, kinds)], names=names)
 
     return run
@@ -267,11 +325,10 @@ def same_record(a: tuple[str | None, ...], b: tuple[str | None, ...]) -> bool:
 
 def cosine(a: tuple[str | None, ...], b: tuple[str | None, ...], weight: list[float], memo: dict[str, int]) -> float:
     """The weighted cosine of two records over the words of all three fields, from exact dot products."""
-    x = Counter(t for k, text in enumerate(a) for t in tokens(text, k, memo))
-    y = Counter(t for k, text in enumerate(b) for t in tokens(text, k, memo))
+    x, y = ({t for k, text in enumerate(r) for t in tokens(hashes(text, memo), k)} for r in (a, b))
     w = lambda ts: sum(weight[_bucket(t)] for t in ts)
     norms = w(x) * w(y)
-    return w(x.keys() & y.keys()) / norms**0.5 if norms else 1.0
+    return w(x & y) / norms**0.5 if norms else 1.0
 
 
 def _verify(shared):
