@@ -154,8 +154,7 @@ def _bigrams(body: str) -> list[int]:
 def _seen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     n = np.zeros(BUCKETS, dtype="int64")
     for b in batches:
-        for body in b.column(0).to_pylist():
-            np.add.at(n, [g & (BUCKETS - 1) for g in _bigrams(body)], 1)
+        n += np.bincount([g & (BUCKETS - 1) for body in b.column(0).to_pylist() for g in _bigrams(body)], minlength=BUCKETS)
     used = np.flatnonzero(n)
     yield pa.RecordBatch.from_arrays([pa.array(used, pa.int32()), pa.array(n[used])], names=["bucket", "n"])
 
