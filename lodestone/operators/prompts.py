@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -44,6 +47,21 @@ def supervised(prompt_ids: Column, answer_ids: Column, max_length: int) -> tuple
     return cut(ids), cut(labels)
 
 
+def encoded(df: DataFrame, load: Callable[[], Callable[[list[str]], list[list[int]]]], columns: dict[str, str]) -> DataFrame:
+    """``df`` with token ids: ``columns`` names the new column of each text column.
+
+    Any tokenizer: ``load`` runs once a worker and returns a function from texts to lists of ids. Null texts have no ids.
+    """
+    extra = ", ".join(f"`{c}` array<int>" for c in columns.values())
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        encode = load()
+        for pdf in frames:
+            yield pdf.assign(**{new: encode(pdf[old].fillna("").tolist()) for old, new in columns.items()})
+
+    return df.mapInPandas(run, ", ".join(f"`{c}` {t}" for c, t in df.dtypes) + ", " + extra)
+
+
 def supervised_count(labels: Column) -> Column:
     return F.size(F.filter(labels, lambda x: x != IGNORED))
 

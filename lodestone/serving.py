@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import json
+import os
 import time
+from collections.abc import Mapping
 from http.server import BaseHTTPRequestHandler, ThreadingHTTPServer
 
 from pyspark.sql import Column
@@ -41,6 +43,14 @@ def checked(request: dict) -> str | None:
     return None
 
 
+def model_to_serve(given: str | None = None, env: Mapping[str, str] | None = None) -> str | None:
+    """Which model answers: none (the stub) if the environment asks for the stub, else the one given, else the environment's."""
+    env = os.environ if env is None else env
+    if env.get("LODESTONE_STUB", "").lower() in ("1", "true", "yes"):
+        return None
+    return given or env.get("LODESTONE_MODEL_URI") or None
+
+
 class Handler(BaseHTTPRequestHandler):
     def _send(self, status: int, body: dict) -> None:
         raw = json.dumps(body).encode()
