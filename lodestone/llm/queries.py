@@ -131,6 +131,13 @@ SELECT keep_idx, _idx AS copy_idx FROM g WHERE keep_idx <> _idx""",
     "p1_collapsed": "SELECT keep_idx, count(*) AS copies FROM (SELECT min(_idx) OVER (PARTITION BY canon) AS keep_idx FROM (SELECT _idx, coalesce(min(pairs) OVER (PARTITION BY plain), plain) AS canon FROM (SELECT _idx, p0 || chr(31) || p1 || chr(31) || p2 AS plain, CASE WHEN coalesce(s0, s1, s2) IS NOT NULL THEN coalesce(s0, p0) || chr(31) || coalesce(s1, p1) || chr(31) || coalesce(s2, p2) END AS pairs FROM (SELECT _idx, "
     + ", ".join(f"{_letters(c)} AS p{k}, {_structured(c)} AS s{k}" for k, c in enumerate(_THREE))
     + " FROM raw_instructions)))) GROUP BY keep_idx",
+    "p4_report": f"""
+WITH n AS (SELECT {_LETTERS.format(c="regexp_split_to_array(category, '\\s*(?:[/>:|]|\\s[-–—]+\\s|[(\\[])\\s*')[1]")} AS k FROM raw_instructions),
+have AS (SELECT k, count(*) AS rows FROM n GROUP BY k), total AS (SELECT count(*) AS all_rows FROM raw_instructions),
+t AS (SELECT {_LETTERS.format(c="category")} AS k, min(category) AS category, sum(coalesce(target_share, 0)) AS share, max(coalesce(min_rows, 0)) AS min_rows, max(coalesce(sample_fraction, 0)) AS f FROM sample_targets WHERE category IS NOT NULL GROUP BY 1),
+r AS (SELECT category, share AS target_share, min_rows, coalesce(have.rows, 0) AS rows, share * (max(f) OVER () * total.all_rows) AS w FROM t CROSS JOIN total LEFT JOIN have USING (k)),
+q AS (SELECT *, least(greatest(round_even(least(greatest(w, min_rows), rows), 0), least(min_rows, rows)), rows)::bigint AS drawn FROM r)
+SELECT category, target_share, min_rows, rows, round(w, 6) AS wanted, drawn, round(drawn - w, 6) + 0.0::double AS gap, drawn < w AND drawn = rows AS unmet, drawn < min_rows AS below_minimum FROM q""",
     "p4_found": f"""
 WITH n AS (SELECT {_LETTERS.format(c="regexp_split_to_array(category, '\\s*(?:[/>:|]|\\s[-–—]+\\s|[(\\[])\\s*')[1]")} AS k FROM raw_instructions),
 have AS (SELECT k, count(*) AS rows FROM n GROUP BY k), total AS (SELECT count(*) AS all_rows FROM raw_instructions)
