@@ -119,18 +119,16 @@ def _bucket(token: int) -> int:
     return (token * 0xFF51AFD7ED558CCD & _M) >> 48
 
 
-def _mix(*parts: int) -> int:
-    h = 0
-    for p in parts:
-        h = ((h ^ p) * 0xC4CEB9FE1A85EC53 + 1) & _M
-        h ^= h >> 29
-    return h - (1 << 63)
+def _mix(h: int, part: int) -> int:
+    h = ((h ^ part) * 0xC4CEB9FE1A85EC53 + 1) & _M
+    return h ^ h >> 29
 
 
 def _log(x: float, up: bool) -> int:
     """The logarithm of a norm in steps of 1/8, in one byte, rounded so that bounds stay bounds."""
-    v = math.log2(max(x, 2.0**-7)) * 8
-    return max(0, min(255, (math.ceil(v) if up else math.floor(v)) + 64))
+    v = math.log2(x if x > 0.0078125 else 0.0078125) * 8 + 64
+    n = math.ceil(v) if up else math.floor(v)
+    return n if n < 256 else 255
 
 
 class Terms:
@@ -188,33 +186,31 @@ class _Field:
             left += x[0]
 
 
-def _packed(a: _Field, i: int, b: _Field, j: int) -> int:
-    v = a.rest[i] | a.floor << 8 | b.rest[j] << 16 | b.floor << 24
-    return v - (1 << 32) if v >= 1 << 31 else v
-
-
-def terms(fields: list[list[tuple]], train_only: bool) -> dict[int, int]:
-    """The lists that a record with these weighted terms stands in, each with its norms.
+def terms(fields: list[list[tuple]], train_only: bool) -> tuple[list[int], list[int]]:
+    """The lists that a record with these weighted terms stands in, and for each the norms of its two factors, in bytes.
 
     Of a record without evaluation rows, terms that no evaluation record has are in no list.
     """
     may = [allowed(len(f)) for f in fields]
     ask, answer = _Field(fields[0], may[0]), _Field(fields[2], may[2])
-    has = bool(fields[1])
+    has = _mix(0, bool(fields[1]))
     ways = len(ask.first) * len(answer.first)
-    out: dict[int, int] = {}
+    listed: list[int] = []
+    norms: list[int] = []
     if ways <= WIDE:
-        two = [(j, q[1]) for j, q in enumerate(answer.first) if not train_only or q[3]]
-        for i, p in enumerate(ask.first):
-            if two and (not train_only or p[3]):
-                for j, q in two:
-                    out[_mix(p[1], q, has)] = _packed(ask, i, answer, j)
+        two = [(q[1], (r | answer.floor << 8) << 16) for q, r in zip(answer.first, answer.rest) if not train_only or q[3]]
+        for p, r in zip(ask.first, ask.rest) if two else ():
+            if not train_only or p[3]:
+                h, n = _mix(has, p[1]), r | ask.floor << 8
+                listed += [_mix(h, q) for q, _ in two]
+                norms += [n | m for _, m in two]
     if ways > NARROW:
         whole = _Field([t for f in fields for t in f], sum(may))
-        for i, p in enumerate(whole.first):
+        for p, r in zip(whole.first, whole.rest):
             if not train_only or p[3]:
-                out[_mix(p[1])] = _packed(whole, i, whole, i)
-    return out
+                listed.append(_mix(1, p[1]))
+                norms.append((r | whole.floor << 8) * 0x10001)
+    return listed, norms
 
 
 def _frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -258,30 +254,41 @@ def frequencies(texts: DataFrame) -> tuple[list[float], list[int]]:
 
 
 def _vectors(shared):
-    """One row per class and list, with the norms at its words, the parity bits of all words and how many may differ; a class's first row also carries its word counts."""
+    """One row per class and list, with the norms at its words, the parity bits of all words and how many may differ, and one row per class with its word counts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         weighted = Terms(*shared.value)
         memo: dict[str, int] = {}
         names = ["cls", "train", "other", "term", "norms", "low", "high", "size", "may", "counts"]
-        kinds = (pa.int64(), pa.bool_(), pa.bool_(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int16(), pa.int16(), pa.list_(pa.int32()))
         for b in batches:
-            cols: tuple[list, ...] = tuple([] for _ in names)
-            for c, t, o, *texts in zip(*(x.to_pylist() for x in b.columns)):
+            # Per class; what belongs to a list entry is made from these by repetition.
+            keep, bits_, sizes, mays, times, all_counts = [], [], [], [], [], []
+            listed: list[int] = []
+            norms: list[int] = []
+            for at, (t, o, *texts) in enumerate(zip(*(x.to_pylist() for x in b.columns[1:]))):
                 plain = [hashes(text, memo) for text in texts]
                 fields = [weighted(hs, k) for k, hs in enumerate(plain)]
-                listed = terms(fields, not o)
-                n = len(listed)
-                if not n:
+                own, bounds = terms(fields, not o)
+                if not own:
                     continue
-                bits = reduce(xor, [x[2] for f in fields for x in f], 0)
+                listed += own
+                norms += bounds
+                keep.append(at)
+                times.append(len(own))
+                bits_.append(reduce(xor, [x[2] for f in fields for x in f], 0))
                 # Sizes are compared; very long records share the largest, which drops none of their pairs.
-                size, may = min(sum(map(len, fields)), 32767), min(sum(allowed(len(f)) for f in fields), 32767)
-                same = (c, t, o, None, None, (bits & _M) - (1 << 63), (bits >> 64) - (1 << 63), size, may)
-                for k, v in enumerate(same):
-                    cols[k].extend(listed if k == 3 else listed.values() if k == 4 else [v] * n)
-                cols[9].extend([counts(plain)] + [None] * (n - 1))
-            yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(cols, kinds)], names=names)
+                sizes.append(min(sum(map(len, fields)), 32767))
+                mays.append(min(sum([allowed(len(f)) for f in fields]), 32767))
+                all_counts.append(counts(plain))
+            if not keep:
+                continue
+            heads = [c.take(pa.array(keep, pa.int64())) for c in b.columns[:3]]
+            n = len(keep)
+            facts = [np.array([x & _M for x in bits_], dtype="uint64").view("int64"), np.array([x >> 64 for x in bits_], dtype="uint64").view("int64"), np.array(sizes, dtype="int16"), np.array(mays, dtype="int16")]
+            again = pa.array(np.repeat(np.arange(n), times))
+            entries = [pa.array(np.array(listed, dtype="uint64").view("int64")), pa.array(np.array(norms, dtype="uint32").view("int32"))]
+            yield pa.RecordBatch.from_arrays([*(h.take(again) for h in heads), *entries, *(pa.array(f).take(again) for f in facts), pa.nulls(len(listed), pa.list_(pa.int32()))], names=names)
+            yield pa.RecordBatch.from_arrays([*heads, pa.nulls(n, pa.int64()), pa.nulls(n, pa.int32()), *map(pa.array, facts), pa.array(all_counts, pa.list_(pa.int32()))], names=names)
 
     return run
 
@@ -364,7 +371,7 @@ def _norm(side: str, byte: int) -> Column:
 
 def candidates(vectors: DataFrame) -> DataFrame:
     """``a, b``: classes with training rows and classes with evaluation rows that meet in the inverted lists."""
-    side = lambda flag, k: vectors.where(flag).select("term", *[F.col(c).alias(f"{c}_{k}") for c in ("cls", "norms", "low", "high", "size", "may")])
+    side = lambda flag, k: vectors.where(flag).where("term is not null").select("term", *[F.col(c).alias(f"{c}_{k}") for c in ("cls", "norms", "low", "high", "size", "may")])
     # Every word that differs flips one bit, and each side has no more of them than its fields may have.
     flipped = F.bit_count(F.col("low_a").bitwiseXOR(F.col("low_b"))) + F.bit_count(F.col("high_a").bitwiseXOR(F.col("high_b")))
     close = (flipped <= F.col("may_a").cast("int") + F.col("may_b")) & (F.abs(F.col("size_a") - F.col("size_b")) <= F.greatest("may_a", "may_b"))

@@ -79,3 +79,41 @@ def test_every_accepted_edit_is_found(spark):
         if O.same_record(train[-1][1:], test[-1][1:]):
             want.append((i, 1000 + i, "test"))
     assert len(want) > 50 and run(spark, train, [], test) == want
+
+
+def test_bounds_lose_no_pair():
+    """Records that the definition accepts share a list in which the bounds let them meet, whatever the weights."""
+    rng = random.Random(9)
+    met = 0
+    for _ in range(1500):
+        vocabulary = [f"w{k}" for k in range(rng.choice([8, 40, 400]))]
+        x = [[rng.choice(vocabulary) for _ in range(rng.choice([0, 1, 3, 5, 9, 14, 30, 60]))] for _ in range(3)]
+        y = [list(f) for f in x]
+        for f in y:
+            for _ in range(rng.choice([0, 1, 1, 2, 3])):
+                if f:
+                    k = rng.randrange(len(f))
+                    f[k : k + 1] = rng.choice([[], [rng.choice(vocabulary)], [f[k], "more"], [f[k][1:] + f[k][:1]]])
+        a, b = (tuple(" ".join(f) for f in r) for r in (x, y))
+        if not O.same_record(a, b):
+            continue
+        weighted = O.Terms([rng.choice([1.0, 1.5, 4.0]) for _ in range(O.BUCKETS)], [(1 << 64) - 1] * O.BUCKETS)
+        memo = {}
+        sides = []
+        for r, train_only in ((a, True), (b, False)):
+            listed, norms = O.terms([weighted(O.hashes(f, memo), k) for k, f in enumerate(r)], train_only)
+            sides.append(list(zip(listed, norms)))
+        byte = lambda n, k: n >> 8 * k & 255
+        reach = lambda n, m: all(byte(n, k) + byte(m, k) >= 2 * max(byte(n, k + 1), byte(m, k + 1)) for k in (0, 2))
+        assert any(t == u and reach(n, m) for t, n in sides[0] for u, m in sides[1]), (a, b)
+        met += 1
+    assert met > 300
+
+
+def test_members_and_links(spark):
+    make = lambda rows: spark.createDataFrame([(*r, None) for r in rows], SCHEMA)
+    near = R.replace("limits", "really limits")
+    got = {r.gold_idx: (r.cls, r.links) for r in O.linked(make([(0, I, "", R), (1, I.upper(), "", R), (2, "Else?", "", "Nothing here.")]), make([(3, I, "", near)]), make([(4, I, "", R)])).collect()}
+    assert got == {0: (0, 2), 1: (0, 2), 4: (0, 2), 3: (3, 1), 2: (2, 0)}
+    assert all(0.9 < r.cosine <= 1.0 for r in O.pairs(make([(0, I, "", R)]), make([(3, I, "", near)]), make([])).collect())
+    assert O.cosine(("a b", "", "c"), ("a b", None, "C"), [1.0] * O.BUCKETS, {}) == 1.0 and O.cosine(("", "", ""), (None, None, None), [1.0] * O.BUCKETS, {}) == 1.0
