@@ -56,6 +56,7 @@ BUCKETS = 1 << 16
 FIELDS = ("instruction", "context", "response")
 
 _W = re.compile(r"[^\W_]+")
+_SPACED = {k: " " for k in range(128) if not chr(k).isalnum()}
 # The ledger's lines of name and value.
 _PAIR = re.compile(r"^(?:[^\w:]|_)*[^\W_][^:]*:.*[^\W_]")
 
@@ -71,8 +72,9 @@ def words(text: str | None) -> list[str]:
         if s[:1] == "{" and s[-1:] == "}":
             lines = re.split(r"(?<=[\"\d}\]el])\s*,\s*(?=\")", s[1:-1])
         if len(lines) > 1 and all(_PAIR.match(x) for x in lines):
-            return _W.findall("\n".join(sorted(x.strip(" -*•\"'") for x in lines)))
-    return _W.findall(low)
+            low = "\n".join(sorted(x.strip(" -*•\"'") for x in lines))
+    # The same words, found faster where every letter is ASCII.
+    return low.translate(_SPACED).split() if low.isascii() else _W.findall(low)
 
 
 _M = (1 << 64) - 1
@@ -106,7 +108,12 @@ def counts(fields: list[list[int]]) -> list[int]:
 
 def _repeats(hs: list[int], tag: int) -> list[int]:
     """Terms for the second and later ones of equal words."""
-    return [(h + tag * _TAG + k * _AGAIN) & _M for h, c in Counter(hs).items() if c > 1 for k in range(1, c)]
+    once: set[int] = set()
+    add, off, n, out = once.add, tag * _TAG, {}, []
+    for h in [h for h in hs if h in once or add(h)]:
+        k = n[h] = n.get(h, 0) + 1
+        out.append((h + off + k * _AGAIN) & _M)
+    return out
 
 
 def tokens(hs: list[int], tag: int) -> list[int]:
