@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import json
+import re
 from collections.abc import Iterable
+from itertools import groupby
+from operator import itemgetter
 from pathlib import Path
 from typing import Any
 from urllib.parse import unquote
@@ -34,16 +37,171 @@ def exists(spark: SparkSession, path: str) -> bool:
 
 
 def _is_array(spark: SparkSession, path: str) -> bool:
-    first = spark.read.text(path).where(F.trim("value") != "").limit(1).collect()
+    # Cut at quotes: a file on one line is not read as one row.
+    first = spark.read.text(path, lineSep='"').where(F.trim("value") != "").limit(1).collect()
     return bool(first) and first[0][0].lstrip().startswith("[")
 
 
+# An array is read in pieces that end with a closing brace: unlike lines they are short in every file of objects, so that
+# a file of any size is read by many tasks.
+END = "}"
+_ESCAPED = re.compile(r"\\.", re.S)
+_BLANK = " \t\n\r"
+
+
+def _no_constant(name: str):
+    raise ValueError(f"{name} is not valid JSON")
+
+
+_JSON = json.JSONDecoder(parse_constant=_no_constant)
+
+
+def _deeper(text: str) -> int:
+    return text.count("{") + text.count("[") - text.count("]")
+
+
+def _effect(piece: str) -> tuple[int, tuple[int, int]]:
+    """Whether strings begin or end an odd number of times, and the brackets it opens if it begins outside or inside of a string."""
+    parts = (_ESCAPED.sub("", piece) if "\\" in piece else piece).split('"')
+    return (len(parts) - 1) & 1, (_deeper("".join(parts[::2])), _deeper("".join(parts[1::2])))
+
+
+def _spans(batches: Iterable[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
+    """Per split the effect of all its pieces."""
+    of: dict[tuple[str, int], list[int]] = {}
+    for b in batches:
+        for piece, *split in zip(*(c.to_pylist() for c in b.columns)):
+            # Inside at this place if the split began outside; both depths; pieces.
+            at = of.setdefault(tuple(split), [0, 0, 0, 0])
+            odd, deeper = _effect(piece)
+            at[1] += deeper[at[0]]
+            at[2] += deeper[1 - at[0]]
+            at[0] ^= odd
+            at[1 + at[0]] -= 1
+            at[3] += 1
+    rows = [(*k, *v) for k, v in of.items()]
+    yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], pa.string() if k == 0 else pa.int64()) for k in range(6)], names=["file", "start", "inside", "outer", "inner", "n"])
+
+
+class _Cutter:
+    """Cuts the pieces of a split behind every object of the array; what is held at the end belongs to the next split."""
+
+    def __init__(self, inside: int, depth: int, held: str = "", first: bool = True):
+        self.inside, self.depth, self.held, self.first, self.cuts = inside, depth, [held], first, 0
+
+    def __call__(self, piece: str) -> tuple[str, bool] | None:
+        """The text since the cut before and whether the array ends with it, if there is a cut."""
+        if self.depth < 0:
+            raise ValueError("text after the array")
+        odd, deeper = _effect(piece)
+        self.depth += deeper[self.inside]
+        self.inside ^= odd
+        last = not self.inside and not self.depth
+        # No brace stands behind the end of the array.
+        self.held += [piece] if last else [piece, END]
+        self.depth -= not self.inside
+        if not last and (self.inside or self.depth != 1):
+            return None
+        text, self.held = "".join(self.held), []
+        self.cuts += 1
+        return text, last
+
+
+def _object(text: str, first: bool, last: bool) -> str | None:
+    """The object that ends such a text; the items before it are of other kinds. None behind the last object."""
+    text = text.strip(_BLANK)
+    if last and not first and text == "]":
+        return None
+    if text[:1] != ("[" if first else ",") or last and text[-1:] != "]":
+        raise ValueError("no item and no comma")
+    items = text[1:].lstrip(_BLANK)
+    if last:
+        if not _JSON.decode("[" + items) and not first:
+            raise ValueError("no item after a comma")
+        return None
+    while True:
+        value, end = _JSON.raw_decode(items)
+        if end == len(items):
+            # Line breaks stand between tokens only.
+            return items.replace("\n", " ").replace("\r", " ")
+        items = items[end:].lstrip(_BLANK)
+        if items[:1] != ",":
+            raise ValueError("no comma between items")
+        items = items[1:].lstrip(_BLANK)
+
+
+def _rests(starts):
+    """Per split the number of cuts and the text behind the last one."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
+        of: dict[tuple[str, int], _Cutter] = {}
+        for b in batches:
+            for piece, *split in zip(*(c.to_pylist() for c in b.columns)):
+                key = tuple(split)
+                if key not in of:
+                    of[key] = _Cutter(*starts.value[key])
+                of[key](piece)
+        yield pa.RecordBatch.from_arrays([pa.array([k[0] for k in of], pa.string()), pa.array([k[1] for k in of], pa.int64()), pa.array([c.cuts for c in of.values()], pa.int64()), pa.array(["".join(c.held) for c in of.values()], pa.string())], names=["file", "start", "cuts", "rest"])
+
+    return run
+
+
+def _objects(starts):
+    """The objects of the array, one text each."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
+        key = cut = None
+        for b in batches:
+            out = []
+            for piece, *split in zip(*(c.to_pylist() for c in b.columns)):
+                if split != key:
+                    key, cut = split, _Cutter(*starts.value[tuple(split)])
+                try:
+                    if (found := cut(piece)) is not None:
+                        text, last = found
+                        out.append(_object(text, cut.first, last))
+                        cut.first = False
+                except ValueError as e:
+                    raise ValueError(f"{unquote(key[0])} is not valid JSON: {e}") from e
+            yield pa.RecordBatch.from_arrays([pa.array([x for x in out if x is not None], pa.string())], names=["value"])
+
+    return run
+
+
 def read_json_array(spark: SparkSession, path: str) -> DataFrame:
-    """The objects of a JSON array, in order; items of other kinds are left out. A file that does not parse raises."""
-    whole = spark.read.text(path, wholetext=True).select(F.parse_json("value").alias("items"))
-    items = whole.lateralJoin(spark.tvf.variant_explode(F.col("items").outer())).where(F.schema_of_variant("value").startswith("OBJECT"))
+    """The objects of a JSON array, in its order as source order; items of other kinds are left out. A file that does not parse raises.
+
+    No task and no row holds the file: whether a split begins inside of a string, and how deep, follows from the effects of
+    the splits before it, and an object that spans splits is read where it ends. Of every split only numbers and the text of
+    one unfinished object reach the driver.
+    """
+    pieces = spark.read.text(path, lineSep=END).select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"))
+    spans = sorted(map(tuple, pieces.mapInArrow(_spans, "file string, start bigint, inside bigint, outer bigint, inner bigint, n bigint").collect()))
+    # A brace that ends the file is lost in the pieces; those between opening braces hold it.
+    braces = spark.read.text(path, lineSep="{").select(F.col("_metadata.file_path").alias("file"), (F.length("value") - F.length(F.replace("value", F.lit(END)))).alias("n"))
+    closing = dict(map(tuple, braces.groupBy("file").agg(F.sum("n")).collect()))
+    starts: dict[tuple[str, int], tuple] = {}
+    for file, splits in groupby(spans, itemgetter(0)):
+        inside = depth = n = 0
+        for k, (_, start, odd, outer, inner, pieces_) in enumerate(splits):
+            if k and depth < 1:
+                raise ValueError(f"{unquote(file)} is not valid JSON")
+            starts[file, start] = (inside, depth)
+            depth += inner if inside else outer
+            inside ^= odd
+            n += pieces_
+        if inside or depth != -1 or closing[file] != n - 1:
+            raise ValueError(f"{unquote(file)} is not valid JSON")
+    if len(starts) > len(closing):
+        rests = sorted(map(tuple, pieces.mapInArrow(_rests(spark.sparkContext.broadcast(starts)), "file string, start bigint, cuts bigint, rest string").collect()))
+        for file, splits in groupby(rests, itemgetter(0)):
+            held, first = "", True
+            for _, start, cuts, rest in splits:
+                starts[file, start] += (held, first)
+                held, first = rest if cuts else held + rest, first and not cuts
+    items = pieces.mapInArrow(_objects(spark.sparkContext.broadcast(starts)), "value string")
     # Written as lines, so that the columns are found by the reader of lines and later stages read in parallel.
-    return spark.read.json(written_lines(items.select(F.to_json("value").alias("value"))))
+    return spark.read.json(written_lines(items))
 
 
 def read_json_file(spark: SparkSession, path: str) -> DataFrame:

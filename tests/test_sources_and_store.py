@@ -23,6 +23,52 @@ def test_array_keeps_its_objects(spark, tmp_path):
         files.read_json_file(spark, str(tmp_path / "bad.json")).collect()
 
 
+def test_array_beyond_the_size_of_one_value(spark, tmp_path):
+    text = "x" * (1 << 20)
+    with open(tmp_path / "a.json", "w") as f:
+        f.write('[{"n": 0, "t": "' + text + '"}')
+        for n in range(1, 135):
+            f.write(f', [1], {{"n": {n}, "t": "{text}"}}')
+        f.write("]")
+    got = files.read_json_file(spark, str(tmp_path / "a.json")).select("n", F.length("t").alias("t")).orderBy("n").collect()
+    assert [(r.n, r.t) for r in got] == [(n, 1 << 20) for n in range(135)]
+
+
+def test_array_over_many_splits(spark, tmp_path):
+    """Objects, strings and escapes that span splits, in every layout; what is no JSON raises."""
+    import random
+
+    rng = random.Random(4)
+    signs = ["}", "{", "[", "]", '"', "\\", ",", "\n", "\r", "a", "\u00e9", "\u20ac", "\u2028", " "]
+    word = lambda n: "".join(rng.choice(signs) for _ in range(rng.randrange(n)))
+    items = []
+    for i in range(400):
+        items.append({"i": i, "s": word(90 if i % 100 else 30000), "d": {"x": [{"y": word(9)}, {}], "}": None}})
+        items += rng.choice([[], [], [5], [word(20), [{"i": -1}, "}"]], [None, True, 1.5e3]])
+    objects = [x for x in items if isinstance(x, dict)]
+    whole = json.dumps(items)
+    texts = [whole, json.dumps(items, indent=2, ensure_ascii=False) + "\n\n", "\ufeff \r\n" + json.dumps(items, ensure_ascii=False)]
+    bad = [whole + "}", whole + "]", whole[:-1], whole[:-2], whole.replace(', {"i": 300', ' {"i": 300'), whole.replace('{"i": 200', ',{"i": 200'), whole.replace('"i": 100', '"i": NaN'), whole[:-1] + ",]", whole + whole, whole[:5000] + whole[6000:]]
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "8000")
+    spark.conf.set("spark.sql.files.openCostInBytes", "100")
+    try:
+        for k, text in enumerate(texts):
+            (tmp_path / f"{k}.json").write_bytes(text.encode())
+            rows = files.in_source_order(files.read_json_file(spark, str(tmp_path / f"{k}.json"))).orderBy("_idx").collect()
+            assert [(r.i, r.s, r.d.x[0].y) for r in rows] == [(x["i"], x["s"], x["d"]["x"][0]["y"]) for x in objects]
+        assert spark.read.text(str(tmp_path / "0.json"), lineSep="}").rdd.getNumPartitions() > 10
+        for k, text in enumerate(bad):
+            (tmp_path / f"bad{k}.json").write_bytes(text.encode())
+            with pytest.raises(Exception, match="is not valid JSON"):
+                files.read_json_file(spark, str(tmp_path / f"bad{k}.json")).collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    for k, (text, want) in enumerate([("[]", 0), (" [ 1, {}, \"}\" ] \n", 1), ('[{"a": 1}]', 1), ("[[{}]]", 0), ('[{"a": 1}, 2]', 1)]):
+        (tmp_path / f"small{k}.json").write_text(text)
+        assert files.read_json_file(spark, str(tmp_path / f"small{k}.json")).count() == want
+
+
 def test_rows_keep_the_order_of_the_source(spark, tmp_path):
     names = ["z", "y", "x", "a", "b", "c"]
     (tmp_path / "d").mkdir()
