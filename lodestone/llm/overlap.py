@@ -32,12 +32,9 @@ tables give no pairs; other columns are ignored.
 
 from __future__ import annotations
 
-import math
 import re
 from collections import Counter
 from collections.abc import Iterator
-from functools import reduce
-from operator import xor
 
 import numpy as np
 import pyarrow as pa
@@ -57,22 +54,13 @@ FIELDS = ("instruction", "context", "response")
 
 _W = re.compile(r"[^\W_]+")
 _SPACED = {k: " " for k in range(128) if not chr(k).isalnum()}
-# The ledger's lines of name and value.
-_PAIR = re.compile(r"^(?:[^\w:]|_)*[^\W_][^:]*:.*[^\W_]")
 
 
 def words(text: str | None) -> list[str]:
-    """Lower-case words; the lines of a field that has only ``name: value`` lines, or one JSON object, in sorted order."""
+    """Lower-case words. Only which and how many there are counts, so a moved line or pair is no change."""
     if not text:
         return []
     low = text.lower()
-    if ":" in low:
-        s = low.strip()
-        lines = [x for x in s.split("\n") if x.strip()]
-        if s[:1] == "{" and s[-1:] == "}":
-            lines = re.split(r"(?<=[\"\d}\]el])\s*,\s*(?=\")", s[1:-1])
-        if len(lines) > 1 and all(_PAIR.match(x) for x in lines):
-            low = "\n".join(sorted(x.strip(" -*•\"'") for x in lines))
     # The same words, found faster where every letter is ASCII.
     return low.translate(_SPACED).split() if low.isascii() else _W.findall(low)
 
@@ -97,15 +85,6 @@ def hashes(text: str | None, memo: dict[str, int]) -> list[int]:
     return out
 
 
-def counts(fields: list[list[int]]) -> list[int]:
-    """How many words of each field, given as :func:`hashes`, fall into each of eight buckets."""
-    out = [0] * (8 * len(fields))
-    for k, hs in enumerate(fields):
-        for h in hs:
-            out[8 * k + (h & 7)] += 1
-    return out
-
-
 def _repeats(hs: list[int], tag: int) -> list[int]:
     """Terms for the second and later ones of equal words."""
     once: set[int] = set()
@@ -126,124 +105,201 @@ def _bucket(token: int) -> int:
     return (token * 0xFF51AFD7ED558CCD & _M) >> 48
 
 
-def _mix(h: int, part: int) -> int:
-    h = ((h ^ part) * 0xC4CEB9FE1A85EC53 + 1) & _M
-    return h ^ h >> 29
+def _buckets(t: np.ndarray) -> np.ndarray:
+    return (t * np.uint64(0xFF51AFD7ED558CCD) >> np.uint64(48)).astype("int64")
 
 
-def _log(x: float, up: bool) -> int:
+def _mix(h: np.ndarray | np.uint64, part: np.ndarray) -> np.ndarray:
+    h = (h ^ part) * np.uint64(0xC4CEB9FE1A85EC53) + np.uint64(1)
+    return h ^ h >> np.uint64(29)
+
+
+def _log(x: np.ndarray, up: bool) -> np.ndarray:
     """The logarithm of a norm in steps of 1/8, in one byte, rounded so that bounds stay bounds."""
-    v = math.log2(x if x > 0.0078125 else 0.0078125) * 8 + 64
-    n = math.ceil(v) if up else math.floor(v)
-    return n if n < 256 else 255
+    v = np.log2(np.maximum(x, 0.0078125)) * 8 + 64
+    return np.minimum(np.ceil(v) if up else np.floor(v), 255).astype("int64")
+
+
+# Stands behind the words of a text where those of many texts are found at once.
+_MARK = "\x01"
+_MARKED = _SPACED | {ord(_MARK): _MARK}
+_WM = re.compile(rf"[^\W_]+|{_MARK}")
+
+
+class _Numbers(dict):
+    """A number for every word, and a hash for every number; words that count as equal share it."""
+
+    def __init__(self):
+        super().__init__({_MARK: -1})
+        self.of: dict[str, int] = {}
+        self.new: list[int] = []
+        self.hash = np.zeros(0, dtype="uint64")
+
+    def __missing__(self, w: str) -> int:
+        key = _bag_key(w)
+        n = self.of.get(key)
+        if n is None:
+            n = self.of[key] = len(self.of)
+            self.new.append(xxhash.xxh3_64_intdigest(key))
+        self[w] = n
+        return n
+
+    def hashes(self) -> np.ndarray:
+        if self.new:
+            self.hash, self.new = np.concatenate([self.hash, np.array(self.new, dtype="uint64")]), []
+        return self.hash
+
+
+def _numbered(texts: list[str], numbers: _Numbers) -> tuple[np.ndarray, np.ndarray]:
+    """For every word of the texts the place of its text, and its number."""
+    places, found = [], []
+    plain = [x.isascii() for x in texts]
+    for ascii_ in (True, False):
+        mine = [k for k, x in enumerate(plain) if x is ascii_]
+        if not mine:
+            continue
+        parts = [texts[k] for k in mine]
+        # Words do not reach over the spaces, nor does the form of a final sigma.
+        joined = f" {_MARK} ".join([*parts, ""])
+        if joined.count(_MARK) != len(parts):
+            joined = f" {_MARK} ".join([*(x.replace(_MARK, " ") for x in parts), ""])
+        low = joined.lower()
+        ws = low.translate(_MARKED).split() if ascii_ else _WM.findall(low)
+        n = np.fromiter(map(numbers.__getitem__, ws), "int64", len(ws))
+        ends = np.flatnonzero(n < 0)
+        places.append(np.repeat(np.array(mine, dtype="int64"), np.diff(ends, prepend=-1) - 1))
+        found.append(n[n >= 0])
+    return np.concatenate(places), np.concatenate(found)
+
+
+# Bytes of text whose words are handled at once.
+CHUNK = 4_000_000
+
+
+def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        step = max(1, b.num_rows * CHUNK // max(b.nbytes, CHUNK))
+        for k in range(0, b.num_rows, step):
+            yield b.slice(k, step)
+
+
+def _terms(columns: list[pa.Array], numbers: _Numbers) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """For every word its place (row times fields plus field), in order, its hash, and its term as :func:`tokens` gives it."""
+    if len(numbers) > HELD:
+        numbers.__init__()
+    found = [_numbered([x or "" for x in c.to_pylist()], numbers) for c in columns]
+    key = np.concatenate([(at * len(FIELDS) + k) << 32 | n for k, (at, n) in enumerate(found)])
+    key.sort()
+    begins = np.flatnonzero(np.diff(key, prepend=-1))
+    again = np.arange(len(key)) - np.repeat(begins, np.diff(begins, append=len(key)))
+    place, h = key >> 32, numbers.hashes()[key & 0xFFFFFFFF]
+    return place, h, h + (place % len(FIELDS)).astype("uint64") * np.uint64(_TAG) + again.astype("uint64") * np.uint64(_AGAIN)
 
 
 class Terms:
-    """Terms with their weights, as one process meets them."""
+    """What is known of terms: their weights, and whether evaluation records may have them."""
 
     def __init__(self, weight: list[float], seen: list[int]):
-        self.weight, self.seen = weight, seen
-        self.held: list[dict[int, tuple]] = [{} for _ in range(len(FIELDS) + 1)]
-
-    def _term(self, t: int) -> tuple[float, int, int, int]:
-        at = _bucket(t)
-        return -self.weight[at], t, 1 << (t >> 57), self.seen[at] >> (t >> 10 & 63) & 1
-
-    def __call__(self, hs: list[int], tag: int) -> list[tuple[float, int, int, int]]:
-        """For every term of a field its weight below zero, itself, its parity bit and whether evaluation records may have it."""
-        held, words_ = self.held[tag], set(hs)
-        out = list(map(held.get, words_))
-        if None in out:
-            if len(held) > HELD:
-                held.clear()
-            off = tag * _TAG
-            for h in words_:
-                if h not in held:
-                    held[h] = self._term((h + off) & _M)
-            out = [held[h] for h in words_]
-        if len(words_) < len(hs):
-            again = self.held[-1]
-            if len(again) > HELD:
-                again.clear()
-            for t in _repeats(hs, tag):
-                if (x := again.get(t)) is None:
-                    x = again[t] = self._term(t)
-                out.append(x)
-        return out
-
-
-_NONE = [(-1.0, 0, 0, 1)]
-
-
-class _Field:
-    """The terms of one field by falling weight, those that make its list entries, and its bounds."""
-
-    __slots__ = ("first", "floor", "rest")
-
-    def __init__(self, weighted: list[tuple], may: int):
+        self.weight, self.seen = np.array(weight), np.array(seen, dtype="uint64")
+        # Equal weights have equal ranks, the heaviest the first.
+        self.rank = np.unique(-self.weight, return_inverse=True)[1].astype("int64")
+
+    def of(self, t: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        at = _buckets(t)
+        return t, self.weight[at], self.rank[at], self.seen[at] >> (t >> np.uint64(10) & np.uint64(63)) & np.uint64(1) > 0
+
+    def __call__(self, hs: list[int], tag: int) -> tuple[np.ndarray, ...]:
+        """The terms of one field with their weights, ranks and whether evaluation records may have them."""
+        return self.of(np.array(tokens(hs, tag), dtype="uint64"))
+
+
+def _may(n: np.ndarray) -> np.ndarray:
+    """:func:`allowed`"""
+    return np.where(n < 4, 0, np.where(n < 8, 1, np.maximum(2, (0.15 * n).astype("int64"))))
+
+
+class _Firsts:
+    """The terms of texts by falling weight, those that make list entries, and their bounds."""
+
+    def __init__(self, place: np.ndarray, weighted: tuple[np.ndarray, ...], n: np.ndarray, may: np.ndarray):
+        # Texts without words stand in the list of no term.
+        none = np.flatnonzero(n == 0)
+        fill = (none, *(np.full(len(none), x, dtype=c.dtype) for x, c in zip((0, 1.0, 0, True), weighted)))
+        place, t, w, rank, seen = (np.concatenate(x) for x in zip((place, *weighted), fill))
         # Equal weights are ordered by term, the same way on both sides.
-        order = sorted(weighted) or _NONE
-        left = -sum([x[0] for x in order])
-        self.first = order[: may + 1]
-        floor = left + sum([x[0] for x in order[:may]])
-        self.floor = _log(floor, False) if floor > 0 else 0
-        self.rest = []
-        for x in self.first:
-            self.rest.append(_log(left, True))
-            left += x[0]
-
-
-def terms(fields: list[list[tuple]], train_only: bool) -> tuple[list[int], list[int]]:
+        order = np.lexsort((t, place << 17 | rank))
+        place, w = place[order], w[order]
+        n = np.maximum(n, 1)
+        begin = np.cumsum(n) - n
+        before = np.cumsum(w) - w
+        left = (before[begin] + np.add.reduceat(w, begin))[place] - before
+        first = np.flatnonzero(np.arange(len(place)) - begin[place] <= may[place])
+        self.place, self.term, self.seen = place[first], t[order][first], seen[order][first]
+        self.floor, self.rest = _log(left[begin + may], False), _log(left[first], True)
+        self.n = may + 1
+
+    def entries(self, keep: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Of the kept terms their text, themselves and their norms in two bytes."""
+        at = np.flatnonzero(keep)
+        return self.place[at], self.term[at], self.rest[at] | self.floor[self.place[at]] << 8
+
+
+def _lists(place: np.ndarray, weighted: tuple[np.ndarray, ...], train_only: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """List entries of records: the record, the list, and the norms of its two factors in bytes; and how many words may differ."""
+    rows, width = len(train_only), len(FIELDS)
+    n = np.bincount(place, minlength=rows * width)
+    may = _may(n)
+    firsts = _Firsts(place, weighted, n, may)
+    row, field = firsts.place // width, firsts.place % width
+    ways = firsts.n[0::width] * firsts.n[2::width]
+    kept = (~train_only[row] | firsts.seen) & (ways <= WIDE)[row]
+    (p, pt, pn), (q, qt, qn) = (firsts.entries(kept & (field == k)) for k in (0, 2))
+    p, q = p // width, q // width
+    # Every first word of the instruction with every one of the answer.
+    times = np.bincount(q, minlength=rows)
+    begin, times = (np.cumsum(times) - times)[p], times[p]
+    i = np.repeat(np.arange(len(p)), times)
+    j = np.arange(len(i)) - np.repeat(np.cumsum(times) - times - begin, times)
+    has = _mix(np.zeros(rows, dtype="uint64"), (n[1::width] > 0).astype("uint64"))
+    at, listed, norms = [p[i]], [_mix(_mix(has[p], pt)[i], qt[j])], [pn[i] | qn[j] << 16]
+    wide = np.flatnonzero(ways > NARROW)
+    if len(wide):
+        number = np.full(rows, -1)
+        number[wide] = np.arange(len(wide))
+        mine = number[place // width]
+        those = np.flatnonzero(mine >= 0)
+        sums = lambda x: x.reshape(rows, width).sum(1)[wide]
+        whole = _Firsts(mine[those], tuple(x[those] for x in weighted), sums(n), sums(may))
+        k, t, m = whole.entries(~train_only[wide][whole.place] | whole.seen)
+        at.append(wide[k])
+        listed.append(_mix(np.uint64(1), t))
+        norms.append(m * 0x10001)
+    return np.concatenate(at), np.concatenate(listed), np.concatenate(norms), may.reshape(rows, width).sum(1)
+
+
+def terms(fields: list[tuple[np.ndarray, ...]], train_only: bool) -> tuple[list[int], list[int]]:
     """The lists that a record with these weighted terms stands in, and for each the norms of its two factors, in bytes.
 
     Of a record without evaluation rows, terms that no evaluation record has are in no list.
     """
-    may = [allowed(len(f)) for f in fields]
-    ask, answer = _Field(fields[0], may[0]), _Field(fields[2], may[2])
-    has = _mix(0, bool(fields[1]))
-    ways = len(ask.first) * len(answer.first)
-    listed: list[int] = []
-    norms: list[int] = []
-    if ways <= WIDE:
-        two = [(q[1], (r | answer.floor << 8) << 16) for q, r in zip(answer.first, answer.rest) if not train_only or q[3]]
-        for p, r in zip(ask.first, ask.rest) if two else ():
-            if not train_only or p[3]:
-                h, n = _mix(has, p[1]), r | ask.floor << 8
-                listed += [_mix(h, q) for q, _ in two]
-                norms += [n | m for _, m in two]
-    if ways > NARROW:
-        whole = _Field([t for f in fields for t in f], sum(may))
-        for p, r in zip(whole.first, whole.rest):
-            if not train_only or p[3]:
-                listed.append(_mix(1, p[1]))
-                norms.append((r | whole.floor << 8) * 0x10001)
-    return listed, norms
+    place = np.repeat(np.arange(len(fields)), [len(f[0]) for f in fields])
+    _, listed, norms, _ = _lists(place, tuple(map(np.concatenate, zip(*fields))), np.array([train_only]))
+    return listed.tolist(), norms.tolist()
 
 
 def _frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    memo: dict[str, int] = {}
+    numbers = _Numbers()
     sides = np.zeros((2, BUCKETS), dtype="int64")
     seen = np.zeros(BUCKETS, dtype="uint64")
-    for b in batches:
-        both = tuple([[] for _ in range(len(FIELDS) + 1)] for _ in sides)
-        for t, o, *texts in zip(*(x.to_pylist() for x in b.columns)):
-            for k, text in enumerate(texts):
-                hs = hashes(text, memo)
-                once, more = set(hs), []
-                if len(once) < len(hs):
-                    more = _repeats(hs, k)
-                for side in (s for s, there in enumerate((t, o)) if there):
-                    both[side][k].extend(once)
-                    both[side][-1].extend(more)
-        for side, found in enumerate(both):
-            offsets = [np.uint64(k * _TAG & _M) for k in range(len(FIELDS))] + [np.uint64(0)]
-            x = np.concatenate([np.array(f, dtype="uint64") + off for f, off in zip(found, offsets)])
-            at = ((x * np.uint64(0xFF51AFD7ED558CCD)) >> np.uint64(48)).astype("int64")
-            sides[side] += np.bincount(at, minlength=BUCKETS)
-            if side:
-                # Distinct (bucket, bit) pairs, so that the scattered or runs over few.
-                pairs = np.unique(at << 6 | (x >> np.uint64(10) & np.uint64(63)).astype("int64"))
-                np.bitwise_or.at(seen, pairs >> 6, np.uint64(1) << (pairs & 63).astype("uint64"))
+    for b in _chunks(batches):
+        place, _, t = _terms(b.columns[2:], numbers)
+        at = _buckets(t)
+        for side in (0, 1):
+            there = np.array(b.columns[side].to_pylist(), dtype=bool)[place // len(FIELDS)]
+            sides[side] += np.bincount(at[there], minlength=BUCKETS)
+        # Distinct (bucket, bit) pairs of evaluation records, so that the scattered or runs over few.
+        pairs = np.unique(at[there] << 6 | (t[there] >> np.uint64(10) & np.uint64(63)).astype("int64"))
+        np.bitwise_or.at(seen, pairs >> 6, np.uint64(1) << (pairs & 63).astype("uint64"))
     used = np.flatnonzero(sides.any(0))
     yield pa.RecordBatch.from_arrays([pa.array(used, pa.int32()), *(pa.array(s[used]) for s in sides), pa.array(seen[used].view("int64"))], names=["bucket", "nt", "no", "seen"])
 
@@ -264,38 +320,26 @@ def _vectors(shared):
     """One row per class and list, with the norms at its words, the parity bits of all words and how many may differ, and one row per class with its word counts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        weighted = Terms(*shared.value)
-        memo: dict[str, int] = {}
+        known, numbers = Terms(*shared.value), _Numbers()
         names = ["cls", "train", "other", "term", "norms", "low", "high", "size", "may", "counts"]
-        for b in batches:
-            # Per class; what belongs to a list entry is made from these by repetition.
-            keep, bits_, sizes, mays, times, all_counts = [], [], [], [], [], []
-            listed: list[int] = []
-            norms: list[int] = []
-            for at, (t, o, *texts) in enumerate(zip(*(x.to_pylist() for x in b.columns[1:]))):
-                plain = [hashes(text, memo) for text in texts]
-                fields = [weighted(hs, k) for k, hs in enumerate(plain)]
-                own, bounds = terms(fields, not o)
-                if not own:
-                    continue
-                listed += own
-                norms += bounds
-                keep.append(at)
-                times.append(len(own))
-                bits_.append(reduce(xor, [x[2] for f in fields for x in f], 0))
-                # Sizes are compared; very long records share the largest, which drops none of their pairs.
-                sizes.append(min(sum(map(len, fields)), 32767))
-                mays.append(min(sum([allowed(len(f)) for f in fields]), 32767))
-                all_counts.append(counts(plain))
-            if not keep:
-                continue
-            heads = [c.take(pa.array(keep, pa.int64())) for c in b.columns[:3]]
-            n = len(keep)
-            facts = [np.array([x & _M for x in bits_], dtype="uint64").view("int64"), np.array([x >> 64 for x in bits_], dtype="uint64").view("int64"), np.array(sizes, dtype="int16"), np.array(mays, dtype="int16")]
-            again = pa.array(np.repeat(np.arange(n), times))
-            entries = [pa.array(np.array(listed, dtype="uint64").view("int64")), pa.array(np.array(norms, dtype="uint32").view("int32"))]
-            yield pa.RecordBatch.from_arrays([*(h.take(again) for h in heads), *entries, *(pa.array(f).take(again) for f in facts), pa.nulls(len(listed), pa.list_(pa.int32()))], names=names)
-            yield pa.RecordBatch.from_arrays([*heads, pa.nulls(n, pa.int64()), pa.nulls(n, pa.int32()), *map(pa.array, facts), pa.array(all_counts, pa.list_(pa.int32()))], names=names)
+        for b in _chunks(batches):
+            rows = b.num_rows
+            place, h, t = _terms(b.columns[3:], numbers)
+            at, listed, norms, may = _lists(place, known.of(t), ~np.array(b.columns[2].to_pylist(), dtype=bool))
+            row, bit = place // len(FIELDS), (t >> np.uint64(57)).astype("int64")
+            parity = np.bincount(row << 7 | bit, minlength=rows << 7).astype("uint8") & 1
+            bits = np.packbits(parity.reshape(rows, 128), axis=1, bitorder="little").view("<i8")
+            counts = np.bincount(place << 3 | (h & np.uint64(7)).astype("int64"), minlength=rows * len(FIELDS) << 3).astype("int32")
+            # Sizes are compared; very long records share the largest, which drops none of their pairs.
+            short = lambda x: np.minimum(x, 32767).astype("int16")
+            facts = [bits[:, 0], bits[:, 1], short(np.bincount(row, minlength=rows)), short(may)]
+            again = pa.array(at)
+            entries = [pa.array(listed.view("int64")), pa.array(norms.astype("uint32").view("int32"))]
+            yield pa.RecordBatch.from_arrays([*(c.take(again) for c in b.columns[:3]), *entries, *(pa.array(f[at]) for f in facts), pa.nulls(len(at), pa.list_(pa.int32()))], names=names)
+            keep = np.flatnonzero(np.bincount(at, minlength=rows))
+            n, width = len(keep), len(FIELDS) << 3
+            lists = pa.ListArray.from_arrays(pa.array(np.arange(n + 1) * width, pa.int32()), pa.array(counts.reshape(rows, width)[keep].ravel()))
+            yield pa.RecordBatch.from_arrays([*(c.take(pa.array(keep)) for c in b.columns[:3]), pa.nulls(n, pa.int64()), pa.nulls(n, pa.int32()), *(pa.array(f[keep]) for f in facts), lists], names=names)
 
     return run
 

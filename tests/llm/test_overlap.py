@@ -117,3 +117,41 @@ def test_members_and_links(spark):
     assert got == {0: (0, 2), 1: (0, 2), 4: (0, 2), 3: (3, 1), 2: (2, 0)}
     assert all(0.9 < r.cosine <= 1.0 for r in O.pairs(make([(0, I, "", R)]), make([(3, I, "", near)]), make([])).collect())
     assert O.cosine(("a b", "", "c"), ("a b", None, "C"), [1.0] * O.BUCKETS, {}) == 1.0 and O.cosine(("", "", ""), (None, None, None), [1.0] * O.BUCKETS, {}) == 1.0
+
+
+def test_words_of_many_texts_at_once():
+    """Terms of a batch are those of its texts one by one, whatever stands in and around them."""
+    import numpy as np
+    import pyarrow as pa
+
+    rng = random.Random(7)
+    parts = ["one", "eno", "abcd", "acbd", "One", "12", "21", "Σ", "οΣ", "Été", "İx", "K", "straße", "漢字", "१", "_", "\x01", "\x00", " ", "\n", ": ", ", ", "—", "'", "{", "}", " "]
+    text = lambda: rng.choice([None, "", "".join(rng.choice(parts) for _ in range(rng.randint(1, 40))), "".join(rng.choice(parts[:7] + parts[16:20]) for _ in range(30))])
+    rows = [[text() for _ in O.FIELDS] for _ in range(700)] + [["a Σ", "Σ b", "\x01"], ["", None, "\x01\x01"]]
+    numbers = O._Numbers()
+    for part in (rows[:300], rows[300:]):
+        place, h, t = O._terms([pa.array([r[k] for r in part], pa.string()) for k in range(3)], numbers)
+        for i, r in enumerate(part):
+            for k, x in enumerate(r):
+                at = np.flatnonzero(place == 3 * i + k)
+                hs = O.hashes(x, {})
+                assert sorted(h[at].tolist()) == sorted(hs) and sorted(t[at].tolist()) == sorted(O.tokens(hs, k))
+
+
+def test_lists_of_many_records_at_once():
+    """Records have the same lists alone and in a batch, those with few, many and no words."""
+    import numpy as np
+
+    rng = random.Random(3)
+    known = O.Terms([rng.choice([1.0, 1.5, 4.0]) for _ in range(O.BUCKETS)], [rng.getrandbits(64) for _ in range(O.BUCKETS)])
+    rows = [[[f"w{rng.randrange(300)}" for _ in range(rng.choice([0, 1, 3, 5, 9, 60, 200]))] for _ in O.FIELDS] for _ in range(200)]
+    weighted = [[known(O.hashes(" ".join(f), {}), k) for k, f in enumerate(r)] for r in rows]
+    train_only = np.array([rng.random() < 0.5 for _ in rows])
+    flat = [f for r in weighted for f in r]
+    place = np.repeat(np.arange(len(flat)), [len(f[0]) for f in flat])
+    at, listed, norms, may = O._lists(place, tuple(map(np.concatenate, zip(*flat))), train_only)
+    for i, (r, f) in enumerate(zip(rows, weighted)):
+        mine = np.flatnonzero(at == i)
+        assert sorted(zip(listed[mine].tolist(), norms[mine].tolist())) == sorted(zip(*O.terms(f, train_only[i])))
+        assert may[i] == sum(O.allowed(len(x)) for x in r)
+    assert {len(O.terms(f, False)[0]) for f in weighted} >= {1, 4}
