@@ -76,9 +76,9 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
 
 
 def written_lines(lines: DataFrame) -> str:
-    """The path of ``lines`` (one string column) written as text files; their names keep the order of the partitions."""
+    """The path of ``lines`` (one string column) written as compressed text files, one a partition; their names keep the order of the partitions."""
     path = new_path(lines.sparkSession, "lines")
-    lines.write.text(path)
+    lines.write.text(path, compression="gzip")
     return path
 
 
