@@ -130,7 +130,12 @@ class _Numbers(dict):
     """A number for every word, and a hash for every number; words that count as equal share it."""
 
     def __init__(self):
-        super().__init__({_MARK: -1})
+        super().__init__()
+        self.forget()
+
+    def forget(self) -> None:
+        self.clear()
+        self[_MARK] = -1
         self.of: dict[str, int] = {}
         self.new: list[int] = []
         self.hash = np.zeros(0, dtype="uint64")
@@ -186,7 +191,7 @@ def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _terms(columns: list[pa.Array], numbers: _Numbers) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """For every word its place (row times fields plus field), in order, its hash, and its term as :func:`tokens` gives it."""
     if len(numbers) > HELD:
-        numbers.__init__()
+        numbers.forget()
     found = [_numbered([x or "" for x in c.to_pylist()], numbers) for c in columns]
     key = np.concatenate([(at * len(FIELDS) + k) << 32 | n for k, (at, n) in enumerate(found)])
     key.sort()

@@ -155,3 +155,17 @@ def test_lists_of_many_records_at_once():
         assert sorted(zip(listed[mine].tolist(), norms[mine].tolist())) == sorted(zip(*O.terms(f, train_only[i])))
         assert may[i] == sum(O.allowed(len(x)) for x in r)
     assert {len(O.terms(f, False)[0]) for f in weighted} >= {1, 4}
+
+
+def test_the_store_of_words_is_emptied(monkeypatch):
+    import numpy as np
+    import pyarrow as pa
+
+    monkeypatch.setattr(O, "HELD", 50)
+    numbers = O._Numbers()
+    for n in range(9):
+        text = " ".join(f"word{n}{k} shared{k}" for k in range(20 + n))
+        _, h, t = O._terms([pa.array([text])] * 3, numbers)
+        hs = O.hashes(text, {})
+        assert sorted(h.tolist()) == sorted(hs * 3) and set(t.tolist()) == {x for k in range(3) for x in O.tokens(hs, k)}
+    assert len(numbers) < 300 and len(numbers.hashes()) == len(numbers.of) and np.all(numbers.hashes() > 0)
